@@ -9,8 +9,9 @@ A plain ``row_number() OVER (PARTITION BY month ...)`` would sort a whole
 month inside one task.  Instead the threshold is found from digest-prefix
 histograms (map-side partially aggregated, one row per group x prefix), which
 are reduced to one threshold row per group; only the rows sharing the final
-boundary prefix (about ``rows / 16**(3 * levels)`` per group) are ranked by
-a window.  Every other row is decided by a broadcast join against the
+boundary prefix (about ``rows / 16**(4 * levels)`` per group) are ranked by
+a window.  One level keeps the final window at about 1.5M rows for a group of
+1e11 rows; ``levels=2`` is there for anything larger.  Every other row is decided by a broadcast join against the
 per-group threshold table, whose size is the number of groups.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from farelane.constants import DEFAULT_SEED, FILE_MONTH, IGNORE_SPLIT, SAMPLE_ROWS_PER_MONTH, SPLIT_RULES
 from farelane.functions.exprs import digest, digest_unit, file_mon, file_year
 
-PREFIX_HEX = 3  # 4096 buckets per level
+PREFIX_HEX = 4  # 65536 buckets per level
 
 
 # ---------------------------------------------------------------- G1 / G2
@@ -76,7 +77,7 @@ def sample_top_n(
     key: str,
     seed: int | Column = DEFAULT_SEED,
     groups: Sequence[str] = (FILE_MONTH,),
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Per group, the ``quota`` rows with the smallest ``(digest(key, seed), key)``.
 
@@ -154,7 +155,7 @@ def build_splits(
     key: str = "trip_id",
     seed: int = DEFAULT_SEED,
     file_month: str = FILE_MONTH,
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Union of the per-month samples of every split, with a ``split`` column."""
     for s in ("train", "val", "test"):

@@ -30,6 +30,7 @@ from farelane.constants import (
 from farelane.functions.exprs import is_finite, minutes_between
 from farelane.operators import clean, sampling, stats
 from farelane.operators.joins import join_centroids
+from farelane.sources import sinks
 
 
 # ---------------------------------------------------------------- H1
@@ -143,6 +144,7 @@ def sampling_bias(
     seeds: Sequence[int] = BIAS_SEEDS,
     key: str = "trip_id",
     split_col: str = "split",
+    materialize_draws: bool = True,
 ) -> DataFrame:
     """Per split: re-draw a sample of the same size from the population for each seed,
     score it by the largest TVD over ``cats`` and the largest KS over ``nums``,
@@ -158,6 +160,9 @@ def sampling_bias(
     pop = population.join(F.broadcast(sizes), split_col, "inner")  # one row per split
     seeded = pop.select(*pop.columns, F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
     drawn = sampling.sample_top_n(seeded, F.col("_size"), key, F.col("seed"), [split_col, "seed"])
+    if materialize_draws:
+        # the draws feed two aggregations; write them once instead of re-running the sampler
+        drawn = sinks.materialize(drawn.select(split_col, "seed", *cats, *nums), "bias_draws")
     seed_tbl = sizes.select(split_col, F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
 
     parts = []

@@ -983,8 +983,9 @@ per_seed AS (
 
 @register("sampling_bias", _bias_sql())
 def q_sampling_bias(spark, sf):
-    feat = sampling.assign_split(_features(spark, sf)).where(F.col("split") != "ignore")
-    sample = sampling.build_splits(_features(spark, sf), SPLIT_ROWS)
+    # the population is read by the split sampler and by the audit: write it once
+    feat = sinks.materialize(sampling.assign_split(_features(spark, sf)).where(F.col("split") != "ignore"), "bias_population")
+    sample = sampling.build_splits(feat.drop("split"), SPLIT_ROWS)
     return audits.sampling_bias(feat, sample)
 
 

@@ -79,3 +79,16 @@ def rewrite_stage(df: DataFrame, spark: SparkSession, stage: str) -> DataFrame:
     out = shared_dir(spark, "stages", stage)
     df.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of an expensive intermediate that several later scans
+    need (a sampler reads its input once per level); the copy lives on the
+    cluster's shared storage, so a lost executor does not lose it.
+    """
+    spark = df.sparkSession
+    out = shared_dir(spark, "materialized", name)
+    df.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
