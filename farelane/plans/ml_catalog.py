@@ -1 +1,403 @@
-"""Model, scoring and job queries (registered on import)."""
+"""Model, scoring, streaming and job queries (registered on import).
+
+The model inputs (cleaned trips -> features -> per-month split sample) are
+written once per session and sf under the shared checkpoint folder, and all
+model queries read that table.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from farelane.constants import NUMERIC_FEATURES, TARGET
+from farelane.functions.calendar import holiday_calendar
+from farelane.ml import models as M
+from farelane.ml import preprocess as P
+from farelane.ml import scoring
+from farelane.operators import sampling
+from farelane.plans import jobs
+from farelane.plans import oracle_sql as O
+from farelane.plans.catalog import (
+    FEATURE_DOUBLES,
+    SPLIT_N_SQL,
+    SPLIT_ROWS,
+    SPLIT_SQL_EXPR,
+    _cleaned,
+    _features,
+    _sel_round,
+    _trips,
+    register,
+)
+from farelane.sources import fixtures as fx
+from farelane.sources import sinks
+from farelane.streaming.score_stream import score_stream
+
+_CACHE: dict[tuple, str] = {}
+
+SPLIT_SAMPLE_CTES = (
+    O.TRIPS,
+    O.MONTH_FILTERED,
+    O.MISSING_HANDLED,
+    O.ZONES,
+    O.HOLIDAYS,
+    "\ncleaned AS (SELECT * FROM mh WHERE " + O.RANGE_OK + ")",
+    O.features_sql("cleaned"),
+    f"\ntagged AS (SELECT *, {SPLIT_SQL_EXPR} AS split FROM feat)",
+    f"""
+splits AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY file_month ORDER BY md5(CAST(trip_id AS VARCHAR) || ':42'), trip_id) AS rn
+    FROM tagged WHERE split <> 'ignore')
+  WHERE rn <= {SPLIT_N_SQL}
+)""",
+)
+
+
+def _splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature rows of the per-month split sample, written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        feats = sinks.materialize(_features(spark, sf, src=_cleaned(spark, sf)), "model_features")
+        s = sampling.build_splits(feats, SPLIT_ROWS)
+        _CACHE[key] = sinks.write_stage(s, "model_splits")
+    return spark.read.parquet(_CACHE[key])
+
+
+def _fitted(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "preprocess")
+    if key not in _CACHE:
+        train = _splits(spark, sf).where(F.col("split") == "train")
+        model = P.fit_preprocess(P.build_preprocess(), train)
+        _CACHE[key] = P.save_preprocess(model, sinks.shared_dir(spark, "preprocess"))
+    return P.load_preprocess(_CACHE[key])
+
+
+def _xy(spark, sf):
+    pre = _fitted(spark, sf)
+    s = _splits(spark, sf)
+    return {name: P.transform(pre, s.where(F.col("split") == name), keep=["trip_id"]) for name in ("train", "val", "test")}
+
+
+# ============================================================ I: feature pipeline
+PREP_COLS = [c for c in list(NUMERIC_FEATURES) + [
+    "VendorID", "RatecodeID", "store_and_fwd_flag", "payment_type", "pickup_borough", "dropoff_borough",
+    "pickup_service_zone", "dropoff_service_zone", "pickup_period", "is_holiday", "is_long_weekend", "is_weekend",
+    "is_rush_hour", "is_nightlife", "is_friday_getaway"]]
+PREP_DOUBLES = [c for c in PREP_COLS if c in FEATURE_DOUBLES]
+PREP_OTHER = [c for c in PREP_COLS if c not in FEATURE_DOUBLES]
+
+
+@register(
+    "prepare_features",
+    O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT trip_id, {', '.join(PREP_OTHER)}, {_sel_round(PREP_DOUBLES)} FROM splits"),
+)
+def q_prepare_features(spark, sf):
+    s = _splits(spark, sf)
+    return s.select("trip_id", *P.prepare_features(s).columns)
+
+
+@register(
+    "split_xy",
+    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, split, round(total_amount, 6) AS label FROM splits"),
+)
+def q_split_xy(spark, sf):
+    xy = P.split_xy(_splits(spark, sf), keep=("trip_id", "split"))
+    return xy.select("trip_id", "split", "label")
+
+
+def _robust_sql() -> str:
+    qs = ", ".join(
+        f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) AS q3_{c}"
+        for c in NUMERIC_FEATURES
+    )
+    scaled = ", ".join(
+        f"round(({c} - coalesce(m_{c}, 0)) / CASE WHEN q3_{c} - q1_{c} = 0 OR q3_{c} IS NULL THEN 1 ELSE q3_{c} - q1_{c} END, 6) AS _num_{c}"
+        for c in NUMERIC_FEATURES
+    )
+    return O.with_ctes(
+        *SPLIT_SAMPLE_CTES,
+        f"\nq AS (SELECT {qs} FROM splits WHERE split = 'train')",
+        select=f"SELECT trip_id, {scaled} FROM splits, q WHERE split = 'val'",
+    )
+
+
+@register("robust_scale", _robust_sql())
+def q_robust_scale(spark, sf):
+    s = _splits(spark, sf)
+    outs = [f"_num_{c}" for c in NUMERIC_FEATURES]
+    scaler = P.ExactRobustScaler(inputCols=list(NUMERIC_FEATURES), outputCols=outs).fit(s.where(F.col("split") == "train"))
+    return scaler.transform(s.where(F.col("split") == "val")).select("trip_id", *outs)
+
+
+@register("one_hot")
+def q_one_hot(spark, sf):
+    pre = _fitted(spark, sf)
+    out = pre.transform(_splits(spark, sf).where(F.col("split") == "test"))
+    ohe = [c for c in out.columns if c.startswith("_ohe_")]
+    return out.select("trip_id", *[F.array_position(vector_to_array(c), 1.0).alias(c) for c in ohe])
+
+
+@register("column_transformer")
+def q_column_transformer(spark, sf):
+    pre = _fitted(spark, sf)
+    out = pre.transform(_splits(spark, sf))
+    arr = vector_to_array("features")
+    return out.select("trip_id", "split", F.size(arr).alias("n_features"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("sum_features"))
+
+
+@register("fit_transform")
+def q_fit_transform(spark, sf):
+    xy = _xy(spark, sf)
+    return xy["val"].select("trip_id", "label", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("persist_pipeline")
+def q_persist_pipeline(spark, sf):
+    pre = _fitted(spark, sf)
+    path = P.save_preprocess(pre, sinks.shared_dir(spark, "persist_pipeline"))
+    again = PipelineModel.load(path)
+    s = _splits(spark, sf).where(F.col("split") == "val")
+    a = pre.transform(s).select("trip_id", vector_to_array("features").alias("a"))
+    b = again.transform(s).select("trip_id", vector_to_array("features").alias("b"))
+    return a.join(b, "trip_id").select("trip_id", (F.col("a") == F.col("b")).alias("same_features"))
+
+
+@register("transform_splits")
+def q_transform_splits(spark, sf):
+    parts = P.transform_splits(_splits(spark, sf), _fitted(spark, sf))
+    out = None
+    for name, df in parts.items():
+        part = df.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("label").alias("mean_label")).select(F.lit(name).alias("split"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ============================================================ J: models and evaluation
+BASELINE_SQL = O.with_ctes(
+    *SPLIT_SAMPLE_CTES,
+    "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
+    select="""SELECT round(avg(abs(total_amount - mu)), 6) AS MAE, round(sqrt(avg((total_amount - mu) * (total_amount - mu))), 6) AS RMSE,
+      round(1 - sum((total_amount - mu) * (total_amount - mu)) / (var_pop(total_amount) * count(total_amount)), 6) AS R2
+    FROM splits, m WHERE split = 'val'""",
+)
+
+
+@register("mean_baseline", BASELINE_SQL)
+def q_mean_baseline(spark, sf):
+    s = _splits(spark, sf).withColumn("label", F.col(TARGET))
+    return M.regression_metrics(M.mean_baseline(s.where(F.col("split") == "train"), s.where(F.col("split") == "val")))
+
+
+@register(
+    "regression_metrics",
+    O.with_ctes(
+        *SPLIT_SAMPLE_CTES,
+        select="""SELECT split, round(avg(abs(total_amount - p)), 6) AS MAE, round(sqrt(avg((total_amount - p) * (total_amount - p))), 6) AS RMSE,
+          round(1 - sum((total_amount - p) * (total_amount - p)) / (var_pop(total_amount) * count(total_amount)), 6) AS R2
+        FROM (SELECT split, total_amount, 2.5 * trip_distance + 4.0 AS p FROM splits) GROUP BY split""",
+    ),
+)
+def q_regression_metrics(spark, sf):
+    s = _splits(spark, sf).select("split", F.col(TARGET).alias("label"), (F.lit(2.5) * F.col("trip_distance") + F.lit(4.0)).alias("prediction"))
+    return M.regression_metrics(s, groups=["split"])
+
+
+@register(
+    "linear_regression_1d",
+    O.with_ctes(
+        *SPLIT_SAMPLE_CTES,
+        select="""SELECT round(regr_slope(total_amount, trip_distance), 4) AS slope,
+          round(regr_intercept(total_amount, trip_distance), 4) AS intercept FROM splits WHERE split = 'train'""",
+    ),
+)
+def q_linear_regression_1d(spark, sf):
+    s = _splits(spark, sf).where(F.col("split") == "train")
+    x = VectorAssembler(inputCols=["trip_distance"], outputCol="features").transform(s).withColumn("label", F.col(TARGET))
+    m = M.linear_regression().fit(x)
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))], "slope double, intercept double")
+
+
+@register("linear_regression")
+def q_linear_regression(spark, sf):
+    xy = _xy(spark, sf)
+    m = M.linear_regression().fit(xy["train"])
+    return M.regression_metrics(m.transform(xy["val"]))
+
+
+@register("ridge")
+def q_ridge(spark, sf):
+    xy = _xy(spark, sf)
+    m = M.ridge(xy["train"]).fit(xy["train"])
+    return M.regression_metrics(m.transform(xy["val"]))
+
+
+@register("boosted_trees")
+def q_boosted_trees(spark, sf):
+    xy = _xy(spark, sf)
+    m = M.boosted_trees("xgboost", scale=0.02).fit(xy["train"])
+    return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
+
+
+@register("early_stop")
+def q_early_stop(spark, sf):
+    xy = _xy(spark, sf)
+    gbt = M.with_early_stopping(M.boosted_trees("lightgbm", scale=0.05), tol=0.01)
+    m = M.fit_with_validation(gbt, xy["train"], xy["val"])
+    return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
+
+
+def _board(spark, sf):
+    xy = _xy(spark, sf)
+    zoo = [
+        (M.BASELINE, None, True),
+        ("LinearRegression", M.linear_regression()),
+        ("Ridge", M.ridge(xy["train"])),
+        ("GBT-lightgbm", M.boosted_trees("lightgbm", scale=0.01)),
+    ]
+    return M.leaderboard(spark, zoo, xy["train"], xy["val"])
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf):
+    return _board(spark, sf).select("Model", "MAE", "RMSE", "R2")
+
+
+@register("best_model")
+def q_best_model(spark, sf):
+    return M.best_model(_board(spark, sf)).select("Model", "RMSE")
+
+
+def _search(spark, sf):
+    xy = _xy(spark, sf)
+    return M.param_search(xy["train"], xy["val"], n_trials=2, seed=42, tree_scale=0.004, depth_cap=5)
+
+
+@register("param_search")
+def q_param_search(spark, sf):
+    best, params, _ = _search(spark, sf)
+    return spark.createDataFrame([(float(best), {k: float(v) for k, v in params.items()})], "best_rmse double, best_params map<string,double>")
+
+
+@register("trial_log")
+def q_trial_log(spark, sf):
+    _, _, trials = _search(spark, sf)
+    return M.trial_log(spark, trials).select("number", "value", "state", "params")
+
+
+@register("final_compare")
+def q_final_compare(spark, sf):
+    xy = _xy(spark, sf)
+    best, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, tree_scale=0.004, depth_cap=5)
+    result, _ = M.final_compare(spark, params, xy["train"], xy["val"], xy["test"], tree_scale=0.004, depth_cap=5)
+    return result
+
+
+# ============================================================ K: scoring
+def _requests(spark, sf) -> DataFrame:
+    t = _trips(spark, sf)
+    return t.select(
+        F.col("trip_id").alias("request_id"),
+        "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+        F.col("passenger_count").cast("int").alias("passenger_count"),
+        "trip_distance", "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type",
+    )
+
+
+@register(
+    "score_contract",
+    O.with_ctes(
+        O.TRIPS,
+        select="""SELECT trip_id AS request_id, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime,
+          CAST(passenger_count AS INTEGER) AS passenger_count, round(trip_distance, 6) AS trip_distance,
+          round(RatecodeID, 6) AS RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID, payment_type,
+          (passenger_count IS NOT NULL AND RatecodeID IS NOT NULL AND store_and_fwd_flag IS NOT NULL
+           AND tpep_dropoff_datetime IS NOT NULL) AS is_valid
+        FROM trips""",
+    ),
+)
+def q_score_contract(spark, sf):
+    r = _requests(spark, sf)
+    js = r.select(F.to_json(F.struct(*r.columns, F.lit("ignored").alias("unknown_field"))).alias("value"))
+    return scoring.parse_requests(js)
+
+
+REJECT_SQL = O.with_ctes(
+    O.TRIPS,
+    O.ZONES,
+    f"""
+req AS (
+  SELECT trip_id AS request_id, tpep_pickup_datetime, tpep_dropoff_datetime,
+    CASE WHEN PULocationID = 57 THEN 56 ELSE PULocationID END AS pu,
+    CASE WHEN DOLocationID = 57 THEN 56 ELSE DOLocationID END AS dou FROM trips
+)""",
+    select=f"""SELECT request_id,
+      CASE WHEN pu IN (264, 265) OR dou IN (264, 265) THEN '{scoring.REASON_LOCATION}'
+           WHEN date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 < 1
+             OR date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 > 180 THEN '{scoring.REASON_DURATION}'
+           WHEN zp.lon IS NULL OR zp.lat IS NULL OR zd.lon IS NULL OR zd.lat IS NULL THEN '{scoring.REASON_HAVERSINE}' END AS reject_reason
+    FROM req LEFT JOIN zones zp ON req.pu = zp.LocationID LEFT JOIN zones zd ON req.dou = zd.LocationID""",
+)
+
+
+@register("reject_reasons", REJECT_SQL)
+def q_reject_reasons(spark, sf):
+    return scoring.reject_reasons(_requests(spark, sf), fx.fixture_zones(spark)).select("request_id", "reject_reason")
+
+
+def _scoring_model(spark, sf):
+    xy = _xy(spark, sf)
+    return M.linear_regression().fit(xy["train"])
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    model = _scoring_model(spark, sf)
+    return scoring.score_batch(
+        _requests(spark, sf), _fitted(spark, sf), model, fx.fixture_zones(spark), fx.fixture_zone_lookup(spark),
+        holiday_calendar(spark), "LinearRegressionModel",
+    )
+
+
+@register("score_stream")
+def q_score_stream(spark, sf):
+    src = sinks.shared_dir(spark, "stream", "requests")
+    _requests(spark, sf).repartition(4, "request_id").write.parquet(src)
+    sink = sinks.shared_dir(spark, "stream", "scored")
+    ckpt = sinks.shared_dir(spark, "stream", "checkpoint")
+    q = score_stream(
+        spark, src, sink, ckpt, _fitted(spark, sf), _scoring_model(spark, sf), fx.fixture_zones(spark),
+        fx.fixture_zone_lookup(spark), holiday_calendar(spark), "LinearRegressionModel",
+    )
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+# ============================================================ L: jobs
+@register(
+    "preprocess_job",
+    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, file_month, split FROM splits"),
+)
+def q_preprocess_job(spark, sf):
+    out = sinks.shared_dir(spark, "preprocess_job")
+    paths = jobs.preprocess_job(
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SPLIT_ROWS
+    )
+    return spark.read.parquet(paths["splits"]).select("trip_id", "file_month", "split")
+
+
+@register("training_job")
+def q_training_job(spark, sf):
+    out = sinks.shared_dir(spark, "training_job")
+    paths = jobs.preprocess_job(
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SPLIT_ROWS
+    )
+    board = jobs.training_job(
+        spark, "evaluate", paths["splits"], paths["preprocess"], f"{out}/artifacts", models=("linear_reg", "ridge", "lightgbm"),
+        tree_scale=0.01,
+    )
+    return board.select("Model", "MAE", "RMSE", "R2")
+

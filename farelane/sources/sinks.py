@@ -81,6 +81,13 @@ def rewrite_stage(df: DataFrame, spark: SparkSession, stage: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def write_stage(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` as parquet under the shared checkpoint folder; returns the path."""
+    out = shared_dir(df.sparkSession, "materialized", name)
+    df.write.mode("overwrite").parquet(out)
+    return out
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -88,7 +95,4 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     need (a sampler reads its input once per level); the copy lives on the
     cluster's shared storage, so a lost executor does not lose it.
     """
-    spark = df.sparkSession
-    out = shared_dir(spark, "materialized", name)
-    df.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return df.sparkSession.read.parquet(write_stage(df, name))
