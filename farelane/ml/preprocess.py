@@ -4,9 +4,10 @@
   linearly interpolated quantiles fitted on the training rows (the built-in
   ``RobustScaler`` uses approximate quantiles and does not centre by default);
   a zero IQR divides by 1.
-* categorical columns: ``StringIndexer`` (alphabetical, unseen -> extra index)
-  + ``OneHotEncoder(dropLast=True)``: every training category gets a slot
-  and unseen values (including NULL when it was not seen) encode as zeros.
+* categorical columns: ``StringIndexer`` (alphabetical; unseen values go to
+  its extra ``__unknown`` label) + ``OneHotEncoder(dropLast=True)``, which
+  drops exactly that extra slot: every training category keeps a slot and
+  unseen values (including NULL when it was not seen) encode as zeros.
 * everything else is dropped; the output is one ``features`` vector.
 
 The fitted pipeline is an ordinary ``PipelineModel`` and persists with
@@ -155,7 +156,7 @@ def build_preprocess(
         stages += [
             CategoryText(inputCols=categorical, outputCols=text),
             StringIndexer(inputCols=text, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
-            OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"),
         ]
         assembled += ohe
     stages.append(VectorAssembler(inputCols=assembled, outputCol=output_col, handleInvalid="keep"))

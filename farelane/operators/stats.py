@@ -60,6 +60,22 @@ def tvd(p: DataFrame, q: DataFrame, col: str, groups: Sequence[str] = ()) -> Dat
     return tvd_from_counts(counts, groups)
 
 
+def _count_below(bounds: Column, v: Column, n: int) -> Column:
+    """Number of entries of the sorted array ``bounds`` (length ``n``) below ``v``.
+
+    A binary search unrolled into nested CASE expressions (depth log2 n), so it
+    compiles into the generated code instead of running a lambda per element.
+    """
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at(bounds, mid + 1) < v, build(mid + 1, hi)).otherwise(build(lo, mid))
+
+    return build(0, n)
+
+
 def ks_from_counts(
     counts: DataFrame,
     groups: Sequence[str],
@@ -82,7 +98,7 @@ def ks_from_counts(
     )
     # one row per group (bounded by the number of groups)
     c = counts.join(F.broadcast(bounds), gkey, "inner")
-    c = c.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda t: t < F.col(value))))
+    c = c.withColumn("_b", _count_below(F.col("_bounds"), F.col(value), buckets - 1))
     btot = c.groupBy(*gkey, "_b").agg(F.sum(x_count).alias("_bx"), F.sum(y_count).alias("_by"))
     wb = Window.partitionBy(*gkey).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = btot.select(

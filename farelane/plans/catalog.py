@@ -24,6 +24,7 @@ from farelane.sources import fixtures as fx
 from farelane.sources import monthly, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+RAW_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}  # same plans without output rounding
 ORACLES: dict[str, str] = {}
 
 TRIP_COLS = (
@@ -50,6 +51,7 @@ def rounded(df: DataFrame, dp: int = 6) -> DataFrame:
 def register(key: str, sql: str | None = None):
     def deco(fn):
         QUERIES[key] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
+        RAW_QUERIES[key] = fn
         if sql is not None:
             ORACLES[key] = sql
         return fn
@@ -995,6 +997,12 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
+def all_raw_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from farelane.plans import ml_catalog  # noqa: F401
+
+    return dict(RAW_QUERIES)
+
+
 def all_oracles() -> dict[str, str]:
     from farelane.plans import ml_catalog  # noqa: F401
 

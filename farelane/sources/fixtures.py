@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.sources.parallel import spread
+
 # --- fixed values: trip mapping (FIXTURES.md §3) -------------------------------
 T0 = "2024-01-01 00:00:00"
 PICKUP_SPAN_MIN = 831000
@@ -26,6 +28,12 @@ FIXTURE_HOLIDAYS = (
 )
 
 
+TRIP_COLUMNS = (
+    "trip_id", "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+    "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "total_amount", "file_month",
+)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -64,8 +72,33 @@ def trips_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+# raw trip tables already written for a scale directory (see ``use_trip_table``)
+_TRIP_TABLES: dict[str, str] = {}
+
+
+def use_trip_table(sf_dir: str, path: str | None) -> None:
+    """Read the trips of ``sf_dir`` from a written monthly table instead of deriving them.
+
+    The table is what :func:`farelane.sources.sinks.write_months` writes for
+    :func:`trips_from_orders`, i.e. the raw monthly trip files the pipeline
+    normally starts from; row for row the same data.
+    """
+    if path is None:
+        _TRIP_TABLES.pop(sf_dir.rstrip("/"), None)
+    else:
+        _TRIP_TABLES[sf_dir.rstrip("/")] = path
+
+
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_orders(read_table(spark, sf_dir, "orders"))
+    table = _TRIP_TABLES.get(sf_dir.rstrip("/"))
+    if table is not None:
+        from farelane.sources.monthly import scan_months
+
+        df = scan_months(spark, table)
+        cols = [c for c in TRIP_COLUMNS if c in df.columns]
+        return df.select(*cols)
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return trips_from_orders(spread(orders, ["o_orderkey"]))
 
 
 def _zone_ids(spark: SparkSession) -> DataFrame:

@@ -1,0 +1,24 @@
+"""Input parallelism guard.
+
+A scan yields one task per file split.  A small input stored as one file
+(one row group) would run every narrow operator downstream in a single
+task; ``spread`` hash-partitions such an input over the cluster's default
+parallelism.  When the scan already has at least that many splits (any
+large input) it returns the frame unchanged, so no shuffle is added at scale.
+The hash is over key columns, so a recomputed partition holds the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread(df: DataFrame, keys: Sequence[str], min_partitions: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[F.col(k) for k in keys])
