@@ -1008,3 +1008,63 @@ def all_oracles() -> dict[str, str]:
 
     return dict(ORACLES)
 
+
+
+# ============================================================ A: remaining sources and sinks
+
+
+@register(
+    "scan_zone_lookup",
+    """SELECT CAST(n_nationkey AS INTEGER) AS LocationID,
+         CASE WHEN n_nationkey % 7 = 3 THEN NULL ELSE n_name END AS Borough, r_name AS service_zone
+       FROM nation JOIN region ON n_regionkey = r_regionkey""",
+)
+def q_scan_zone_lookup(spark, sf):
+    """A4: a lookup CSV (padded header names, ``N/A`` for missing) written from nation x region, read back."""
+    nation, region = fx.read_table(spark, sf, "nation"), fx.read_table(spark, sf, "region")
+    src = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").cast("string").alias(" LocationID "),
+        F.when(F.col("n_nationkey") % 7 == 3, F.lit("N/A")).otherwise(F.col("n_name")).alias("Borough "),
+        F.col("r_name").alias(" service_zone"),
+    )
+    path = sinks.shared_dir(spark, "zone_lookup_csv")
+    src.coalesce(1).write.option("header", True).csv(path)
+    lk = monthly.read_zone_lookup(spark, path)
+    return lk.select("LocationID", "Borough", "service_zone")
+
+
+@register(
+    "rewrite_stage",
+    O.with_ctes(O.TRIPS, O.MONTH_FILTERED, select="SELECT file_month, count(*) AS n_rows FROM mf GROUP BY file_month"),
+)
+def q_rewrite_stage(spark, sf):
+    """A stage rewritten to a new location and read back from there."""
+    staged = sinks.rewrite_stage(clean.month_filter(_trips(spark, sf)), spark, "month_filtered")
+    return staged.groupBy(FILE_MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "sink_splits",
+    O.with_ctes(
+        O.TRIPS,
+        f"\ntagged AS (SELECT *, {SPLIT_SQL_EXPR} AS split FROM trips)",
+        select=f"""SELECT split, count(*) AS n_rows FROM (
+          {_topn_sql("(SELECT * FROM tagged WHERE split <> 'ignore')", SPLIT_N_SQL, cols="trip_id, split")}) GROUP BY split""",
+    ),
+)
+def q_sink_splits(spark, sf):
+    """The split sample written partitioned by split, read back."""
+    out = sinks.write_splits(sampling.build_splits(_trips(spark, sf), SPLIT_ROWS), sinks.shared_dir(spark, "splits"))
+    return spark.read.parquet(out).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "sink_metrics",
+    O.with_ctes(O.TRIPS, select="""SELECT file_month, count(*) AS rows_raw FROM trips GROUP BY file_month"""),
+)
+def q_sink_metrics(spark, sf):
+    """A small result table written as one CSV and one JSON file, read back from the CSV."""
+    summary = clean.outlier_summary(_trips(spark, sf)).select(FILE_MONTH, "rows_raw")
+    out = sinks.write_metrics(summary, sinks.shared_dir(spark, "metrics"))
+    back = spark.read.option("header", True).schema("file_month string, rows_raw long").csv(f"{out}/csv")
+    return back
