@@ -10,7 +10,7 @@ month inside one task.  Instead the threshold is found from digest-prefix
 histograms (map-side partially aggregated, one row per group x prefix), which
 are reduced to one threshold row per group; only the rows sharing the final
 boundary prefix (about ``rows / 16**(4 * levels)`` per group) are ranked by
-a window.  One level keeps the final window at about 1.5M rows for a group of
+a window, after identical copies have been collapsed to counts.  One level keeps the final window at about 1.5M rows for a group of
 1e11 rows; ``levels=2`` is there for anything larger.  Every other row is decided by a broadcast join against the
 per-group threshold table, whose size is the number of groups.
 """
@@ -117,12 +117,28 @@ def sample_top_n(
         cand = j.where(F.col(p) == F.col(f"{p}_edge")).withColumn("_q0", F.col(f"{p}_left")).select(*base.columns)
         q = F.col("_q0")
 
-    w = Window.partitionBy(*groups).orderBy("_d", key)
-    ranked = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= F.col("_q0")).select(*base.columns)
+    # Rows sharing the boundary prefix.  Identical copies of a row (same digest,
+    # key and values) are collapsed to one row with a copy count first, so a
+    # large group of copies is absorbed by map-side aggregation instead of
+    # landing in one window task; the window then ranks distinct rows only
+    # and the chosen number of copies is re-emitted.
+    value_cols = [c for c in df.columns if c not in groups and c != key]
+    distinct = cand.groupBy(*groups, "_d", key, *value_cols).agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("_q0").alias("_q0")
+    )
+    w = Window.partitionBy(*groups).orderBy("_d", key, F.xxhash64(*[F.col(c) for c in value_cols]) if value_cols else F.lit(0))
+    before = F.coalesce(F.sum("_copies").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    take = F.least(F.col("_copies"), F.greatest(F.col("_q0") - before, F.lit(0)))
+    ranked = (
+        distinct.withColumn("_take", take)
+        .where(F.col("_take") > 0)
+        .select(*groups, key, *value_cols, F.explode(F.sequence(F.lit(1), F.col("_take").cast("int"))).alias("_copy"))
+    )
+    keep_parts = [k.select(*df.columns) for k in keep_parts]
     out = keep_parts[0]
-    for part in keep_parts[1:] + [ranked]:
+    for part in keep_parts[1:] + [ranked.select(*df.columns)]:
         out = out.unionByName(part)
-    return out.select(*df.columns)
+    return out
 
 
 # ---------------------------------------------------------------- G3 / G4 / G5

@@ -65,3 +65,20 @@ def test_tvd_matches_pandas(spark):
     exp = 0.5 * p.subtract(q, fill_value=0).abs().sum()
     got = stats.tvd(spark.createDataFrame([(v,) for v in a], "v int"), spark.createDataFrame([(v,) for v in b], "v int"), "v").first().tvd
     assert got == pytest.approx(exp)
+
+
+def test_sample_top_n_with_heavy_copies(spark):
+    # a third of the rows are copies of one row; the multiset of the result must be exact
+    rows = [(i, "g", float(i)) for i in range(600)] + [(7, "g", 7.0)] * 300
+    df = spark.createDataFrame(rows, "trip_id long, file_month string, v double")
+    for n in (0, 5, 200, 450, 2000):
+        got = sorted(tuple(r) for r in sampling.sample_top_n(df, n, "trip_id", 3, ["file_month"]).collect())
+        d = F.md5(F.concat_ws(":", F.col("trip_id").cast("string"), F.lit("3")))
+        exp = sorted(
+            tuple(r)
+            for r in df.withColumn("rk", F.row_number().over(Window.partitionBy("file_month").orderBy(d, "trip_id")))
+            .where(F.col("rk") <= n)
+            .drop("rk")
+            .collect()
+        )
+        assert got == exp
