@@ -139,3 +139,18 @@ def ks_distance(x: DataFrame, y: DataFrame, col: str, groups: Sequence[str] = ()
         return ks_from_counts(counts, ["_g"], buckets=buckets).drop("_g")
     return ks_from_counts(counts, groups, buckets=buckets)
 
+
+
+def ks_subset(df: DataFrame, col: str, subset: Column, groups: Sequence[str], buckets: int = 64) -> DataFrame:
+    """KS between all rows and the rows where ``subset`` holds, from one scan.
+
+    The common audit shape (a frame against a filtered copy of itself): one
+    aggregation gives both counts per value, so the data is read once.
+    """
+    counts = (
+        df.select(*groups, F.col(col).cast("double").alias("value"), F.coalesce(subset, F.lit(False)).alias("_in"))
+        .where(is_finite("value"))
+        .groupBy(*groups, "value")
+        .agg(F.count(F.lit(1)).alias("c_x"), F.count_if("_in").alias("c_y"))
+    )
+    return ks_from_counts(counts, list(groups), buckets=buckets)

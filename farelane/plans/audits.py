@@ -94,27 +94,52 @@ TVD_COLUMNS = {"PULocationID": "TVD_PULocationID", "DOLocationID": "TVD_DOLocati
 
 
 def drop_impact(df: DataFrame, trio: Sequence[str] = TRIO, file_month: str = FILE_MONTH) -> DataFrame:
-    """Per month: what dropping rows with a NULL in the trio does to size, means and mix (H3)."""
+    """Per month: what dropping rows with a NULL in the trio does to size, means and mix (H3).
+
+    One scan and one shuffle: rows are stacked per audited column, value
+    counts (all / kept) are aggregated per (month, column, value), and the
+    sums behind the monthly means ride along on the first column's rows, so
+    the monthly summary is a second, tiny aggregation of that result.
+    """
     present = [c for c in trio if c in df.columns]
     kept = F.lit(True)
     for c in present:
         kept = kept & F.col(c).isNotNull()
     base = df.withColumn("_kept", kept).withColumn("_hour", F.hour(F.col(PICKUP).cast("timestamp_ntz")))
-    summary = base.groupBy(file_month).agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_if("_kept").alias("rows_after_dropna"),
-        F.avg("total_amount").alias("total_amount_mean_all"),
-        F.avg(F.when(F.col("_kept"), F.col("total_amount"))).alias("total_amount_mean_clean"),
-        F.avg("trip_distance").alias("trip_dist_mean_all"),
-        F.avg(F.when(F.col("_kept"), F.col("trip_distance"))).alias("trip_dist_mean_clean"),
-    )
     cols = [c for c in TVD_COLUMNS if c in base.columns]
-    counts = (
-        stats.long_values(base, cols, keep=[file_month, "_kept"])
-        .groupBy(file_month, "column", "value")
-        .agg(F.count(F.lit(1)).alias("c_p"), F.count_if("_kept").alias("c_q"))
+    first = cols[0]
+    long = stats.long_values(base, cols, keep=[file_month, "_kept", "total_amount", "trip_distance"])
+    on_first = F.col("column") == first
+    k = F.col("_kept")
+
+    def s(c, cond):
+        return F.sum(F.when(on_first & cond, F.col(c)))
+
+    def n(c, cond):
+        return F.count(F.when(on_first & cond, F.col(c)))
+
+    counts = long.groupBy(file_month, "column", "value").agg(
+        F.count(F.lit(1)).alias("c_p"),
+        F.count_if(k).alias("c_q"),
+        s("total_amount", F.lit(True)).alias("_ta"),
+        n("total_amount", F.lit(True)).alias("_nta"),
+        s("total_amount", k).alias("_tak"),
+        n("total_amount", k).alias("_ntak"),
+        s("trip_distance", F.lit(True)).alias("_td"),
+        n("trip_distance", F.lit(True)).alias("_ntd"),
+        s("trip_distance", k).alias("_tdk"),
+        n("trip_distance", k).alias("_ntdk"),
+    )
+    firsts = counts.where(F.col("column") == first)
+    summary = firsts.groupBy(file_month).agg(
+        F.sum("c_p").alias("rows_total"),
+        F.sum("c_q").alias("rows_after_dropna"),
+        F.try_divide(F.sum("_ta"), F.sum("_nta")).alias("total_amount_mean_all"),
+        F.try_divide(F.sum("_tak"), F.sum("_ntak")).alias("total_amount_mean_clean"),
+        F.try_divide(F.sum("_td"), F.sum("_ntd")).alias("trip_dist_mean_all"),
+        F.try_divide(F.sum("_tdk"), F.sum("_ntdk")).alias("trip_dist_mean_clean"),
     )
-    t = stats.tvd_from_counts(counts, [file_month, "column"])
+    t = stats.tvd_from_counts(counts.select(file_month, "column", "value", "c_p", "c_q"), [file_month, "column"])
     wide = t.groupBy(file_month).agg(
         *[F.max(F.when(F.col("column") == c, F.col("tvd"))).alias(name) for c, name in TVD_COLUMNS.items() if c in cols]
     )

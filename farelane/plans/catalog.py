@@ -802,8 +802,8 @@ def q_tvd(spark, sf):
 )
 def q_ks_distance(spark, sf):
     mf = clean.month_filter(_trips(spark, sf))
-    sub = mf.where(F.col("passenger_count").isNotNull() & (F.col("total_amount") < 150))
-    return stats.ks_distance(mf, sub, "trip_distance", [FILE_MONTH], buckets=8)
+    sub = F.col("passenger_count").isNotNull() & (F.col("total_amount") < 150)
+    return stats.ks_subset(mf, "trip_distance", sub, [FILE_MONTH], buckets=8)
 
 
 @register(
