@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelane.constants import (
     BAD_LOCATION_IDS,
@@ -156,14 +157,52 @@ def missing_policy(
 
 # ---------------------------------------------------------------- C7 / C8 range filter
 def range_mask(bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS) -> Column:
+    """Inclusive bands where NULL passes (columns already NaN-normalised)."""
     keep = F.lit(True)
     for c, (lo, hi) in bounds.items():
         keep = keep & null_safe_between(c, lo, hi)
     return keep
 
 
-def range_filter(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS) -> DataFrame:
-    """Keep rows inside every inclusive band; NULL passes."""
+def _raw_range_mask(bounds: Mapping[str, tuple[float, float]]) -> Column:
+    """The same bands on raw double columns: NaN counts as missing and passes."""
+    keep = F.lit(True)
+    for c, (lo, hi) in bounds.items():
+        keep = keep & (F.col(c).isNull() | F.isnan(c) | F.col(c).between(lo, hi))
+    return keep
+
+
+def _lower_bounds(bounds: Mapping[str, tuple[float, float]]) -> Column:
+    """``c IS NULL OR c >= lo`` per column: implied by the bands (NaN sorts above
+    every number in Spark) and translatable to parquet row-group filters."""
+    keep = F.lit(True)
+    for c, (lo, _hi) in bounds.items():
+        keep = keep & (F.col(c).isNull() | (F.col(c) >= lo))
+    return keep
+
+
+def range_filter(
+    df: DataFrame,
+    bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS,
+    push_lower_bounds: bool = True,
+) -> DataFrame:
+    """Keep rows inside every inclusive band; NULL (and NaN) passes.
+
+    On numeric inputs the filter runs on the raw columns before the NaN->NULL
+    projection, so with ``push_lower_bounds`` the implied ``c IS NULL OR
+    c >= lo`` conjuncts reach the parquet reader and skip row groups holding
+    only too-small values (the main outliers).  This assumes the files record
+    NaN in their min/max statistics as Spark's writer does (or hold no NaN,
+    as pandas-written files do); turn it off otherwise.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [c for c in bounds if c in types]
+    if cols and all(isinstance(types[c], T.NumericType) for c in cols):
+        b = {c: bounds[c] for c in cols}
+        pred = _raw_range_mask(b)
+        if push_lower_bounds:
+            pred = _lower_bounds(b) & pred
+        return lenient_casts(df.where(pred), timestamps=(), numerics=tuple(cols))
     df = lenient_casts(df, timestamps=(), numerics=tuple(bounds))
     return df.where(range_mask(bounds))
 

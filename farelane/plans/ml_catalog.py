@@ -238,14 +238,14 @@ def q_ridge(spark, sf):
 @register("boosted_trees")
 def q_boosted_trees(spark, sf):
     xy = _xy(spark, sf)
-    m = M.boosted_trees("xgboost", scale=0.02).fit(xy["train"])
+    m = M.boosted_trees("xgboost", scale=0.01).fit(xy["train"])
     return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
 
 
 @register("early_stop")
 def q_early_stop(spark, sf):
     xy = _xy(spark, sf)
-    gbt = M.with_early_stopping(M.boosted_trees("lightgbm", scale=0.05), tol=0.01)
+    gbt = M.with_early_stopping(M.boosted_trees("lightgbm", scale=0.02), tol=0.01)
     m = M.fit_with_validation(gbt, xy["train"], xy["val"])
     return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
 
