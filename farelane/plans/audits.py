@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from farelane.constants import (
     AUDIT_SAMPLE_ROWS,
+    BAD_LOCATION_IDS,
     BIAS_CATEGORICALS,
     BIAS_NUMERICS,
     BIAS_SEEDS,
@@ -29,7 +30,6 @@ from farelane.constants import (
 )
 from farelane.functions.exprs import is_finite, minutes_between
 from farelane.operators import clean, sampling, stats
-from farelane.operators.joins import join_centroids
 from farelane.sources import sinks
 
 
@@ -300,28 +300,41 @@ def outlier_share(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = RAN
 
 # ---------------------------------------------------------------- H9
 def location_fix_summary(df: DataFrame, zones: DataFrame, file_month: str = FILE_MONTH) -> DataFrame:
-    """Per file: rows in / out of the id fix + centroid join, bad-id drops, missing coordinates (H9)."""
-    n_in = df.groupBy(file_month).agg(F.count(F.lit(1)).alias("rows_in"))
-    fixed = join_centroids(clean.fix_locations(df), zones)
-    n_out = fixed.groupBy(file_month).agg(
-        F.count(F.lit(1)).alias("rows_out"),
-        F.count_if(F.col("pickup_lon").isNull()).alias("missing_pickup_coords"),
-        F.count_if(F.col("dropoff_lon").isNull()).alias("missing_dropoff_coords"),
+    """Per file: rows in / out of the id fix + centroid join, bad-id drops, missing coordinates (H9).
+
+    One scan: instead of materialising the fan-out of the centroid join, each
+    trip looks up (broadcast, one row per zone id) how many zone rows its PU
+    and DO ids have and how many of those lack coordinates, and contributes
+    the resulting output-row counts to a single aggregation.
+    """
+    zstats = zones.groupBy("LocationID").agg(
+        F.count(F.lit(1)).alias("_m"),
+        F.count_if(F.col("lon").isNull() | F.col("lat").isNull()).alias("_mnull"),
     )
-    kept = clean.fix_locations(df).groupBy(file_month).agg(F.count(F.lit(1)).alias("_kept"))
-    return (
-        n_in.join(kept, file_month, "left")
-        .join(n_out, file_month, "left")
-        .select(
-            file_month,
-            "rows_in",
-            F.coalesce("rows_out", F.lit(0)).alias("rows_out"),
-            (F.col("rows_in") - F.coalesce("_kept", F.lit(0))).alias("rows_dropped_invalidID"),
-            F.coalesce("missing_pickup_coords", F.lit(0)).alias("missing_pickup_coords"),
-            F.coalesce("missing_dropoff_coords", F.lit(0)).alias("missing_dropoff_coords"),
+    fixed = clean.fix_locations(df.withColumn("_in", F.lit(1)), bad_ids=())  # id replacement only
+    bad = F.lit(False)
+    for c in ("PULocationID", "DOLocationID"):
+        bad = bad | F.coalesce(F.col(c).isin(*BAD_LOCATION_IDS), F.lit(False))
+    j = fixed.withColumn("_bad", bad)
+    for side, key in (("p", "PULocationID"), ("d", "DOLocationID")):
+        zs = F.broadcast(zstats).select(  # bounded by the number of zone ids
+            F.col("LocationID").alias(f"_{side}id"), F.col("_m").alias(f"_{side}m"), F.col("_mnull").alias(f"_{side}null")
         )
-        .orderBy(file_month)
+        j = j.join(zs, F.col(key) == F.col(f"_{side}id"), "left")
+    # rows one trip becomes after the two left joins, and how many lack each side's coordinates
+    pm = F.coalesce(F.col("_pm"), F.lit(1))
+    dm = F.coalesce(F.col("_dm"), F.lit(1))
+    p_missing = F.when(F.col("_pm").isNull(), F.lit(1)).otherwise(F.col("_pnull"))
+    d_missing = F.when(F.col("_dm").isNull(), F.lit(1)).otherwise(F.col("_dnull"))
+    ok = ~F.col("_bad")
+    out = j.groupBy(file_month).agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.sum(F.when(ok, pm * dm).otherwise(0)).cast("long").alias("rows_out"),
+        F.count_if(F.col("_bad")).alias("rows_dropped_invalidID"),
+        F.sum(F.when(ok, p_missing * dm).otherwise(0)).cast("long").alias("missing_pickup_coords"),
+        F.sum(F.when(ok, d_missing * pm).otherwise(0)).cast("long").alias("missing_dropoff_coords"),
     )
+    return out.orderBy(file_month)
 
 
 # ---------------------------------------------------------------- H10 / H11

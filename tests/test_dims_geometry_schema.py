@@ -90,3 +90,19 @@ def test_haversine_known_distance(spark):
     d = spark.range(1).select(haversine_km(F.lit(-74.0), F.lit(40.0), F.lit(-73.0), F.lit(40.0)).alias("d")).first().d
     exp = 2 * 6371.0 * math.asin(math.sqrt(math.cos(math.radians(40)) ** 2 * math.sin(math.radians(0.5)) ** 2))
     assert d == pytest.approx(exp)
+
+
+def test_location_fix_summary_counts_fan_out(spark):
+    from farelane.operators import clean
+    from farelane.plans import audits
+
+    zones = spark.createDataFrame([(1, 0.0, 0.0), (1, 1.0, 1.0), (2, None, None), (56, 5.0, 5.0)],
+                                  "LocationID int, lon double, lat double")
+    trips = spark.createDataFrame([(1, 2, "m"), (57, 1, "m"), (264, 1, "m"), (3, 1, "m"), (None, 2, "m")],
+                                  "PULocationID int, DOLocationID int, file_month string")
+    r = audits.location_fix_summary(trips, zones).first()
+    j = joins.join_centroids(clean.fix_locations(trips), zones)
+    assert r.rows_in == 5 and r.rows_dropped_invalidID == 1
+    assert r.rows_out == j.count()
+    assert r.missing_pickup_coords == j.where("pickup_lon IS NULL").count()
+    assert r.missing_dropoff_coords == j.where("dropoff_lon IS NULL").count()
