@@ -438,25 +438,22 @@ def q_holiday_calendar(spark, sf):
     "align_outer",
     O.with_ctes(
         O.TRIPS,
-        select="""SELECT coalesce(p.v, q.v) AS PULocationID, round(coalesce(p.share, 0), 6) AS p, round(coalesce(q.share, 0), 6) AS q
-        FROM (SELECT PULocationID AS v, count(*) / sum(count(*)) OVER () AS share FROM trips WHERE file_month < '2025-01' GROUP BY 1) p
-        FULL OUTER JOIN (SELECT PULocationID AS v, count(*) / sum(count(*)) OVER () AS share FROM trips WHERE file_month >= '2025-01' AND PULocationID % 3 <> 0 GROUP BY 1) q
+        select="""SELECT coalesce(p.v, q.v) AS hour, round(coalesce(p.share, 0), 6) AS p, round(coalesce(q.share, 0), 6) AS q
+        FROM (SELECT hour(tpep_pickup_datetime) AS v, count(*) / sum(count(*)) OVER () AS share FROM trips GROUP BY 1) p
+        FULL OUTER JOIN (SELECT hour(tpep_dropoff_datetime) AS v, count(*) / sum(count(*)) OVER () AS share FROM trips GROUP BY 1) q
         ON p.v IS NOT DISTINCT FROM q.v""",
     ),
 )
 def q_align_outer(spark, sf):
+    """Pickup-hour vs dropoff-hour shares; the dropoff side has a NULL hour the pickup side lacks."""
     t = _trips(spark, sf)
 
-    def shares(df):
-        c = df.groupBy("PULocationID").agg(F.count(F.lit(1)).alias("n"))
-        tot = c.agg(F.sum("n").alias("tot"))
-        return c.join(F.broadcast(tot.select("*", F.lit(1).alias("_k"))), F.lit(1) == F.col("_k")).select(
-            "PULocationID", (F.col("n") / F.col("tot")).alias("share")
-        )
+    def shares(col):
+        c = t.groupBy(F.hour(col).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+        tot = c.agg(F.sum("n").alias("tot")).select(F.lit(1).alias("_k"), "tot")  # one row
+        return c.join(F.broadcast(tot), F.lit(1) == F.col("_k")).select("hour", (F.col("n") / F.col("tot")).alias("share"))
 
-    p = shares(t.where(F.col(FILE_MONTH) < "2025-01"))
-    q = shares(t.where((F.col(FILE_MONTH) >= "2025-01") & (F.col("PULocationID") % 3 != 0)))
-    return joins.align_outer(p, q, ["PULocationID"])
+    return joins.align_outer(shares("tpep_pickup_datetime"), shares("tpep_dropoff_datetime"), ["hour"])
 
 
 # ============================================================ E: features

@@ -103,3 +103,15 @@ def test_stream_scoring_equals_batch(spark):
     key = ["request_id", "status", "reject_reason", "total_amount"]
     assert sorted(map(tuple, batch.select(*key).collect()), key=str) == sorted(map(tuple, streamed.select(*key).collect()), key=str)
     assert batch.where("status = 'rejected'").count() > 0
+
+
+def test_final_compare_metrics_finite(spark):
+    import math
+
+    df = _xy(spark)
+    _, params, _ = M.param_search(df, df, n_trials=1, tree_scale=0.002, depth_cap=3)
+    result, model = M.final_compare(spark, params, df, df, df, tree_scale=0.002, depth_cap=3)
+    rows = result.collect()
+    assert {r.mode for r in rows} == {"train_only", "train_val"}
+    assert all(math.isfinite(r.rmse) and math.isfinite(r.mae) and math.isfinite(r.r2) for r in rows)
+    assert rows[0].better in ("TRAIN+VAL", "TRAIN only")

@@ -82,3 +82,12 @@ def test_sample_top_n_with_heavy_copies(spark):
             .collect()
         )
         assert got == exp
+
+
+def test_sample_fixed_n_is_min_of_n_and_rows_per_month(spark):
+    from farelane.sources import fixtures as fx
+
+    t = fx.load_trips(spark, "/root/testdata/sf0.001")
+    sizes = {r.file_month: r["count"] for r in t.groupBy("file_month").count().collect()}
+    got = {r.file_month: r["count"] for r in sampling.sample_fixed_n(t, 70).groupBy("file_month").count().collect()}
+    assert got == {m: min(70, n) for m, n in sizes.items()}
