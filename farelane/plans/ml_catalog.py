@@ -32,6 +32,7 @@ from farelane.plans.catalog import (
     _trips,
     register,
 )
+from farelane.session import session_key
 from farelane.sources import fixtures as fx
 from farelane.sources import sinks
 from farelane.streaming.score_stream import score_stream
@@ -59,7 +60,7 @@ splits AS (
 
 def _splits(spark: SparkSession, sf: str) -> DataFrame:
     """Feature rows of the per-month split sample, written once per session."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (session_key(spark), sf)
     if key not in _CACHE:
         feats = sinks.materialize(_features(spark, sf, src=_cleaned(spark, sf)), "model_features")
         s = sampling.build_splits(feats, SPLIT_ROWS)
@@ -68,7 +69,7 @@ def _splits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fitted(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "preprocess")
+    key = (session_key(spark), sf, "preprocess")
     if key not in _CACHE:
         train = _splits(spark, sf).where(F.col("split") == "train")
         model = P.fit_preprocess(P.build_preprocess(), train)

@@ -15,14 +15,32 @@ from pyspark.sql import SparkSession
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when none is configured."""
-    cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    cur = spark.conf.get("spark.checkpoint.dir", None) or context_checkpoint_dir(spark)
     if not cur:
         cur = tempfile.mkdtemp(prefix="farelane-ckpt-", dir=os.environ.get("FARELANE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(str(cur))
+    try:
+        spark.sparkContext.setCheckpointDir(str(cur))
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext keep the conf value only
+        pass
     return str(cur)
 
 
+def context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """A stable id of the running application (used to reuse written stages)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "farelane") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

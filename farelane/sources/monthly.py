@@ -60,7 +60,11 @@ def scan_months(
 
 
 def _is_partitioned(spark: SparkSession, src_dir: str) -> bool:
-    jvm = spark.sparkContext._jvm
+    """True when ``src_dir`` holds ``file_month=...`` folders (hive layout)."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001 - no JVM access: detect from the read schema instead
+        return FILE_MONTH in spark.read.parquet(src_dir).columns
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(src_dir)
     fs = path.getFileSystem(conf)

@@ -17,7 +17,9 @@ from farelane.constants import FILE_MONTH
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the session's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    from farelane.session import context_checkpoint_dir
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or context_checkpoint_dir(spark)
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; use farelane.session.get_spark() or set it")
     base = str(base).rstrip("/")
