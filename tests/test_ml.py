@@ -115,3 +115,29 @@ def test_final_compare_metrics_finite(spark):
     assert {r.mode for r in rows} == {"train_only", "train_val"}
     assert all(math.isfinite(r.rmse) and math.isfinite(r.mae) and math.isfinite(r.r2) for r in rows)
     assert rows[0].better in ("TRAIN+VAL", "TRAIN only")
+
+
+def test_stream_restart_scores_each_request_once(spark):
+    from farelane.operators import features
+
+    sf = "/root/testdata/sf0.001"
+    trips = fx.load_trips(spark, sf).where(F.col("file_month") < "2024-07")
+    req = trips.select(F.col("trip_id").alias("request_id"), "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+                       F.col("passenger_count").cast("int").alias("passenger_count"), "trip_distance", "RatecodeID",
+                       "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type")
+    zones, lookup, hol = fx.fixture_zones(spark), fx.fixture_zone_lookup(spark), holiday_calendar(spark, 2023, 2026)
+    train = features.build_features(trips, hol, lookup, zones).na.fill({"passenger_count": 1.0, "RatecodeID": 1.0, "store_and_fwd_flag": "N"})
+    pre = P.build_preprocess().fit(train)
+    model = M.linear_regression().fit(P.transform(pre, train))
+    src = sinks.shared_dir(spark, "t_restart_src")
+    sink, ckpt = sinks.shared_dir(spark, "t_restart_sink"), sinks.shared_dir(spark, "t_restart_ckpt")
+    req.where("request_id % 2 = 0").write.mode("append").parquet(src)
+    run = lambda: score_stream(spark, src, sink, ckpt, pre, model, zones, lookup, hol, "m").awaitTermination()
+    # the source folder gains a second batch of files between two runs on the same checkpoint
+    run()
+    first = spark.read.parquet(sink).count()
+    req.where("request_id % 2 = 1").write.mode("append").parquet(src)
+    run()
+    out = spark.read.parquet(sink)
+    assert first == req.where("request_id % 2 = 0").count()
+    assert out.count() == req.count() and out.select("request_id").distinct().count() == req.count()
