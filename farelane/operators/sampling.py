@@ -62,13 +62,12 @@ def _threshold(hist: DataFrame, groups: list[str], prefix: str, quota: Column) -
     """
     w = Window.partitionBy(*groups).orderBy(prefix).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = hist.withColumn("_cum", F.sum("_n").over(w)).withColumn("_quota", quota)
-    edge = h.where(F.col("_cum") >= F.col("_quota"))
-    return edge.groupBy(*groups).agg(
-        F.min_by(
-            F.struct(F.col(prefix).alias("edge"), (F.col("_quota") - F.col("_cum") + F.col("_n")).alias("left")),
-            F.col(prefix),
-        ).alias("_t")
-    ).select(*groups, F.col("_t.edge").alias(f"{prefix}_edge"), F.col("_t.left").alias(f"{prefix}_left"))
+    reached = F.col("_cum") >= F.col("_quota")
+    entry = F.struct(F.col(prefix).alias("edge"), (F.col("_quota") - F.col("_cum") + F.col("_n")).alias("left"))
+    # one row per group; NULL edge when the whole group fits in the quota
+    return h.groupBy(*groups).agg(F.min(F.when(reached, entry)).alias("_t")).select(
+        *groups, F.col("_t.edge").alias(f"{prefix}_edge"), F.col("_t.left").alias(f"{prefix}_left")
+    )
 
 
 def sample_top_n(
@@ -110,8 +109,9 @@ def sample_top_n(
         p = f"_p{i}"
         hist = cand.groupBy(*groups, p).agg(F.count(F.lit(1)).alias("_n"), F.max(q).alias("_qq"))
         t = _threshold(hist, groups, p, F.col("_qq"))
-        # one row per group: broadcast size is the number of groups
-        j = cand.join(F.broadcast(t), groups, "left")
+        # one row per group (NULL edge: the whole group is kept), so the
+        # broadcast size is the number of groups
+        j = cand.join(F.broadcast(t), groups, "inner")
         no_edge = F.col(f"{p}_edge").isNull()
         keep_parts.append(j.where(no_edge | (F.col(p) < F.col(f"{p}_edge"))).select(*base.columns))
         cand = j.where(F.col(p) == F.col(f"{p}_edge")).withColumn("_q0", F.col(f"{p}_left")).select(*base.columns)
