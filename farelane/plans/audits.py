@@ -247,11 +247,27 @@ def _null_safe_counts(p: DataFrame, q: DataFrame, keys: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- H7
 def quantile_scan(
-    df: DataFrame, cols: Sequence[str] = tuple(RANGE_BOUNDS), file_month: str = FILE_MONTH
+    df: DataFrame,
+    cols: Sequence[str] = tuple(RANGE_BOUNDS),
+    file_month: str = FILE_MONTH,
+    approx_accuracy: int | None = None,
 ) -> DataFrame:
-    """Per-file exact 1% / 99% quantiles (linear interpolation), min, max; then pooled (H7)."""
+    """Per-file 1% / 99% quantiles, min, max; then pooled (H7).
+
+    Exact by default (``percentile``, linear interpolation like pandas): its
+    partial aggregate holds one entry per distinct value of a file.  For value
+    domains too wide for that, ``approx_accuracy`` switches to
+    ``percentile_approx`` (a fixed-size sketch, relative rank error
+    ``1 / approx_accuracy``).
+    """
+
+    def q(c):
+        if approx_accuracy:
+            return F.percentile_approx(F.col(c), [0.01, 0.99], approx_accuracy)
+        return F.percentile(F.col(c), [0.01, 0.99])
+
     per_file = df.groupBy(file_month).agg(
-        *[F.percentile(F.col(c), [0.01, 0.99]).alias(f"_q_{i}") for i, c in enumerate(cols)],
+        *[q(c).alias(f"_q_{i}") for i, c in enumerate(cols)],
         *[F.min(c).alias(f"_mn_{i}") for i, c in enumerate(cols)],
         *[F.max(c).alias(f"_mx_{i}") for i, c in enumerate(cols)],
     )

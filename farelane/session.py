@@ -60,3 +60,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+# settings for large clusters, applied only where the cluster has not set them
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_scale_defaults(spark: SparkSession) -> dict[str, str]:
+    """Fill in the scale settings the session does not set yet; returns what was set."""
+    applied = {}
+    for key, value in SCALE_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

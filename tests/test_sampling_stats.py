@@ -91,3 +91,15 @@ def test_sample_fixed_n_is_min_of_n_and_rows_per_month(spark):
     sizes = {r.file_month: r["count"] for r in t.groupBy("file_month").count().collect()}
     got = {r.file_month: r["count"] for r in sampling.sample_fixed_n(t, 70).groupBy("file_month").count().collect()}
     assert got == {m: min(70, n) for m, n in sizes.items()}
+
+
+def test_quantile_scan_approx_close_to_exact(spark):
+    from farelane.plans import audits
+    from farelane.sources import fixtures as fx
+
+    t = fx.load_trips(spark, "/root/testdata/sf0.001")
+    exact = {r.column: r for r in audits.quantile_scan(t).collect()}
+    approx = {r.column: r for r in audits.quantile_scan(t, approx_accuracy=10_000).collect()}
+    for c, r in exact.items():
+        assert approx[c].global_min == r.global_min and approx[c].global_max == r.global_max
+        assert abs(approx[c].q99_max - r.q99_max) <= max(1.0, 0.05 * abs(r.q99_max))
