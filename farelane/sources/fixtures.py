@@ -68,7 +68,7 @@ def trips_from_orders(orders: DataFrame) -> DataFrame:
         ((c * 7 + k) % 266).cast("int").alias("DOLocationID"),
         (c % 5 + 1).cast("int").alias("payment_type"),
         (F.col("o_totalprice") / F.lit(1900.0)).alias("total_amount"),
-        F.date_format(file_ts, "yyyy-MM").alias("file_month"),
+        F.concat(F.year(file_ts).cast("string"), F.lit("-"), F.lpad(F.month(file_ts).cast("string"), 2, "0")).alias("file_month"),
     )
 
 
