@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, quality, token_counts
+from farelane.llm import bpe, decontaminate, quality, token_counts
 from farelane.llm.frames import read_table
 
 
@@ -20,6 +20,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"), keep_text=False)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_path()).drop("text")
@@ -42,6 +55,7 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": q_decontaminate,
         "op7_bpe": q_bpe,
         "op8_token_counts": q_token_counts,
         "op10_quality_rules": q_quality,
