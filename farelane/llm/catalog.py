@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, quality, token_counts
+from farelane.llm import bpe, decontaminate, near_dup, quality, token_counts
 from farelane.llm.frames import read_table
 
 
@@ -33,6 +33,11 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_path()).drop("text")
@@ -56,6 +61,7 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
+        "op4_near_dup": q_near_dup,
         "op7_bpe": q_bpe,
         "op8_token_counts": q_token_counts,
         "op10_quality_rules": q_quality,

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farelane.llm import bitmap
 from farelane.llm import textbytes as tb
 from farelane.llm.frames import arrow_map, materialize
 
 WINDOW = 13
 SHINGLE = 4
-BITMAP_BITS = 24
 SALTS = 16
 
 
@@ -67,26 +67,6 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str, window: int, shi
     return arrow_map(src, run, "item_id string, n int, words string, size int, shingles array<bigint>").distinct()
 
 
-def _bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """Packed bits of the low ``BITMAP_BITS`` bits of the hashes; at most 2**(BITMAP_BITS - 6) rows reach the driver."""
-    bucket = F.col(column).bitwiseAND((1 << BITMAP_BITS) - 1)
-    rows = (
-        hashes.select(F.shiftright(bucket, 6).alias("w"), F.expr(f"shiftleft(1L, cast(({column} & 63) as int))").alias("bit"))
-        .groupBy("w")
-        .agg(F.expr("bit_or(bit)").alias("bits"))
-        .collect()
-    )
-    words = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    for r in rows:
-        words[r["w"]] = r["bits"] & ((1 << 64) - 1)
-    return words
-
-
-def _listed(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bucket = hashes & np.uint64((1 << BITMAP_BITS) - 1)
-    return (bits[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _shingle_counts(docs: DataFrame, text_col: str, sizes: list[int], bits) -> DataFrame:
     """How often each (size, benchmark shingle) occurs in the corpus."""
 
@@ -95,7 +75,7 @@ def _shingle_counts(docs: DataFrame, text_col: str, sizes: list[int], bits) -> D
             _, _, _, hashes, first = tb.words(raw, off, tb.ALNUM)
             for size in sizes:
                 _, _, sh = tb.shingles(hashes, first, size)
-                h, n = np.unique(sh[_listed(bits.value, sh)], return_counts=True)
+                h, n = np.unique(sh[bitmap.listed(bits.value, sh)], return_counts=True)
                 if len(h):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), size, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["size", "hash", "n"])
 
@@ -134,7 +114,7 @@ def _occurrences(docs: DataFrame, text_col: str, sizes: list[int], bits, window:
             data = None
             for size in sizes:
                 at, row, sh = tb.shingles(hashes, first, size)
-                hit = _listed(bits.value, sh)
+                hit = bitmap.listed(bits.value, sh)
                 if not hit.any():
                     continue
                 data = data or b.tobytes()
@@ -190,10 +170,10 @@ def contamination(
     carried = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
     windows = materialize(_item_windows(items, item_id, item_text, window, shingle), "item_windows")
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most ``shingle`` values
-    listed = sc.broadcast(_bitmap(windows.select(F.explode("shingles").alias("hash")), "hash"))
+    listed = sc.broadcast(bitmap.collect(windows.select(F.explode("shingles").alias("hash")), "hash"))
     counts = materialize(_shingle_counts(docs, text_col, sizes, listed), "shingle_counts")
     prefixes = materialize(_prefixes(windows, counts), "prefixes")
-    wanted = sc.broadcast(_bitmap(prefixes, "hash"))
+    wanted = sc.broadcast(bitmap.collect(prefixes, "hash"))
     found = materialize(_occurrences(docs, text_col, sizes, wanted, window, carried), "occurrences")
     matches = materialize(_matches(found, prefixes), "matches")
 
