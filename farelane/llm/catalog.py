@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, near_dup, quality, token_counts
+from farelane.llm import bpe, decontaminate, html_main, lattice_lm, near_dup, quality, token_counts
 from farelane.llm.frames import read_table
 
 
@@ -38,6 +38,24 @@ def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def unigram_path() -> str:
+    """The subword vocabulary of the lattices; ``FARELANE_PIECES`` names another file."""
+    if os.environ.get("FARELANE_PIECES"):
+        return os.environ["FARELANE_PIECES"]
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def q_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), unigram_path())
+
+
+def q_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_main.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_path()).drop("text")
@@ -62,6 +80,8 @@ def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
         "op4_near_dup": q_near_dup,
+        "op5_lattice_lm": q_lattice_lm,
+        "op6_html": q_html,
         "op7_bpe": q_bpe,
         "op8_token_counts": q_token_counts,
         "op10_quality_rules": q_quality,
