@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, html_main, lattice_lm, near_dup, quality, token_counts
+from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, quality, token_counts
 from farelane.llm.frames import read_table
 
 
@@ -69,6 +69,11 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_totals(token_counts.length_histogram(lengths))
 
 
+def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = line_dedup.line_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return report.select("doc_id", "n_lines", "n_removed", F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed"))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -84,6 +89,7 @@ def queries() -> dict:
         "op6_html": q_html,
         "op7_bpe": q_bpe,
         "op8_token_counts": q_token_counts,
+        "op9_line_dedup": q_line_dedup,
         "op10_quality_rules": q_quality,
     }
 
