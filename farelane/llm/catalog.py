@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, quality, token_counts
+from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, pii, quality, token_counts
 from farelane.llm.frames import read_table
 
 
@@ -33,6 +33,11 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
@@ -84,6 +89,7 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
+        "op2_pii": q_pii,
         "op4_near_dup": q_near_dup,
         "op5_lattice_lm": q_lattice_lm,
         "op6_html": q_html,
