@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, pii, quality, token_counts
+from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, pii, quality, secrets_rf, token_counts
 from farelane.llm.frames import read_table
-
-
-def tokenizer_path() -> str:
-    """The byte-level vocabulary; ``FARELANE_BPE`` names another file."""
-    if os.environ.get("FARELANE_BPE"):
-        return os.environ["FARELANE_BPE"]
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+from farelane.llm.paths import tokenizer_path, unigram_path
 
 
 def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,20 +29,16 @@ def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
 
 
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_rf.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "start", "end", F.sha2("token", 256).alias("token_sha256"), "probability", "is_secret")
+
+
 def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def unigram_path() -> str:
-    """The subword vocabulary of the lattices; ``FARELANE_PIECES`` names another file."""
-    if os.environ.get("FARELANE_PIECES"):
-        return os.environ["FARELANE_PIECES"]
-    import public_tokenizers
-
-    return public_tokenizers.path("piece_bpe_32k.model")
-
-
 def q_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), unigram_path())
 
@@ -90,6 +77,7 @@ def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
         "op2_pii": q_pii,
+        "op3_secrets": q_secrets,
         "op4_near_dup": q_near_dup,
         "op5_lattice_lm": q_lattice_lm,
         "op6_html": q_html,
@@ -97,8 +85,9 @@ def queries() -> dict:
         "op8_token_counts": q_token_counts,
         "op9_line_dedup": q_line_dedup,
         "op10_quality_rules": q_quality,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

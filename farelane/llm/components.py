@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 from farelane.llm.frames import materialize
 
 
+def _checksum(edges: DataFrame) -> tuple:
+    """Tells two different sets of edges apart."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.shiftright(h, 24))).first())
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for every node that has a link.
 
@@ -22,6 +28,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     edges = materialize(edges.distinct(), "edges")
+    seen = _checksum(edges)
     while True:
         # large star: every neighbour that is larger than a node goes to the smallest of the node and its neighbours
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -31,9 +38,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         after = materialize(small.filter(F.col("u") != F.col("v")).distinct(), "edges")
-        changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count() or edges.join(after, ["u", "v"], "left_anti").limit(1).count()
-        edges = after
-        if not changed:
+        edges, before, seen = after, seen, _checksum(after)
+        if seen == before:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
