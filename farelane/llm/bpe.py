@@ -31,7 +31,9 @@ from farelane.llm import textbytes as tb
 from farelane.llm.frames import add_columns
 
 #: fragments whose ids a task keeps; the cache starts again when it is full
-CACHE_FRAGMENTS = 400_000
+CACHE_FRAGMENTS = 150_000
+#: fragments handed to the tokenizer at once
+BATCH_FRAGMENTS = 8192
 #: longer fragments are encoded anew each time
 CACHE_BYTES = 64
 
@@ -79,9 +81,8 @@ class _Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.tokens = token_bytes(path)
-        self.cuts = forced_cuts(self.tokens)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.cuts = forced_cuts(token_bytes(path))
+        self.known: dict[bytes, bytes] = {}
 
     def fragments(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the fragments and the fragment index where each row begins."""
@@ -91,16 +92,18 @@ class _Codec:
         starts = np.flatnonzero(cut[:-1])
         return starts, np.searchsorted(starts, offsets)
 
-    def encode_all(self, fragments: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [self.known.get(f) for f in fragments]
+    def encode_all(self, fragments: list[bytes]) -> list[bytes]:
+        """The ids of each fragment, as little-endian unsigned 32-bit integers."""
+        out: list[bytes | None] = [self.known.get(f) for f in fragments]
         new = [i for i, ids in enumerate(out) if ids is None]
-        if new:
-            texts = [fragments[i].decode("utf-8") for i in new]
-            if len(self.known) + len(new) > CACHE_FRAGMENTS:
-                self.known.clear()
-            for i, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, np.uint32)
-                if len(fragments[i]) <= CACHE_BYTES:
+        if len(self.known) + len(new) > CACHE_FRAGMENTS:
+            self.known.clear()
+        for lo in range(0, len(new), BATCH_FRAGMENTS):
+            some = new[lo : lo + BATCH_FRAGMENTS]
+            texts = [fragments[i].decode("utf-8") for i in some]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, "<u4").tobytes()
+                if len(fragments[i]) <= CACHE_BYTES and len(self.known) < CACHE_FRAGMENTS:
                     self.known[fragments[i]] = out[i]
         return out
 
@@ -114,9 +117,9 @@ class _Codec:
         _, one, back = np.unique(key, return_index=True, return_inverse=True)
         data = raw.tobytes()
         ids = self.encode_all([data[starts[i] : ends[i]] for i in one])
-        size = np.array([len(x) for x in ids], np.int64)
+        size = np.array([len(x) for x in ids], np.int64) // 4
         at = tb.prefix(size)
-        flat = np.concatenate(ids) if len(ids) else np.zeros(0, np.uint32)
+        flat = np.frombuffer(b"".join(ids), "<u4")
         return gather(flat, at[back], size[back]), tb.prefix(size[back])[first]
 
 
@@ -132,6 +135,14 @@ def codec(path: str) -> _Codec:
     return _Codec(path)
 
 
+@lru_cache(maxsize=2)
+def token_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens, where each begins, and their lengths."""
+    tokens = token_bytes(path)
+    size = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), tb.prefix(size), size
+
+
 def encode(
     docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str | None = "ids", count_col: str = "n_tokens"
 ) -> DataFrame:
@@ -160,10 +171,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col: s
     """Append the text that the ids stand for; bytes that are no UTF-8 become U+FFFD."""
 
     def run(batch):
-        tokens = codec(tokenizer_path).tokens
-        flat = np.frombuffer(b"".join(tokens), np.uint8)
-        size = np.array([len(t) for t in tokens], np.int64)
-        at = tb.prefix(size)
+        flat, at, size = token_table(tokenizer_path)
         for lo, hi, raw, off in tb.text_groups(batch, ids_col):
             ids = np.frombuffer(raw.tobytes(), "<u4")
             data = gather(flat, at[ids], size[ids]).tobytes()
