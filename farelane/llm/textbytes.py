@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 _SEGMENT = 1 << 21
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _M64 = (1 << 64) - 1
