@@ -7,8 +7,9 @@ they stay inside whole-stage codegen; none of them triggers an action.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,11 @@ def nan_to_null(c: str | Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def nan_as_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with NaN turned to NULL in those of ``cols`` that hold floating-point numbers."""
+    return df.withColumns({f.name: nan_to_null(f.name).cast(f.dataType) for f in df.schema.fields if f.name in cols and isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+
+
 def is_finite(c: str | Column) -> Column:
     c = col_of(c)
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))

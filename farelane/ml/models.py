@@ -17,7 +17,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.constants import BOOSTED_PRESETS, DEFAULT_SEED, N_TRIALS, RIDGE_ALPHA
+from farelane.constants import BOOSTED_PRESETS, DEFAULT_SEED, EARLY_STOPPING_ROUNDS, N_TRIALS, RIDGE_ALPHA
 
 BASELINE = "MeanBaseline"
 LEADERBOARD_SCHEMA = "Model string, MAE double, RMSE double, R2 double, Fit_s double, Pred_s double"
@@ -53,9 +53,9 @@ def metrics_dict(pred: DataFrame, label: str = "label", prediction: str = "predi
 
 # ---------------------------------------------------------------- J1
 def mean_baseline(train: DataFrame, val: DataFrame, label: str = "label") -> DataFrame:
-    """Predict the training mean for every validation row (J1); the mean is a one-row broadcast."""
-    mean = train.agg(F.avg(label).alias("prediction")).select(F.lit(1).alias("_k"), "prediction")
-    return val.select(label, F.lit(1).alias("_k")).join(F.broadcast(mean), "_k", "left").select(label, "prediction")
+    """Predict the training mean for every validation row."""
+    mean = train.agg(F.avg(label)).first()[0]
+    return val.select(label, F.lit(mean).cast("double").alias("prediction"))
 
 
 # ---------------------------------------------------------------- J2 / J3 / J4 / J5
@@ -78,13 +78,12 @@ def ridge(train: DataFrame, alpha: float = RIDGE_ALPHA, features: str = "feature
     )
 
 
-def boosted_trees(preset: str = "lightgbm", scale: float = 1.0, seed: int = DEFAULT_SEED, **overrides) -> GBTRegressor:
-    """Gradient-boosted trees with one of the three presets; ``scale`` shrinks the tree count."""
-    p = dict(BOOSTED_PRESETS[preset])
-    p.update(overrides)
+def boosted_trees(preset: str = "lightgbm", seed: int = DEFAULT_SEED, **overrides) -> GBTRegressor:
+    """Gradient-boosted trees with one of the three presets; ``overrides`` replace single settings, such as ``max_iter``."""
+    p = BOOSTED_PRESETS[preset] | overrides
     frac = p["feature_fraction"]
     return GBTRegressor(
-        maxIter=max(1, int(round(p["max_iter"] * scale))),
+        maxIter=int(p["max_iter"]),
         maxDepth=int(p["max_depth"]),
         stepSize=float(p["step_size"]),
         subsamplingRate=float(p["subsampling_rate"]),
@@ -95,14 +94,27 @@ def boosted_trees(preset: str = "lightgbm", scale: float = 1.0, seed: int = DEFA
     )
 
 
-def with_early_stopping(gbt: GBTRegressor, tol: float = 0.01, indicator: str = "is_val") -> GBTRegressor:
-    """Validation-based stopping: fit on ``train ∪ val`` with an indicator column."""
-    return gbt.setParams(validationIndicatorCol=indicator, validationTol=tol)
+def stalled_at(losses: Sequence[float], rounds: int) -> int:
+    """Number of trees to keep: the best loss before the first ``rounds`` trees in a row that do not improve it."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= rounds:
+            break
+    return best + 1
+
 
+def fit_with_validation(gbt: GBTRegressor, train: DataFrame, val: DataFrame, rounds: int = EARLY_STOPPING_ROUNDS):
+    """Fit with early stopping after ``rounds`` stalled trees.
 
-def fit_with_validation(gbt: GBTRegressor, train: DataFrame, val: DataFrame, indicator: str = "is_val"):
-    data = train.withColumn(indicator, F.lit(False)).unionByName(val.withColumn(indicator, F.lit(True)))
-    return gbt.fit(data)
+    The staged predictions are scored on ``val`` tree by tree; the model is
+    then fitted again with the best number of trees, which gives the same
+    leading trees since every tree's seed depends on its place only.
+    """
+    whole = gbt.fit(train)
+    best = stalled_at(whole.evaluateEachIteration(val, "squared"), rounds)
+    return whole if best == whole.getNumTrees else gbt.copy({gbt.maxIter: best}).fit(train)
 
 
 # ---------------------------------------------------------------- J7 / J8
@@ -119,19 +131,24 @@ def _timed_eval(name, est, train, val):
     return {"Model": name, **m, "Fit_s": fit_s, "Pred_s": time.time() - t1}
 
 
-def leaderboard(spark: SparkSession, models: Sequence[tuple], train: DataFrame, val: DataFrame) -> DataFrame:
-    """Fit each model, score on validation, sort by RMSE.
+@dataclass(frozen=True)
+class Contender:
+    """A model of the bake-off; the mean baseline is the one without an estimator."""
 
-    ``models`` entries are ``(name, estimator)`` or ``(name, estimator, flag)``;
-    the mean baseline runs first, exactly once.
-    """
-    normalized = []
-    for entry in models:
-        if len(entry) not in (2, 3):
-            raise ValueError("Each model must be a 2- or 3-tuple: (name, estimator[, flag])")
-        normalized.append((entry[0], entry[1]))
-    ordered = [(BASELINE, None)] + [p for p in normalized if p[0] != BASELINE]
-    rows = [_timed_eval(n, e, train, val) for n, e in ordered]
+    name: str
+    estimator: object | None = None
+
+    def __post_init__(self):
+        if not self.name or (self.estimator is None) != (self.name == BASELINE):
+            raise ValueError(f"only {BASELINE} goes without an estimator, and every model needs a name: {self.name!r}")
+
+
+def leaderboard(spark: SparkSession, models: Sequence[Contender], train: DataFrame, val: DataFrame) -> DataFrame:
+    """Fit each model and the mean baseline, score on validation, sort by RMSE."""
+    field = {BASELINE: Contender(BASELINE)} | {m.name: m for m in models}
+    if len(models) != len({m.name for m in models}):
+        raise ValueError("models need different names")
+    rows = [_timed_eval(m.name, m.estimator, train, val) for m in field.values()]
     df = spark.createDataFrame([(r["Model"], r["MAE"], r["RMSE"], r["R2"], r["Fit_s"], r["Pred_s"]) for r in rows], LEADERBOARD_SCHEMA)
     return df.orderBy("RMSE")
 
@@ -146,13 +163,10 @@ def best_model(board: DataFrame) -> DataFrame:
 SEARCH_SPACE = {
     "n_estimators": ("int", 500, 3000, 250),
     "learning_rate": ("float", 0.005, 0.2, "log"),
-    "num_leaves": ("int", 31, 511, 32),
     "max_depth": ("int", 4, 16, 1),
     "min_child_samples": ("int", 10, 200, 1),
     "subsample": ("float", 0.6, 1.0, None),
     "colsample_bytree": ("float", 0.6, 1.0, None),
-    "reg_alpha": ("float", 1e-8, 10.0, "log"),
-    "reg_lambda": ("float", 1e-8, 10.0, "log"),
     "min_split_gain": ("float", 0.0, 1.0, None),
 }
 
@@ -172,14 +186,13 @@ def draw_params(rng: random.Random, space: Mapping = SEARCH_SPACE) -> dict:
     return out
 
 
-def gbt_from_params(params: Mapping, tree_scale: float = 1.0, depth_cap: int = 12, seed: int = DEFAULT_SEED) -> GBTRegressor:
-    """Map the searched parameters onto Spark's GBT (those without an analogue are logged only)."""
+def gbt_from_params(params: Mapping, seed: int = DEFAULT_SEED) -> GBTRegressor:
+    """The boosted trees of a set of searched parameters, as they are drawn and logged."""
     return boosted_trees(
         "lightgbm",
-        scale=1.0,
         seed=seed,
-        max_iter=max(1, int(round(params["n_estimators"] * tree_scale))),
-        max_depth=min(int(params["max_depth"]), depth_cap),
+        max_iter=int(params["n_estimators"]),
+        max_depth=int(params["max_depth"]),
         step_size=float(params["learning_rate"]),
         subsampling_rate=float(params["subsample"]),
         feature_fraction=float(params["colsample_bytree"]),
@@ -206,24 +219,23 @@ def param_search(
     n_trials: int = N_TRIALS,
     timeout: float | None = None,
     seed: int = DEFAULT_SEED,
-    tree_scale: float = 1.0,
-    depth_cap: int = 12,
-    early_stopping_tol: float | None = None,
+    early_stopping_rounds: int | None = EARLY_STOPPING_ROUNDS,
+    space: Mapping = SEARCH_SPACE,
 ) -> tuple[float, dict, list[Trial]]:
-    """Seeded random search minimising validation RMSE (J9); each trial is a distributed fit."""
+    """Seeded random search over ``space`` minimising validation RMSE (J9); each trial is a distributed fit.
+
+    Trials stop early after ``early_stopping_rounds`` stalled trees (None: never).
+    """
     rng = random.Random(seed)
     trials: list[Trial] = []
     started = time.time()
     for i in range(n_trials):
         if timeout is not None and time.time() - started > timeout:
             break
-        params = draw_params(rng)
+        params = draw_params(rng, space)
         t0 = datetime.now(timezone.utc)
-        gbt = gbt_from_params(params, tree_scale, depth_cap, seed)
-        if early_stopping_tol is not None:
-            model = fit_with_validation(with_early_stopping(gbt, early_stopping_tol), train, val)
-        else:
-            model = gbt.fit(train)
+        gbt = gbt_from_params(params, seed)
+        model = gbt.fit(train) if early_stopping_rounds is None else fit_with_validation(gbt, train, val, early_stopping_rounds)
         rmse = metrics_dict(model.transform(val))["RMSE"]
         t1 = datetime.now(timezone.utc)
         trials.append(
@@ -257,8 +269,6 @@ def final_compare(
     train: DataFrame,
     val: DataFrame,
     test: DataFrame,
-    tree_scale: float = 1.0,
-    depth_cap: int = 12,
     seed: int = DEFAULT_SEED,
 ):
     """Fit the best parameters on train and on train+val, score both on test.
@@ -266,7 +276,7 @@ def final_compare(
     Returns ``(metrics DataFrame, train+val model)``; ``better`` prefers
     train+val on ties, as the reference does.
     """
-    est = gbt_from_params(best_params, tree_scale, depth_cap, seed)
+    est = gbt_from_params(best_params, seed)
     m_train = est.fit(train)
     r_train = metrics_dict(m_train.transform(test))
     m_all = est.fit(train.unionByName(val))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from farelane.constants import BAD_LOCATION_IDS, DROPOFF, DURATION_BOUNDS, LOCATION_REPLACE, PICKUP
 from farelane.functions.calendar import calendar_flags
 from farelane.functions.exprs import minutes_between
-from farelane.operators import clean, features, joins
+from farelane.operators import features, joins
 
 # --- fixed values: scoring contract and messages -------------------------------
 SCORE_FIELDS = (
@@ -71,32 +71,49 @@ def _fixed(c: str) -> Column:
     return e
 
 
-def reject_reasons(requests: DataFrame, zones: DataFrame | None) -> DataFrame:
-    """Adds ``reject_reason`` (NULL when the request can be scored) in the reference's rule order (K3)."""
+def one_row_per_zone(zones: DataFrame) -> DataFrame:
+    """Zone centroids with one row per id: the smallest (lon, lat) of a repeated id, whatever the file order."""
+    return zones.groupBy("LocationID").agg(F.min(F.struct("lon", "lat")).alias("_z")).select("LocationID", "_z.lon", "_z.lat")
+
+
+def is_valid(requests: DataFrame) -> Column:
+    """The request contract (K1): the parsed flag where there is one, else all required fields are present."""
+    if "is_valid" in requests.columns:
+        return F.coalesce(F.col("is_valid"), F.lit(False))
+    ok = F.lit(True)
+    for n, _ in SCORE_FIELDS:
+        ok = ok & F.col(n).isNotNull()
+    return ok
+
+
+def judged_requests(requests: DataFrame, zones: DataFrame | None) -> DataFrame:
+    """Requests with fixed location ids, the coordinates of both zones and ``reject_reason``; one row per request.
+
+    The rules apply in order: contract, location ids, zone table present,
+    duration, coordinates found.
+    """
+    ready = requests.withColumn("_valid", is_valid(requests)).withColumns({c: _fixed(c) for c in ("PULocationID", "DOLocationID")})
     bad = F.lit(False)
     for c in ("PULocationID", "DOLocationID"):
-        bad = bad | F.coalesce(_fixed(c).isin(list(BAD_LOCATION_IDS)), F.lit(False))
-    d = minutes_between(PICKUP, DROPOFF)
-    lo, hi = DURATION_BOUNDS
-    dur_bad = F.coalesce((d < lo) | (d > hi), F.lit(False))
+        bad = bad | F.coalesce(F.col(c).isin(list(BAD_LOCATION_IDS)), F.lit(False))
     if zones is None:
-        return requests.withColumn(
-            "reject_reason",
-            F.when(bad, F.lit(REASON_LOCATION)).otherwise(F.lit(REASON_NO_CENTROIDS)),
-        )
-    fixed = requests.withColumn("_pu", _fixed("PULocationID")).withColumn("_do", _fixed("DOLocationID"))
-    withz = joins.join_centroids(fixed, zones, pu="_pu", do="_do")
-    hav_null = (
-        F.col("pickup_lon").isNull() | F.col("pickup_lat").isNull() | F.col("dropoff_lon").isNull() | F.col("dropoff_lat").isNull()
-    )
-    invalid = ~F.col("is_valid") if "is_valid" in requests.columns else F.lit(False)
-    reason = (
-        F.when(invalid, F.lit(REASON_INVALID))
-        .when(bad, F.lit(REASON_LOCATION))
-        .when(dur_bad, F.lit(REASON_DURATION))
-        .when(hav_null, F.lit(REASON_HAVERSINE))
-    )
-    return withz.withColumn("reject_reason", reason).drop("_pu", "_do", "pickup_lon", "pickup_lat", "dropoff_lon", "dropoff_lat")
+        ready = ready.withColumns({c: F.lit(None).cast("double") for c in ("pickup_lon", "pickup_lat", "dropoff_lon", "dropoff_lat")})
+        rest = F.lit(REASON_NO_CENTROIDS)
+    else:
+        ready = joins.join_centroids(ready, one_row_per_zone(zones))
+        d = minutes_between(PICKUP, DROPOFF)
+        lo, hi = DURATION_BOUNDS
+        unknown = F.lit(False)
+        for c in ("pickup_lon", "pickup_lat", "dropoff_lon", "dropoff_lat"):
+            unknown = unknown | F.col(c).isNull()
+        rest = F.when(F.coalesce((d < lo) | (d > hi), F.lit(False)), F.lit(REASON_DURATION)).when(unknown, F.lit(REASON_HAVERSINE))
+    reason = F.when(~F.col("_valid"), F.lit(REASON_INVALID)).when(bad, F.lit(REASON_LOCATION)).otherwise(rest)
+    return ready.withColumn("reject_reason", reason).drop("_valid")
+
+
+def reject_reasons(requests: DataFrame, zones: DataFrame | None, id_col: str = "request_id") -> DataFrame:
+    """``id_col`` and ``reject_reason`` (NULL when the request can be scored), one row per request (K3)."""
+    return judged_requests(requests, zones).select(id_col, "reject_reason")
 
 
 def score_batch(
@@ -111,10 +128,10 @@ def score_batch(
 ) -> DataFrame:
     """Predict ``total_amount`` for every valid request (K2).
 
-    Output: ``id, status, reject_reason, total_amount (2 dp), currency, model``.
-    Rejected rows are kept with ``status = 'rejected'``.
+    Output: ``id, status, reject_reason, total_amount (2 dp), currency, model``,
+    one row per request; rejected requests have ``status = 'rejected'``.
     """
-    checked = reject_reasons(requests, zones)
+    checked = judged_requests(requests, zones)
     ok = checked.where(F.col("reject_reason").isNull()).drop("reject_reason", "is_valid")
     rejected = checked.where(F.col("reject_reason").isNotNull()).select(
         id_col,
@@ -124,12 +141,7 @@ def score_batch(
         F.lit(None).cast("string").alias("currency"),
         F.lit(None).cast("string").alias("model"),
     )
-    ok = clean.fix_locations(ok)
-    feats = features.engineer_features(
-        joins.join_centroids(ok, zones) if zones is not None else ok,
-        calendar_flags(holidays),
-        lookup=lookup,
-    )
+    feats = features.engineer_features(ok, calendar_flags(holidays), lookup=lookup)
     pred = model.transform(preprocess.transform(feats))
     scored = pred.select(
         id_col,

@@ -32,6 +32,7 @@ from farelane.functions.exprs import (
     lenient_timestamp,
     minutes_between,
     month_start_ntz,
+    nan_as_null,
     not_in,
     null_safe_between,
 )
@@ -109,10 +110,11 @@ def impute_mode(
     file_month: str = FILE_MONTH,
     modes: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill NULLs of each column with its own per-file mode, else a default."""
+    """Fill missing values (NULL or NaN) of each column with its own per-file mode, else a default."""
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
+    df = nan_as_null(df, present)
     modes = file_modes(df, present, file_month) if modes is None else modes
     # bounded by the number of monthly files: a broadcast of a few hundred rows at most
     joined = df.join(F.broadcast(modes), file_month, "left")
@@ -127,27 +129,36 @@ def missing_policy(
     cols: Sequence[str] = TRIO,
     defaults: Mapping[str, object] = TRIO_DEFAULTS,
     file_month: str = FILE_MONTH,
+    other: str | None = None,
 ) -> DataFrame:
-    """Year-aware handling (C6): ``drop`` or ``impute`` per file year; other years vanish."""
+    """Year-aware handling (C6): ``drop`` or ``impute`` per file year; missing is NULL or NaN.
+
+    Files of a year without an entry are left out, unless ``other`` names what
+    to do with them.
+    """
     present = [c for c in cols if c in df.columns]
+    rules = {*policy.values(), *([other] if other else [])}
+    if rules - {"drop", "impute"}:
+        raise ValueError(f"unknown missing-value policy {sorted(rules - {'drop', 'impute'})}")
     year = file_year(file_month)
-    drop_years = [y for y, p in policy.items() if p == "drop"]
-    impute_years = [y for y, p in policy.items() if p == "impute"]
-    bad = [p for p in policy.values() if p not in ("drop", "impute")]
-    if bad:
-        raise ValueError(f"unknown missing-value policy {bad}")
-    kept = df.where(year.isin(list(policy)))
+    named = F.coalesce(year.isin(list(policy)), F.lit(False))
+
+    def under(rule: str) -> Column:
+        chosen = F.coalesce(year.isin([y for y, p in policy.items() if p == rule]), F.lit(False))
+        return chosen | ~named if other == rule else chosen
+
+    kept = nan_as_null(df if other else df.where(named), present)
     if not present:
         return kept
     any_null = F.lit(False)
     for c in present:
         any_null = any_null | F.col(c).isNull()
-    kept = kept.where(~(year.isin(drop_years) & any_null))
-    if not impute_years:
+    kept = kept.where(~(under("drop") & any_null))
+    if "impute" not in rules:
         return kept
-    modes = file_modes(kept.where(year.isin(impute_years)), present, file_month)
+    is_imp = under("impute")
+    modes = file_modes(kept.where(is_imp), present, file_month)
     joined = kept.join(F.broadcast(modes), file_month, "left")
-    is_imp = year.isin(impute_years)
     for c in present:
         joined = joined.withColumn(
             c, F.when(is_imp, F.coalesce(F.col(c), F.col(f"_mode_{c}"), F.lit(defaults[c]))).otherwise(F.col(c))
@@ -156,6 +167,11 @@ def missing_policy(
 
 
 # ---------------------------------------------------------------- C7 / C8 range filter
+def unlisted_months(df: DataFrame, policy: Mapping[int, str] = MISSING_POLICY, file_month: str = FILE_MONTH) -> DataFrame:
+    """``file_month``, ``n_rows`` of the files that the policy has no entry for and leaves out."""
+    return df.where(~F.coalesce(file_year(file_month).isin(list(policy)), F.lit(False))).groupBy(file_month).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def range_mask(bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS) -> Column:
     """Inclusive bands where NULL passes (columns already NaN-normalised)."""
     keep = F.lit(True)
@@ -165,44 +181,25 @@ def range_mask(bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS) -> Colu
 
 
 def _raw_range_mask(bounds: Mapping[str, tuple[float, float]]) -> Column:
-    """The same bands on raw double columns: NaN counts as missing and passes."""
+    """The same bands on raw numeric columns: NaN counts as missing and passes."""
     keep = F.lit(True)
     for c, (lo, hi) in bounds.items():
         keep = keep & (F.col(c).isNull() | F.isnan(c) | F.col(c).between(lo, hi))
     return keep
 
 
-def _lower_bounds(bounds: Mapping[str, tuple[float, float]]) -> Column:
-    """``c IS NULL OR c >= lo`` per column: implied by the bands (NaN sorts above
-    every number in Spark) and translatable to parquet row-group filters."""
-    keep = F.lit(True)
-    for c, (lo, _hi) in bounds.items():
-        keep = keep & (F.col(c).isNull() | (F.col(c) >= lo))
-    return keep
-
-
-def range_filter(
-    df: DataFrame,
-    bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS,
-    push_lower_bounds: bool = True,
-) -> DataFrame:
+def range_filter(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = RANGE_BOUNDS) -> DataFrame:
     """Keep rows inside every inclusive band; NULL (and NaN) passes.
 
-    On numeric inputs the filter runs on the raw columns before the NaN->NULL
-    projection, so with ``push_lower_bounds`` the implied ``c IS NULL OR
-    c >= lo`` conjuncts reach the parquet reader and skip row groups holding
-    only too-small values (the main outliers).  This assumes the files record
-    NaN in their min/max statistics as Spark's writer does (or hold no NaN,
-    as pandas-written files do); turn it off otherwise.
+    Nothing but the column selection is pushed to the parquet reader: bounds on
+    columns that may hold NaN cannot be, since writers differ in what they put
+    into the statistics of such columns.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in bounds if c in types]
     if cols and all(isinstance(types[c], T.NumericType) for c in cols):
-        b = {c: bounds[c] for c in cols}
-        pred = _raw_range_mask(b)
-        if push_lower_bounds:
-            pred = _lower_bounds(b) & pred
-        return lenient_casts(df.where(pred), timestamps=(), numerics=tuple(cols))
+        kept = df.where(_raw_range_mask({c: bounds[c] for c in cols}))
+        return lenient_casts(kept, timestamps=(), numerics=tuple(cols))
     df = lenient_casts(df, timestamps=(), numerics=tuple(bounds))
     return df.where(range_mask(bounds))
 

@@ -1,11 +1,9 @@
 """Dimension joins and lookups.
 
-Zone and calendar dimensions are small and bounded by their own domain
-(a few hundred zone ids; a few dozen holidays per year), never by the trip
-volume, so they are broadcast and every trip-side join is a map-side hash
-probe with no shuffle.  A user-supplied dimension goes through
-:func:`checked_broadcast`, which verifies the bound with a capped count and
-otherwise leaves the join strategy to the planner (sort-merge + AQE).
+No join is hinted: a dimension whose size the planner knows to be under
+``spark.sql.autoBroadcastJoinThreshold`` is broadcast, so the trip side is not
+shuffled, and a larger one gets a shuffle join that adaptive execution may
+still turn into a broadcast.
 """
 
 from __future__ import annotations
@@ -15,27 +13,12 @@ from pyspark.sql import functions as F
 
 from farelane.constants import PICKUP, UNKNOWN
 
-# dimensions above this many rows are joined without a broadcast hint
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the dimension provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the join is
-    planned normally (shuffle join, AQE may still demote it to a broadcast).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 # ---------------------------------------------------------------- D1 centroids
 def join_centroids(
     df: DataFrame,
     zones: DataFrame,
     pu: str = "PULocationID",
     do: str = "DOLocationID",
-    broadcast: bool = True,
 ) -> DataFrame:
     """Left-join PU and DO centroids: adds ``pickup_lon/lat`` and ``dropoff_lon/lat``.
 
@@ -43,7 +26,6 @@ def join_centroids(
     :func:`assert_unique_zones` to forbid that.
     """
     z = zones.select("LocationID", "lon", "lat")
-    z = F.broadcast(z) if broadcast else z
     zp = z.select(F.col("LocationID").alias("_pu_id"), F.col("lon").alias("pickup_lon"), F.col("lat").alias("pickup_lat"))
     zd = z.select(F.col("LocationID").alias("_do_id"), F.col("lon").alias("dropoff_lon"), F.col("lat").alias("dropoff_lat"))
     out = df.join(zp, F.col(pu) == F.col("_pu_id"), "left").drop("_pu_id")
@@ -62,14 +44,16 @@ def assert_unique_zones(zones: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D2 borough lookup
-def dedupe_lookup(lookup: DataFrame, order_col: str | None = "_row") -> DataFrame:
-    """One row per ``LocationID``; the last row in file order wins, like a dict."""
+def dedupe_lookup(lookup: DataFrame, order_col: str = "_row") -> DataFrame:
+    """One row per ``LocationID``: the last in file order (``order_col``), like a dict.
+
+    Without that column the row with the largest attributes is taken, so the
+    result does not depend on the order of the rows.
+    """
     attrs = [c for c in lookup.columns if c not in ("LocationID", order_col)]
-    if order_col is None or order_col not in lookup.columns:
-        return lookup.select("LocationID", *attrs).dropDuplicates(["LocationID"])
-    return lookup.groupBy("LocationID").agg(
-        *[F.max_by(F.col(c), F.col(order_col)).alias(c) for c in attrs]
-    )
+    order = [order_col] if order_col in lookup.columns else []
+    last = F.max(F.struct(*order, *attrs)).alias("_last")
+    return lookup.groupBy("LocationID").agg(last).select("LocationID", *[F.col("_last")[c].alias(c) for c in attrs])
 
 
 def lookup_borough(
@@ -77,11 +61,9 @@ def lookup_borough(
     lookup: DataFrame,
     pu: str = "PULocationID",
     do: str = "DOLocationID",
-    broadcast: bool = True,
 ) -> DataFrame:
     """Borough and service zone for PU and DO; unmatched -> "Unknown" (D2)."""
     lk = dedupe_lookup(lookup)
-    lk = F.broadcast(lk) if broadcast else lk
     out = df
     for side, key in (("pickup", pu), ("dropoff", do)):
         if key not in df.columns:
@@ -121,8 +103,7 @@ def join_zone_dimension(
     pu: str = "PULocationID",
     do: str = "DOLocationID",
 ) -> DataFrame:
-    """One broadcast join per side adding coordinates and borough / service zone."""
-    zd = F.broadcast(zone_dim)
+    """One join per side adding coordinates and borough / service zone."""
     out = df
     for side, key in (("pickup", pu), ("dropoff", do)):
         tag = f"_{side}_id"
@@ -131,7 +112,7 @@ def join_zone_dimension(
             cols += [F.col("lon").alias(f"{side}_lon"), F.col("lat").alias(f"{side}_lat")]
         cols += [F.col("Borough").alias(f"_{side}_b"), F.col("service_zone").alias(f"_{side}_z")]
         out = (
-            out.join(zd.select(*cols), F.col(key) == F.col(tag), "left")
+            out.join(zone_dim.select(*cols), F.col(key) == F.col(tag), "left")
             .withColumn(f"{side}_borough", F.coalesce(F.col(f"_{side}_b"), F.lit(UNKNOWN)))
             .withColumn(f"{side}_service_zone", F.coalesce(F.col(f"_{side}_z"), F.lit(UNKNOWN)))
             .drop(tag, f"_{side}_b", f"_{side}_z")
@@ -145,7 +126,7 @@ def join_calendar(df: DataFrame, flags: DataFrame, date_col: str = "pickup_date"
 
     ``flags`` has one row per date (see ``calendar_flags``), so there is no fan-out.
     """
-    f = F.broadcast(flags).select(
+    f = flags.select(
         F.col("cal_date").alias("_cal_date"),
         F.col("is_holiday_date").alias("_hol"),
         F.col("holiday_in_3_days").alias("_hol_in_3"),

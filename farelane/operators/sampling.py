@@ -142,14 +142,24 @@ def sample_top_n(
 
 
 # ---------------------------------------------------------------- G3 / G4 / G5
-def split_quota(sample_rows: Mapping[str, int], split_col: str = "split") -> Column:
-    bad = {k: v for k, v in sample_rows.items() if not v or v <= 0}
-    if bad:
-        raise ValueError(f"sample_rows_per_month must be positive integers, got {bad}")
-    e = None
-    for name, n in sample_rows.items():
-        e = F.when(F.col(split_col) == name, F.lit(int(n))) if e is None else e.when(F.col(split_col) == name, F.lit(int(n)))
-    return e.otherwise(F.lit(0))
+ALL_ROWS = 1 << 60
+
+
+def rows_of_split(sample_rows: Mapping[str, int | None], split: str) -> int | None:
+    """Rows per month of a split, None for all rows; a split without a usable entry is an error."""
+    n = sample_rows.get(split, 0)
+    if n is None or n > 0:
+        return n
+    raise ValueError(f"rows per month of split {split!r} must be positive or None (all rows)")
+
+
+def split_quota(sample_rows: Mapping[str, int | None], split_col: str = "split") -> Column:
+    """Rows to keep per month of each row's split; splits without an entry keep none."""
+    quota = F.lit(0).cast("long")
+    for name in sample_rows:
+        n = rows_of_split(sample_rows, name)
+        quota = F.when(F.col(split_col) == name, F.lit(ALL_ROWS if n is None else int(n)).cast("long")).otherwise(quota)
+    return quota
 
 
 def sample_fixed_n(
@@ -167,16 +177,15 @@ def sample_fixed_n(
 
 def build_splits(
     df: DataFrame,
-    sample_rows: Mapping[str, int] = SAMPLE_ROWS_PER_MONTH,
+    sample_rows: Mapping[str, int | None] = SAMPLE_ROWS_PER_MONTH,
     key: str = "trip_id",
     seed: int = DEFAULT_SEED,
     file_month: str = FILE_MONTH,
     levels: int = 1,
 ) -> DataFrame:
-    """Union of the per-month samples of every split, with a ``split`` column."""
+    """Union of the per-month samples of every split, with a ``split`` column (G4); None keeps all rows of a split."""
     for s in ("train", "val", "test"):
-        if s not in sample_rows:
-            raise ValueError(f"sample_rows_per_month[{s!r}] must be a positive integer.")
+        rows_of_split(sample_rows, s)
     tagged = assign_split(df, file_month).where(F.col("split") != IGNORE_SPLIT)
     return sample_top_n(tagged, split_quota(sample_rows), key, seed, (file_month,), levels=levels)
 

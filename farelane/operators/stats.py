@@ -39,8 +39,9 @@ def tvd_from_counts(counts: DataFrame, groups: Sequence[str], p_count: str = "c_
     An empty side contributes shares of 0.
     """
     groups = list(groups)
-    totals = counts.groupBy(*groups).agg(F.sum(p_count).alias("_np"), F.sum(q_count).alias("_nq"))
-    j = counts.join(totals, groups, "inner")
+    # running totals over the value counts, so what they are made from is read once
+    whole = Window.partitionBy(*groups)
+    j = counts.withColumn("_np", F.sum(p_count).over(whole)).withColumn("_nq", F.sum(q_count).over(whole))
     share = lambda c, n: F.when(F.col(n) > 0, F.col(c) / F.col(n)).otherwise(F.lit(0.0))
     return j.groupBy(*groups).agg((F.lit(0.5) * F.sum(F.abs(share(p_count, "_np") - share(q_count, "_nq")))).alias("tvd"))
 

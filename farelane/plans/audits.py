@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.constants import (
-    AUDIT_SAMPLE_ROWS,
     BAD_LOCATION_IDS,
     BIAS_CATEGORICALS,
     BIAS_NUMERICS,
@@ -28,21 +27,24 @@ from farelane.constants import (
     TVD_OK,
     UNKNOWN,
 )
-from farelane.functions.exprs import is_finite, minutes_between
+from farelane.functions.exprs import is_finite, minutes_between, nan_as_null
 from farelane.operators import clean, sampling, stats
 from farelane.sources import sinks
 
 
 # ---------------------------------------------------------------- H1
+CO_MISSING_ALL = "all or nothing"
+CO_MISSING_PARTIAL = "some rows miss only a part of the group"
+CO_MISSING_COLUMNS = "columns of the group are absent; any missing value counts"
+
+
 def co_missing(
     df: DataFrame,
-    cap: int | None = AUDIT_SAMPLE_ROWS,
     trio: Sequence[str] = TRIO,
-    key: str = "trip_id",
     file_month: str = FILE_MONTH,
 ) -> DataFrame:
-    """Per month on a capped sample: are the trio NULLs all-or-nothing, and what would a drop lose."""
-    s = sampling.sample_capped(df, cap, key, file_month=file_month) if cap else df
+    """Per month over all rows: are the trio's missing values all-or-nothing, and what would a drop lose (one scan)."""
+    s = nan_as_null(df, df.columns)
     present = [c for c in trio if c in df.columns]
     if len(present) == len(trio):
         n_null = sum((F.col(c).isNull().cast("int") for c in present), F.lit(0))
@@ -51,8 +53,8 @@ def co_missing(
         out = s.groupBy(file_month).agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_if(partial).alias("n_partial"), F.count_if(lost).alias("rows_lost")
         )
-        status = F.when(F.col("n_partial") == 0, F.lit("co-missing OK")).otherwise(
-            F.lit("Rows show partial NaNs within the trio (not all-or-nothing).")
+        status = F.when(F.col("n_partial") == 0, F.lit(CO_MISSING_ALL)).otherwise(
+            F.lit(CO_MISSING_PARTIAL)
         )
     else:
         any_null = F.lit(False)
@@ -61,7 +63,7 @@ def co_missing(
         out = s.groupBy(file_month).agg(
             F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("n_partial"), F.count_if(any_null).alias("rows_lost")
         )
-        status = F.lit("trio incomplete; used dropna(all)")
+        status = F.lit(CO_MISSING_COLUMNS)
     return out.select(
         file_month,
         "n_rows",
@@ -76,6 +78,7 @@ def co_missing(
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, file_month: str = FILE_MONTH) -> DataFrame:
     """Long form ``(file_month, column, n_rows, n_null, pct_null)``: one aggregation pass."""
     cols = [c for c in (cols or df.columns) if c != file_month]
+    df = nan_as_null(df, cols)
     wide = df.groupBy(file_month).agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_n_{i}") for i, c in enumerate(cols)]
     )
@@ -102,6 +105,7 @@ def drop_impact(df: DataFrame, trio: Sequence[str] = TRIO, file_month: str = FIL
     the monthly summary is a second, tiny aggregation of that result.
     """
     present = [c for c in trio if c in df.columns]
+    df = nan_as_null(df, present)
     kept = F.lit(True)
     for c in present:
         kept = kept & F.col(c).isNotNull()

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from farelane.constants import FILE_MONTH
 from farelane.functions.calendar import calendar_flags, holiday_calendar
+from farelane.functions.exprs import nan_as_null
 from farelane.operators import clean, features, joins, sampling, schema, stats
 from farelane.operators.geometry import zone_centroids
 from farelane.plans import audits
@@ -63,6 +64,22 @@ def _trips(spark: SparkSession, sf: str) -> DataFrame:
     return fx.load_trips(spark, sf)
 
 
+def _trips_with_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips whose passenger count and distance are NaN where ``trip_id % 29 = 0`` (missing values, as in pandas files)."""
+    nan = F.col("trip_id") % 29 == 0
+    t = _trips(spark, sf)
+    return t.withColumns({c: F.when(nan, F.lit(float("nan"))).otherwise(F.col(c)) for c in ("passenger_count", "trip_distance")})
+
+
+#: the same rows for the oracle, where they are simply missing
+TRIPS_NAN = O.TRIPS.replace("trips AS (", "plain_trips AS (") + """,
+trips AS (
+  SELECT * REPLACE (CASE WHEN trip_id % 29 = 0 THEN NULL ELSE passenger_count END AS passenger_count,
+                    CASE WHEN trip_id % 29 = 0 THEN NULL ELSE trip_distance END AS trip_distance)
+  FROM plain_trips
+)"""
+
+
 def _sel_round(cols, dp=6) -> str:
     return ", ".join(f"round({c}, {dp}) AS {c}" for c in cols)
 
@@ -262,7 +279,7 @@ def q_drop_null_trio(spark, sf):
 
 def _impute_all_sql() -> str:
     ctes = [
-        O.TRIPS,
+        TRIPS_NAN,
         O.mode_cte("m_pc", "trips", "passenger_count"),
         O.mode_cte("m_rc", "trips", "RatecodeID"),
         O.mode_cte("m_sf", "trips", "store_and_fwd_flag"),
@@ -279,21 +296,22 @@ def _impute_all_sql() -> str:
 
 @register("impute_mode", _impute_all_sql())
 def q_impute_mode(spark, sf):
-    t = clean.impute_mode(_trips(spark, sf))
+    t = clean.impute_mode(_trips_with_nan(spark, sf))
     return t.select("trip_id", FILE_MONTH, "passenger_count", "RatecodeID", "store_and_fwd_flag")
 
 
 @register(
     "missing_policy",
-    O.with_ctes(O.TRIPS, O.MONTH_FILTERED, O.MISSING_HANDLED, select=f"SELECT {TRIP_SELECT} FROM mh"),
+    O.with_ctes(TRIPS_NAN, O.MONTH_FILTERED, O.MISSING_HANDLED, select=f"SELECT {TRIP_SELECT} FROM mh"),
 )
 def q_missing_policy(spark, sf):
-    return clean.missing_policy(clean.month_filter(_trips(spark, sf)))
+    out = clean.missing_policy(clean.month_filter(_trips_with_nan(spark, sf)))
+    return nan_as_null(out, ["trip_distance"])
 
 
-@register("range_filter", O.with_ctes(O.TRIPS, select=f"SELECT {TRIP_SELECT} FROM trips WHERE {O.RANGE_OK}"))
+@register("range_filter", O.with_ctes(TRIPS_NAN, select=f"SELECT {TRIP_SELECT} FROM trips WHERE {O.RANGE_OK}"))
 def q_range_filter(spark, sf):
-    return clean.range_filter(_trips(spark, sf))
+    return clean.range_filter(_trips_with_nan(spark, sf))
 
 
 @register(
@@ -696,18 +714,17 @@ def q_sample_fraction_bernoulli(spark, sf):
     "co_missing",
     O.with_ctes(
         O.TRIPS,
-        f"\ncapped AS ({_topn_sql('trips', '300', cols='*')})",
-        select="""SELECT file_month, count(*) AS n_rows,
+        select=f"""SELECT file_month, count(*) AS n_rows,
           count(*) FILTER (WHERE nn > 0 AND nn < 3) AS n_partial, count(*) FILTER (WHERE nn > 0) AS rows_lost,
           round(count(*) FILTER (WHERE nn > 0) * 100.0 / count(*), 6) AS pct_lost,
-          CASE WHEN count(*) FILTER (WHERE nn > 0 AND nn < 3) = 0 THEN 'co-missing OK'
-               ELSE 'Rows show partial NaNs within the trio (not all-or-nothing).' END AS status
+          CASE WHEN count(*) FILTER (WHERE nn > 0 AND nn < 3) = 0 THEN '{audits.CO_MISSING_ALL}'
+               ELSE '{audits.CO_MISSING_PARTIAL}' END AS status
         FROM (SELECT *, CAST(passenger_count IS NULL AS INTEGER) + CAST(RatecodeID IS NULL AS INTEGER)
-                        + CAST(store_and_fwd_flag IS NULL AS INTEGER) AS nn FROM capped) GROUP BY file_month""",
+                        + CAST(store_and_fwd_flag IS NULL AS INTEGER) AS nn FROM trips) GROUP BY file_month""",
     ),
 )
 def q_co_missing(spark, sf):
-    return audits.co_missing(_trips(spark, sf), cap=300)
+    return audits.co_missing(_trips(spark, sf))
 
 
 def _null_profile_sql() -> str:

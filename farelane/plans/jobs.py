@@ -12,12 +12,12 @@ are written, and the feature pipeline is fitted on the training rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.constants import DEFAULT_SEED, FILE_MONTH, MONTH_FILE_GLOB, SAMPLE_ROWS_PER_MONTH, TRAINING_MODES
+from farelane.constants import DEFAULT_SEED, EARLY_STOPPING_ROUNDS, FILE_MONTH, MONTH_FILE_GLOB, SAMPLE_ROWS_PER_MONTH, TRAINING_MODES
 from farelane.functions.calendar import holiday_calendar
 from farelane.ml import models as M
 from farelane.ml import preprocess as P
@@ -112,47 +112,69 @@ def preprocess_job(
     return paths
 
 
+def model_registry(train: DataFrame, seed: int = DEFAULT_SEED, max_iter: int | None = None) -> dict[str, Callable[[], M.Contender]]:
+    """The models that ``training_job`` can evaluate, by the name a caller gives; ``max_iter`` replaces the presets' tree counts."""
+    more = {} if max_iter is None else {"max_iter": max_iter}
+    known = {
+        "linear_reg": lambda: M.Contender("LinearRegression", M.linear_regression()),
+        "ridge": lambda: M.Contender("Ridge", M.ridge(train)),
+    }
+    for preset in M.BOOSTED_PRESETS:
+        known[preset] = lambda p=preset: M.Contender(f"GBT-{p}", M.boosted_trees(p, seed=seed, **more))
+    return known
+
+
+def evaluate(spark, train, val, artifact_dir: str, models: Sequence[str], seed: int, max_iter: int | None) -> DataFrame:
+    known = model_registry(train, seed, max_iter)
+    unknown = sorted(set(models) - set(known))
+    if unknown:
+        raise ValueError(f"no such models: {unknown}; there are {sorted(known)}")
+    board = M.leaderboard(spark, [known[name]() for name in models], train, val)
+    return spark.read.schema(M.LEADERBOARD_SCHEMA).json(sinks.write_metrics(board, f"{artifact_dir}/model_experiments") + "/json").orderBy("RMSE")
+
+
+def optimize(spark, train, val, artifact_dir: str, n_trials: int, timeout, seed: int, early_stopping_rounds, space: Mapping) -> DataFrame:
+    _, params, trials = M.param_search(train, val, n_trials, timeout, seed, early_stopping_rounds, space)
+    log = M.trial_log(spark, trials)
+    flat = log.withColumns({c: F.to_json(c) for c in ("params", "user_attrs")})
+    sinks.write_metrics(flat, f"{artifact_dir}/optimize/trials")
+    sinks.write_json_text(spark, params, f"{artifact_dir}/optimize/best_params")
+    return log
+
+
 def training_job(
     spark: SparkSession,
     mode: str,
     splits_dir: str,
     preprocess_dir: str,
     artifact_dir: str,
-    models: Sequence[str] = ("ridge", "lightgbm"),
+    models: Sequence[str] = ("ridge", "xgboost", "lightgbm", "catboost"),
+    opt_model: str = "lightgbm",
     n_trials: int = 50,
     timeout: float | None = None,
+    early_stopping_rounds: int | None = EARLY_STOPPING_ROUNDS,
     seed: int = DEFAULT_SEED,
-    tree_scale: float = 1.0,
-    depth_cap: int = 12,
+    max_iter: int | None = None,
+    space: Mapping = M.SEARCH_SPACE,
 ) -> DataFrame:
-    """evaluate / optimize / test on the written splits (L2); other modes fail before any read."""
+    """evaluate / optimize / test on the written splits (L2).
+
+    Other modes, models to optimise other than lightgbm and unknown model
+    names are errors, the first two before anything is read.  The transformed
+    splits are written once and read by every fit.
+    """
     if mode not in TRAINING_MODES:
-        raise ValueError(f"Unknown mode: {mode}")
-    pre = P.load_preprocess(preprocess_dir)
-    parts = P.transform_splits(spark.read.parquet(splits_dir), pre)
-    train, val, test = parts["train"], parts["val"], parts["test"]
+        raise ValueError(f"mode must be one of {TRAINING_MODES}, not {mode!r}")
+    if mode == "optimize" and opt_model.lower() != "lightgbm":
+        raise ValueError(f"the search is defined for lightgbm, not for {opt_model!r}")
+    parts = P.transform_splits(spark.read.parquet(splits_dir), P.load_preprocess(preprocess_dir))
+    train, val, test = (sinks.materialize(parts[s], f"transformed_{s}") for s in ("train", "val", "test"))
     if mode == "evaluate":
-        zoo = [(M.BASELINE, None, True)]
-        for name in models:
-            if name == "linear_reg":
-                zoo.append(("LinearRegression", M.linear_regression()))
-            elif name == "ridge":
-                zoo.append(("Ridge", M.ridge(train)))
-            elif name in M.BOOSTED_PRESETS:
-                zoo.append((f"GBT-{name}", M.boosted_trees(name, scale=tree_scale, seed=seed)))
-        board = M.leaderboard(spark, zoo, train, val)
-        sinks.write_metrics(board, f"{artifact_dir}/model_experiments")
-        return board
+        return evaluate(spark, train, val, artifact_dir, models, seed, max_iter)
     if mode == "optimize":
-        best, params, trials = M.param_search(train, val, n_trials, timeout, seed, tree_scale, depth_cap)
-        log = M.trial_log(spark, trials)
-        sinks.write_metrics(log.select("number", "value", "state", F.to_json("params").alias("params"),
-                                       F.to_json("user_attrs").alias("user_attrs"), "duration",
-                                       "datetime_start", "datetime_complete"), f"{artifact_dir}/optimize/trials")
-        sinks.write_json_text(spark, params, f"{artifact_dir}/optimize/best_params")
-        return log
+        return optimize(spark, train, val, artifact_dir, n_trials, timeout, seed, early_stopping_rounds, space)
     params = sinks.read_json_text(spark, f"{artifact_dir}/optimize/best_params")
-    result, model = M.final_compare(spark, params, train, val, test, tree_scale, depth_cap, seed)
+    result, model = M.final_compare(spark, params, train, val, test, seed)
     model.write().overwrite().save(f"{artifact_dir}/final/model")
     sinks.write_metrics(result, f"{artifact_dir}/final/metrics")
     return result

@@ -7,7 +7,7 @@ model queries read that table.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,6 @@ from farelane.plans import jobs
 from farelane.plans import oracle_sql as O
 from farelane.plans.catalog import (
     FEATURE_DOUBLES,
-    SPLIT_N_SQL,
     SPLIT_ROWS,
     SPLIT_SQL_EXPR,
     _cleaned,
@@ -32,13 +31,10 @@ from farelane.plans.catalog import (
     _trips,
     register,
 )
-from farelane.session import session_key
 from farelane.sources import fixtures as fx
 from farelane.sources import sinks
 from farelane.streaming.score_stream import score_stream
 
-_CACHE: dict[tuple, str] = {}
-
 SPLIT_SAMPLE_CTES = (
     O.TRIPS,
     O.MONTH_FILTERED,
@@ -53,34 +49,30 @@ splits AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY file_month ORDER BY md5(CAST(trip_id AS VARCHAR) || ':42'), trip_id) AS rn
     FROM tagged WHERE split <> 'ignore')
-  WHERE rn <= {SPLIT_N_SQL}
+  WHERE split <> 'train' OR rn <= {SPLIT_ROWS["train"]}
 )""",
 )
 
 
+#: training rows per month are bounded; validation and test are always whole
+MODEL_ROWS = {"train": SPLIT_ROWS["train"], "val": None, "test": None}
+
+
 def _splits(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature rows of the per-month split sample, written once per session."""
-    key = (session_key(spark), sf)
-    if key not in _CACHE:
-        feats = sinks.materialize(_features(spark, sf, src=_cleaned(spark, sf)), "model_features")
-        s = sampling.build_splits(feats, SPLIT_ROWS)
-        _CACHE[key] = sinks.write_stage(s, "model_splits")
-    return spark.read.parquet(_CACHE[key])
+    """Feature rows of all splits: a bounded number of training rows per month, all rows of the others."""
+    feats = sinks.materialize(_features(spark, sf, src=_cleaned(spark, sf)), "model_features")
+    return sinks.materialize(sampling.build_splits(feats, MODEL_ROWS), "model_splits")
 
 
-def _fitted(spark, sf):
-    key = (session_key(spark), sf, "preprocess")
-    if key not in _CACHE:
-        train = _splits(spark, sf).where(F.col("split") == "train")
-        model = P.fit_preprocess(P.build_preprocess(), train)
-        _CACHE[key] = P.save_preprocess(model, sinks.shared_dir(spark, "preprocess"))
-    return P.load_preprocess(_CACHE[key])
+def _fitted(splits: DataFrame) -> PipelineModel:
+    return P.fit_preprocess(P.build_preprocess(), splits.where(F.col("split") == "train"))
 
 
 def _xy(spark, sf):
-    pre = _fitted(spark, sf)
+    """The transformed splits, written once for all fits of a query."""
     s = _splits(spark, sf)
-    return {name: P.transform(pre, s.where(F.col("split") == name), keep=["trip_id"]) for name in ("train", "val", "test")}
+    pre = _fitted(s)
+    return {name: sinks.materialize(P.transform(pre, s.where(F.col("split") == name), keep=["trip_id"]), f"xy_{name}") for name in ("train", "val", "test")}
 
 
 # ============================================================ I: feature pipeline
@@ -136,16 +128,16 @@ def q_robust_scale(spark, sf):
 
 @register("one_hot")
 def q_one_hot(spark, sf):
-    pre = _fitted(spark, sf)
-    out = pre.transform(_splits(spark, sf).where(F.col("split") == "test"))
+    s = _splits(spark, sf)
+    out = _fitted(s).transform(s.where(F.col("split") == "test"))
     ohe = [c for c in out.columns if c.startswith("_ohe_")]
     return out.select("trip_id", *[F.array_position(vector_to_array(c), 1.0).alias(c) for c in ohe])
 
 
 @register("column_transformer")
 def q_column_transformer(spark, sf):
-    pre = _fitted(spark, sf)
-    out = pre.transform(_splits(spark, sf))
+    s = _splits(spark, sf)
+    out = _fitted(s).transform(s)
     arr = vector_to_array("features")
     return out.select("trip_id", "split", F.size(arr).alias("n_features"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("sum_features"))
 
@@ -158,10 +150,11 @@ def q_fit_transform(spark, sf):
 
 @register("persist_pipeline")
 def q_persist_pipeline(spark, sf):
-    pre = _fitted(spark, sf)
+    every = _splits(spark, sf)
+    pre = _fitted(every)
     path = P.save_preprocess(pre, sinks.shared_dir(spark, "persist_pipeline"))
     again = PipelineModel.load(path)
-    s = _splits(spark, sf).where(F.col("split") == "val")
+    s = every.where(F.col("split") == "val")
     a = pre.transform(s).select("trip_id", vector_to_array("features").alias("a"))
     b = again.transform(s).select("trip_id", vector_to_array("features").alias("b"))
     return a.join(b, "trip_id").select("trip_id", (F.col("a") == F.col("b")).alias("same_features"))
@@ -169,7 +162,8 @@ def q_persist_pipeline(spark, sf):
 
 @register("transform_splits")
 def q_transform_splits(spark, sf):
-    parts = P.transform_splits(_splits(spark, sf), _fitted(spark, sf))
+    s = _splits(spark, sf)
+    parts = P.transform_splits(s, _fitted(s))
     out = None
     for name, df in parts.items():
         part = df.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("label").alias("mean_label")).select(F.lit(name).alias("split"), "*")
@@ -178,6 +172,11 @@ def q_transform_splits(spark, sf):
 
 
 # ============================================================ J: models and evaluation
+#: the registered queries fit few and shallow trees over whole validation and test splits; the operators' defaults are the
+#: full presets and search ranges
+QUERY_TREES = 6
+QUERY_SPACE = M.SEARCH_SPACE | {"n_estimators": ("int", 2, 6, 1), "max_depth": ("int", 2, 5, 1)}
+
 BASELINE_SQL = O.with_ctes(
     *SPLIT_SAMPLE_CTES,
     "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
@@ -239,27 +238,22 @@ def q_ridge(spark, sf):
 @register("boosted_trees")
 def q_boosted_trees(spark, sf):
     xy = _xy(spark, sf)
-    m = M.boosted_trees("xgboost", scale=0.01).fit(xy["train"])
+    m = M.boosted_trees("xgboost", max_iter=QUERY_TREES).fit(xy["train"])
     return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
 
 
 @register("early_stop")
 def q_early_stop(spark, sf):
     xy = _xy(spark, sf)
-    gbt = M.with_early_stopping(M.boosted_trees("lightgbm", scale=0.02), tol=0.01)
-    m = M.fit_with_validation(gbt, xy["train"], xy["val"])
+    gbt = M.boosted_trees("lightgbm", max_iter=2 * QUERY_TREES, step_size=0.5)
+    m = M.fit_with_validation(gbt, xy["train"], xy["val"], rounds=2)
     return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
 
 
 def _board(spark, sf):
     xy = _xy(spark, sf)
-    zoo = [
-        (M.BASELINE, None, True),
-        ("LinearRegression", M.linear_regression()),
-        ("Ridge", M.ridge(xy["train"])),
-        ("GBT-lightgbm", M.boosted_trees("lightgbm", scale=0.01)),
-    ]
-    return M.leaderboard(spark, zoo, xy["train"], xy["val"])
+    known = jobs.model_registry(xy["train"], max_iter=QUERY_TREES)
+    return M.leaderboard(spark, [make() for make in known.values()], xy["train"], xy["val"])
 
 
 @register("leaderboard")
@@ -274,7 +268,7 @@ def q_best_model(spark, sf):
 
 def _search(spark, sf):
     xy = _xy(spark, sf)
-    return M.param_search(xy["train"], xy["val"], n_trials=2, seed=42, tree_scale=0.004, depth_cap=5)
+    return M.param_search(xy["train"], xy["val"], n_trials=2, seed=42, early_stopping_rounds=2, space=QUERY_SPACE)
 
 
 @register("param_search")
@@ -292,8 +286,8 @@ def q_trial_log(spark, sf):
 @register("final_compare")
 def q_final_compare(spark, sf):
     xy = _xy(spark, sf)
-    best, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, tree_scale=0.004, depth_cap=5)
-    result, _ = M.final_compare(spark, params, xy["train"], xy["val"], xy["test"], tree_scale=0.004, depth_cap=5)
+    best, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, early_stopping_rounds=None, space=QUERY_SPACE)
+    result, _ = M.final_compare(spark, params, xy["train"], xy["val"], xy["test"])
     return result
 
 
@@ -326,52 +320,73 @@ def q_score_contract(spark, sf):
     return scoring.parse_requests(js)
 
 
-REJECT_SQL = O.with_ctes(
-    O.TRIPS,
-    O.ZONES,
-    f"""
+def _zones_repeated(spark) -> DataFrame:
+    """The fixture zones with some ids twice, at other places."""
+    zones = fx.fixture_zones(spark)
+    again = zones.where(F.col("LocationID") % 7 == 0).withColumn("lon", F.col("lon") + 1.0)
+    return zones.unionByName(again)
+
+
+JUDGED_SQL = f"""
 req AS (
-  SELECT trip_id AS request_id, tpep_pickup_datetime, tpep_dropoff_datetime,
+  SELECT trip_id AS request_id, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
+    (passenger_count IS NOT NULL AND RatecodeID IS NOT NULL AND store_and_fwd_flag IS NOT NULL
+     AND tpep_dropoff_datetime IS NOT NULL) AS ok,
     CASE WHEN PULocationID = 57 THEN 56 ELSE PULocationID END AS pu,
     CASE WHEN DOLocationID = 57 THEN 56 ELSE DOLocationID END AS dou FROM trips
-)""",
-    select=f"""SELECT request_id,
-      CASE WHEN pu IN (264, 265) OR dou IN (264, 265) THEN '{scoring.REASON_LOCATION}'
-           WHEN date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 < 1
-             OR date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 > 180 THEN '{scoring.REASON_DURATION}'
-           WHEN zp.lon IS NULL OR zp.lat IS NULL OR zd.lon IS NULL OR zd.lat IS NULL THEN '{scoring.REASON_HAVERSINE}' END AS reject_reason
-    FROM req LEFT JOIN zones zp ON req.pu = zp.LocationID LEFT JOIN zones zd ON req.dou = zd.LocationID""",
-)
+),
+judged AS (
+  SELECT request_id, trip_distance,
+    CASE WHEN NOT ok THEN '{scoring.REASON_INVALID}'
+         WHEN pu IN (264, 265) OR dou IN (264, 265) THEN '{scoring.REASON_LOCATION}'
+         WHEN date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 < 1
+           OR date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 60000000.0 > 180 THEN '{scoring.REASON_DURATION}'
+         WHEN zp.lon IS NULL OR zp.lat IS NULL OR zd.lon IS NULL OR zd.lat IS NULL THEN '{scoring.REASON_HAVERSINE}' END AS reject_reason
+  FROM req LEFT JOIN zones zp ON req.pu = zp.LocationID LEFT JOIN zones zd ON req.dou = zd.LocationID
+)"""
+
+
+@register("reject_reasons", O.with_ctes(O.TRIPS, O.ZONES, JUDGED_SQL, select="SELECT request_id, reject_reason FROM judged"))
+def q_reject_reasons(spark, sf):
+    return scoring.reject_reasons(_requests(spark, sf), _zones_repeated(spark))
 
 
-@register("reject_reasons", REJECT_SQL)
-def q_reject_reasons(spark, sf):
-    return scoring.reject_reasons(_requests(spark, sf), fx.fixture_zones(spark)).select("request_id", "reject_reason")
+def _distance_model(spark, sf):
+    """(assembler, regression) of the fare on the distance alone, fitted on the training rows."""
+    s = _splits(spark, sf).where(F.col("split") == "train").withColumn("label", F.col(TARGET))
+    pre = Pipeline(stages=[VectorAssembler(inputCols=["trip_distance"], outputCol="features")]).fit(s)
+    return pre, M.linear_regression().fit(pre.transform(s))
 
 
-def _scoring_model(spark, sf):
-    xy = _xy(spark, sf)
-    return M.linear_regression().fit(xy["train"])
+SCORED_SQL = O.with_ctes(
+    *SPLIT_SAMPLE_CTES,
+    JUDGED_SQL,
+    "\nfit AS (SELECT regr_slope(total_amount, trip_distance) AS a, regr_intercept(total_amount, trip_distance) AS b FROM splits WHERE split = 'train')",
+    select="""SELECT request_id, CASE WHEN reject_reason IS NULL THEN 'ok' ELSE 'rejected' END AS status, reject_reason,
+      CASE WHEN reject_reason IS NULL THEN round(a * trip_distance + b, 2) END AS total_amount,
+      CASE WHEN reject_reason IS NULL THEN 'USD' END AS currency,
+      CASE WHEN reject_reason IS NULL THEN 'LinearRegressionModel' END AS model
+    FROM judged, fit""",
+)
 
 
-@register("score_batch")
+@register("score_batch", SCORED_SQL)
 def q_score_batch(spark, sf):
-    model = _scoring_model(spark, sf)
+    pre, model = _distance_model(spark, sf)
     return scoring.score_batch(
-        _requests(spark, sf), _fitted(spark, sf), model, fx.fixture_zones(spark), fx.fixture_zone_lookup(spark),
-        holiday_calendar(spark), "LinearRegressionModel",
+        _requests(spark, sf), pre, model, _zones_repeated(spark), fx.fixture_zone_lookup(spark), holiday_calendar(spark), "LinearRegressionModel"
     )
 
 
-@register("score_stream")
+@register("score_stream", SCORED_SQL)
 def q_score_stream(spark, sf):
     src = sinks.shared_dir(spark, "stream", "requests")
     _requests(spark, sf).repartition(4, "request_id").write.parquet(src)
     sink = sinks.shared_dir(spark, "stream", "scored")
     ckpt = sinks.shared_dir(spark, "stream", "checkpoint")
+    pre, model = _distance_model(spark, sf)
     q = score_stream(
-        spark, src, sink, ckpt, _fitted(spark, sf), _scoring_model(spark, sf), fx.fixture_zones(spark),
-        fx.fixture_zone_lookup(spark), holiday_calendar(spark), "LinearRegressionModel",
+        spark, src, sink, ckpt, pre, model, _zones_repeated(spark), fx.fixture_zone_lookup(spark), holiday_calendar(spark), "LinearRegressionModel"
     )
     q.awaitTermination()
     return spark.read.parquet(sink)
@@ -385,7 +400,7 @@ def q_score_stream(spark, sf):
 def q_preprocess_job(spark, sf):
     out = sinks.shared_dir(spark, "preprocess_job")
     paths = jobs.preprocess_job(
-        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SPLIT_ROWS
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=MODEL_ROWS
     )
     return spark.read.parquet(paths["splits"]).select("trip_id", "file_month", "split")
 
@@ -394,11 +409,11 @@ def q_preprocess_job(spark, sf):
 def q_training_job(spark, sf):
     out = sinks.shared_dir(spark, "training_job")
     paths = jobs.preprocess_job(
-        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SPLIT_ROWS
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=MODEL_ROWS
     )
     board = jobs.training_job(
         spark, "evaluate", paths["splits"], paths["preprocess"], f"{out}/artifacts", models=("linear_reg", "ridge", "lightgbm"),
-        tree_scale=0.01,
+        max_iter=QUERY_TREES,
     )
     return board.select("Model", "MAE", "RMSE", "R2")
 

@@ -14,9 +14,12 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when none is configured."""
+    """The shared folder of the session; a local one is made only for a local master without any."""
     cur = spark.conf.get("spark.checkpoint.dir", None) or context_checkpoint_dir(spark)
     if not cur:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="farelane-ckpt-", dir=os.environ.get("FARELANE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
     try:
@@ -33,30 +36,21 @@ def context_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def session_key(spark: SparkSession) -> str:
-    """A stable id of the running application (used to reuse written stages)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "farelane") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "farelane") -> SparkSession:
+    """The running session as it is, or a new one; ``shuffle_partitions`` is 8 for a local master unless given."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app)
+    local = master is not None and master.startswith("local")
     if master:
         builder = builder.master(master)
-    spark = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("FARELANE_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
+    if local or shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    if local:
+        builder = builder.config("spark.driver.memory", os.environ.get("FARELANE_DRIVER_MEMORY", "8g")).config("spark.ui.showConsoleProgress", "false")
+    spark = builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.sources.parallel import spread
 
 # --- fixed values: trip mapping (FIXTURES.md §3) -------------------------------
 T0 = "2024-01-01 00:00:00"
@@ -98,7 +97,7 @@ def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         cols = [c for c in TRIP_COLUMNS if c in df.columns]
         return df.select(*cols)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return trips_from_orders(spread(orders, ["o_orderkey"]))
+    return trips_from_orders(orders)
 
 
 def _zone_ids(spark: SparkSession) -> DataFrame:

@@ -54,8 +54,9 @@ def write_splits(df: DataFrame, out: str, split_col: str = "split") -> str:
 
 def write_metrics(df: DataFrame, out: str) -> str:
     """Small result tables (leaderboard, trial log) as one CSV and one JSON file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/csv")
     df.coalesce(1).write.mode("overwrite").json(f"{out}/json")
+    written = df.sparkSession.read.schema(df.schema).json(f"{out}/json")  # computed once, the second format comes from the first
+    written.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/csv")
     return out
 
 

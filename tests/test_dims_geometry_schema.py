@@ -78,12 +78,6 @@ def test_join_centroids_fans_out_duplicates(spark):
         joins.assert_unique_zones(zones).collect()
 
 
-def test_checked_broadcast_bound(spark):
-    small = spark.range(10)
-    assert joins.checked_broadcast(small, max_rows=100) is not small
-    assert joins.checked_broadcast(small, max_rows=5) is small
-
-
 def test_haversine_known_distance(spark):
     from farelane.functions.exprs import haversine_km
 

@@ -60,23 +60,69 @@ def _xy(spark):
 
 def test_leaderboard_order_and_best_model(spark):
     df = _xy(spark)
-    board = M.leaderboard(spark, [("Ridge", M.ridge(df), False), ("LinearRegression", M.linear_regression())], df, df)
+    board = M.leaderboard(spark, [M.Contender("Ridge", M.ridge(df)), M.Contender("LinearRegression", M.linear_regression())], df, df)
     names = [r.Model for r in board.collect()]
     assert set(names) == {"MeanBaseline", "Ridge", "LinearRegression"} and names[-1] == "MeanBaseline"
     assert M.best_model(board).first().Model != "MeanBaseline"
     with pytest.raises(ValueError):
-        M.leaderboard(spark, [("bad",)], df, df)
+        M.Contender("bad")
+    with pytest.raises(ValueError):
+        M.leaderboard(spark, [M.Contender("a", M.linear_regression()), M.Contender("a", M.linear_regression())], df, df)
 
 
 def test_boosted_trees_beat_baseline(spark):
     df = _xy(spark)
-    gbt = M.boosted_trees("xgboost", scale=0.01).fit(df)
+    gbt = M.boosted_trees("xgboost", max_iter=7).fit(df)
     assert M.metrics_dict(gbt.transform(df))["RMSE"] < M.metrics_dict(M.mean_baseline(df, df))["RMSE"]
 
 
+SMALL_SPACE = M.SEARCH_SPACE | {"n_estimators": ("int", 2, 5, 1), "max_depth": ("int", 2, 3, 1)}
+
+
+def test_stalled_rounds():
+    assert M.stalled_at([5, 4, 3, 3, 3, 1], 3) == 6
+    assert M.stalled_at([5, 4, 3, 3, 3, 1], 2) == 3
+    assert M.stalled_at([1], 200) == 1
+
+
+def test_early_stop_keeps_leading_trees(spark):
+    df = _xy(spark)
+    gbt = M.boosted_trees("lightgbm", max_iter=8, step_size=1.0)
+    whole = gbt.fit(df)
+    losses = whole.evaluateEachIteration(df, "squared")
+    short = M.fit_with_validation(gbt, df, df, rounds=1)
+    assert short.getNumTrees == M.stalled_at(losses, 1)
+    assert short.evaluateEachIteration(df, "squared") == pytest.approx(losses[: short.getNumTrees])
+
+
+def test_job_guards(spark):
+    from farelane.plans import jobs
+
+    with pytest.raises(ValueError, match="mode"):
+        jobs.training_job(spark, "tune", "/nowhere", "/nowhere", "/nowhere")
+    with pytest.raises(ValueError, match="lightgbm"):
+        jobs.training_job(spark, "optimize", "/nowhere", "/nowhere", "/nowhere", opt_model="xgboost")
+    with pytest.raises(ValueError, match="no such models"):
+        jobs.evaluate(spark, _xy(spark), None, "/nowhere", ["ridge", "forest"], 42, None)
+
+
+def test_scoring_answers_each_request_once(spark):
+    zones = spark.createDataFrame([(1, 0.0, 0.0), (1, 1.0, 1.0), (1, 2.0, 2.0), (2, 2.0, 2.0)], "LocationID int, lon double, lat double")
+    ok = (1, "2024-01-01 10:00:00", "2024-01-01 10:20:00", 1, 2.0, 1.0, "N", 1, 2, 1)
+    rows = [(1, *ok), (2, *ok[:3], None, *ok[4:]), (3, *ok[:7], 264, 2, 1), (4, *ok[:7], 1, 9, 1)]
+    names = "request_id long, VendorID int, tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count int, trip_distance double, RatecodeID double, store_and_fwd_flag string, PULocationID int, DOLocationID int, payment_type int"
+    req = spark.createDataFrame(rows, names)
+    req = req.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+    got = {r["request_id"]: r["reject_reason"] for r in scoring.reject_reasons(req, zones).collect()}
+    assert got == {1: None, 2: scoring.REASON_INVALID, 3: scoring.REASON_LOCATION, 4: scoring.REASON_HAVERSINE}
+    assert scoring.judged_requests(req, zones).count() == len(rows)
+    bare = {r["request_id"]: r["reject_reason"] for r in scoring.reject_reasons(req, None).collect()}
+    assert bare == {1: scoring.REASON_NO_CENTROIDS, 2: scoring.REASON_INVALID, 3: scoring.REASON_LOCATION, 4: scoring.REASON_NO_CENTROIDS}
+
+
 def test_param_search_and_trial_log(spark):
     df = _xy(spark)
-    best, params, trials = M.param_search(df, df, n_trials=2, tree_scale=0.002, depth_cap=3)
+    best, params, trials = M.param_search(df, df, n_trials=2, space=SMALL_SPACE)
     assert len(trials) == 2 and best == min(t.value for t in trials)
     assert set(params) == set(M.SEARCH_SPACE)
     assert M.trial_log(spark, trials).count() == 2
@@ -109,8 +155,8 @@ def test_final_compare_metrics_finite(spark):
     import math
 
     df = _xy(spark)
-    _, params, _ = M.param_search(df, df, n_trials=1, tree_scale=0.002, depth_cap=3)
-    result, model = M.final_compare(spark, params, df, df, df, tree_scale=0.002, depth_cap=3)
+    _, params, _ = M.param_search(df, df, n_trials=1, space=SMALL_SPACE)
+    result, model = M.final_compare(spark, params, df, df, df)
     rows = result.collect()
     assert {r.mode for r in rows} == {"train_only", "train_val"}
     assert all(math.isfinite(r.rmse) and math.isfinite(r.mae) and math.isfinite(r.r2) for r in rows)

@@ -81,3 +81,24 @@ def test_fixture_counts_match_fixtures_md(spark):
     r = t.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("passenger_count").isNull()).alias("trio"),
               F.count_if(F.col("tpep_dropoff_datetime").isNull()).alias("drop")).first()
     assert (r.n, r.trio, r.drop) == (1500, 116, 15)
+
+
+def test_nan_in_files_of_other_writers_is_missing(spark, tmp_path):
+    """A file whose statistics leave NaN out must not lose its NaN rows."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from farelane.operators import clean
+
+    nan = float("nan")
+    cols = {"passenger_count": [1.0, 2.0, nan], "trip_distance": [0.01, nan, 2.0], "total_amount": [10.0, 10.0, 10.0]}
+    pq.write_table(pa.table(cols | {"RatecodeID": [1.0, 1.0, 1.0], "store_and_fwd_flag": ["N", "N", "N"], "file_month": ["2025-01"] * 3}), f"{tmp_path}/x.parquet")
+    df = spark.read.parquet(f"{tmp_path}/x.parquet")
+    kept = clean.range_filter(df).collect()
+    assert len(kept) == 2 and sum(r.trip_distance is None for r in kept) == 1
+    filled = clean.missing_policy(df).collect()
+    assert sorted(r.passenger_count for r in filled) == [1.0, 1.0, 2.0]
+    assert sorted(r.passenger_count for r in clean.impute_mode(df).collect()) == [1.0, 1.0, 2.0]
+    dropped = clean.missing_policy(df, policy={2025: "drop"})
+    assert dropped.count() == 2 and clean.missing_policy(df, policy={2024: "drop"}, other="impute").count() == 3
+    assert clean.unlisted_months(df, {2024: "drop"}).first().n_rows == 3

@@ -15,10 +15,12 @@ def _raw_trips(spark):
     return monthly.scan_months(spark, path)
 
 
-def test_range_filter_is_pushed_into_parquet(spark):
-    plan = _plan(clean.range_filter(_raw_trips(spark)))
+def test_range_filter_pushes_no_bounds_on_columns_with_nan(spark):
+    """Statistics of such columns cannot be trusted, so rows could be lost (see test_null_traps)."""
+    plan = _plan(clean.range_filter(_raw_trips(spark)).select("trip_id"))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
-    assert "PushedFilters" in scan and "passenger_count" in scan.split("PushedFilters")[1]
+    assert "PushedFilters: []" in scan
+    assert "ReadSchema: struct<trip_id:bigint,passenger_count:double,trip_distance:double,total_amount:double>" in scan
 
 
 def test_projection_is_pruned_into_the_scan(spark):
