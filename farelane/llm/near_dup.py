@@ -3,10 +3,11 @@
 A document is the set of its distinct 5-word shingles.  Equal sets are
 collapsed first.  Each of ``TREES`` independent trees branches the remaining
 sets recursively: a node picks positions of the minwise signature, and its
-members go on to one child per chosen position and token.  Nodes of at most
-``LEAF`` members are compared exhaustively; in a larger node every member is
-compared with the node's pivot, and the node is branched further unless all its
-members are already known to be connected.  Pairs that pass the length bound
+members go on to one child per choice and token.  Nodes of at most ``LEAF``
+members are compared exhaustively; in a larger node every member is compared
+with the node's pivot.  If at most ``LEAF`` members then lie outside the node's
+largest component, they are compared with all others; if more, the node is
+branched further.  Pairs that pass the length bound
 and the signature estimate are confirmed on the full shingle sets, and links
 are merged into components.  Similar sets share a child with a probability of
 at least their similarity at each position, so the trees together reach the
@@ -37,13 +38,21 @@ from farelane.llm.frames import arrow_map, materialize
 
 SHINGLE = 5
 THRESHOLD = 75  # percent
-TOKENS = 48  # minwise tokens of a signature
+TOKENS = 64  # minwise tokens of a signature
 TREES = 4
 LEAF = 8
-#: pairs whose signatures agree on less than this share of tokens are not confirmed: four standard deviations below the threshold
-MIN_AGREE = 0.75 - 4 * (0.75 * 0.25 / TOKENS) ** 0.5
+#: children of a node below the root, and tokens that each of them takes at once
+CHILDREN = 3
+STEP = 3
+#: pairs whose signatures agree on less than this share of tokens are not confirmed: three standard deviations below the threshold
+MIN_AGREE = 0.75 - 3 * (0.75 * 0.25 / TOKENS) ** 0.5
 #: nodes that are still large at this depth are compared exhaustively
-MAX_DEPTH = 24
+MAX_DEPTH = 5
+#: a large node is dense if at most this share of its members lies outside its largest component; what lies outside is then
+#: compared with all members by signature, and the ``NEAREST`` ones of each block are confirmed
+DENSE = 0.3
+NEAREST = 4
+BLOCK = 1024
 
 _rng = np.random.default_rng(4)
 _MULTIPLY = _rng.integers(1, 1 << 62, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,38 +149,47 @@ def _roots(reps: DataFrame, trees: int) -> DataFrame:
 
 
 def _children(entries: DataFrame, reps: DataFrame) -> DataFrame:
-    """One or two children of each entry (4/3 on average); the node decides which positions they take."""
-    first = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(TOKENS)).cast("int")
-    step = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(TOKENS - 1)).cast("int") + 1
-    two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(3)) == 0
-    second = F.pmod(first + step, F.lit(TOKENS)).cast("int")
-    at = F.explode(F.when(two, F.array(first, second)).otherwise(F.array(first))).alias("at")
-    chosen = entries.join(reps.select("id", "sig"), "id").select("id", "node", "sig", at)
-    return chosen.select("id", F.xxhash64("node", "at", _token(F.col("at"))).alias("node"))
-
-
-def _shared(entries: DataFrame) -> DataFrame:
-    """The entries of nodes with at least two members, with the node's size and pivot."""
-    nodes = entries.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id", "node"), "id")).alias("p"))
-    nodes = nodes.filter("size > 1").select("node", "size", F.col("p.id").alias("pivot"))
-    return entries.join(nodes, "node")
-
-
-def _candidates(shared: DataFrame, reps: DataFrame, leaf: int, threshold: int) -> DataFrame:
-    """a < b, agree: pairs of the leaves and of the pivots that pass the length bound and the estimate."""
+    """``CHILDREN`` children of each entry, each under ``STEP`` tokens at positions that the node decides."""
+    keys = []
+    for j in range(CHILDREN):
+        places = [F.pmod(F.xxhash64("node", F.lit(j), F.lit(i)), F.lit(TOKENS)).cast("int") for i in range(STEP)]
+        keys.append(F.xxhash64("node", F.lit(j), *[_token(p) for p in places]))
+    chosen = entries.join(reps.select("id", "sig"), "id")
+    return chosen.select("id", F.explode(F.array(*keys)).alias("node"))
+
+
+def _shared(entries: DataFrame, leaf: int) -> DataFrame:
+    """The entries of nodes with at least two members, with the node's size and, in a large node, its pivot.
+
+    The pivot is the member that is in most large nodes, so one that most
+    members of a dense group resemble.
+    """
+    sizes = entries.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = materialize(entries.join(sizes, "node"), "nodes")
+    big = shared.filter(F.col("size") > leaf)
+    often = big.groupBy("id").agg(F.count("*").alias("often"))
+    pivots = big.join(often, "id").groupBy("node").agg(F.max(F.struct("often", F.xxhash64("id"), "id")).alias("p"))
+    return shared.join(pivots.select("node", F.col("p.id").alias("pivot")), "node", "left")
+
+
+def _node_pairs(shared: DataFrame, leaf: int) -> DataFrame:
+    """a < b: all pairs of the small nodes, and every other member of a large node with its pivot."""
     small = shared.filter(F.col("size") <= leaf).select("node", "id")
     other = small.select("node", F.col("id").alias("other"))
     inside = small.join(other, "node").filter(F.col("id") < F.col("other")).select(F.col("id").alias("a"), F.col("other").alias("b"))
     star = shared.filter((F.col("size") > leaf) & (F.col("id") != F.col("pivot")))
-    star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    pairs = inside.unionByName(star).distinct()
+    return inside.union(star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")))
+
+
+def _candidates(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
+    """a, b, set sizes, agree: the pairs that pass the length bound and the signature estimate."""
     left = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     right = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
     fits = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
     same = F.lit(0)
     for t in range(TOKENS):
         same = same + (F.substring("sa", 4 * t + 1, 4) == F.substring("sb", 4 * t + 1, 4)).cast("int")
-    both = pairs.join(left, "a").join(right, "b").filter(fits).select("a", "b", "na", "nb", same.alias("agree"))
+    both = pairs.distinct().join(left, "a").join(right, "b").filter(fits).select("a", "b", "na", "nb", same.alias("agree"))
     return both.filter(F.col("agree") >= MIN_AGREE * TOKENS)
 
 
@@ -194,13 +212,74 @@ def _unresolved(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
-def _merged(links: list[DataFrame]) -> DataFrame | None:
-    if not links:
-        return None
-    every = links[0]
-    for x in links[1:]:
-        every = every.unionByName(x)
-    return materialize(connected_components(every), "components")
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components after more links: only the links between components are followed."""
+    if labels is None:
+        return materialize(connected_components(links), "components")
+    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    between = links.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = materialize(connected_components(between), "component_links")
+    old = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("wider")), "component", "left")
+    old = old.select("node", F.coalesce("wider", "component").alias("component"))
+    new = joined.join(labels.select("node"), "node", "left_anti").select("node", "component")
+    return materialize(old.union(new), "components")
+
+
+def _open_nodes(shared: DataFrame, labels: DataFrame | None, leaf: int) -> DataFrame:
+    """node, id, component, major, rest, all of the large nodes that hold several components; ``rest`` of ``all`` members are outside the largest one."""
+    big = shared.filter(F.col("size") > leaf).select("node", "id")
+    if labels is None:
+        named = big.withColumn("component", F.col("id"))
+    else:
+        of = labels.select(F.col("node").alias("id"), "component")
+        named = big.join(of, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
+    counts = named.groupBy("node", "component").agg(F.count("*").alias("n"))
+    nodes = counts.groupBy("node").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    nodes = nodes.select("node", F.col("top.component").alias("major"), (F.col("all") - F.col("top.n")).alias("rest"), "all")
+    return named.join(nodes.filter("rest > 0"), "node")
+
+
+def _nearest(opened: DataFrame, reps: DataFrame) -> DataFrame:
+    """a < b: for each member outside a node's largest component the ``NEAREST`` members of other components whose signatures agree most.
+
+    Both sides are cut into blocks of about ``BLOCK`` members, and only the
+    nearest of each block leave a task.
+    """
+
+    def blocks(n):
+        return F.ceil(F.col(n) / BLOCK).cast("int")
+
+    def salt(n, seed):
+        return F.pmod(F.xxhash64("id", F.lit(seed)), blocks(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+
+    full = opened.join(reps.select("id", "sig"), "id")
+    left = full.select("node", salt("all", 1).alias("x"), every("rest").alias("y"), "id", "component", "sig")
+    few = full.filter(F.col("component") != F.col("major")).select("node", every("all").alias("x"), salt("rest", 2).alias("y"), "id", "component", "sig")
+    right = few.select(*[F.col(c).alias(c) for c in few.columns])  # columns of their own, since both sides come from one table
+
+    def compare(members: pa.Table, few: pa.Table) -> pa.Table:
+        def read(t):
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u4").reshape(len(t), TOKENS)
+            return t["id"].to_numpy(), t["component"].to_numpy(), sig
+
+        out_a, out_b = [], []
+        if len(members) and len(few):
+            ids, comps, sigs = read(members)
+            for i, c, sig in zip(*read(few), strict=True):
+                agree = (sigs == sig).sum(1)
+                agree[comps == c] = 0
+                best = np.argsort(-agree, kind="stable")[:NEAREST]
+                best = best[agree[best] >= MIN_AGREE * TOKENS]
+                out_a += np.minimum(ids[best], i).tolist()
+                out_b += np.maximum(ids[best], i).tolist()
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    keys = ["node", "x", "y"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def _some(df: DataFrame) -> bool:
@@ -218,42 +297,42 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps = full.join(groups, (full["id"] == groups["rep"]) & (full["n"] == groups["n"]) & (full["f1"] == groups["f1"]) & (full["f2"] == groups["f2"]))
     reps = materialize(reps.select("id", full["n"], "sig").distinct(), "representatives")
 
-    links: list[DataFrame] = []
     labels: DataFrame | None = None
-    known: list[DataFrame] = []
-    entries, depth = _roots(reps, trees), 0
+    sets: DataFrame | None = None
+    seen: DataFrame | None = None
+    entries, near, depth = _roots(reps, trees), None, 0
     while True:
-        shared = materialize(_shared(entries), "nodes")
-        pairs = _unresolved(_candidates(shared, reps, leaf if depth < MAX_DEPTH else 1 << 62, threshold), labels)
-        pairs = materialize(pairs, "candidates")
+        shared = _shared(entries, leaf)
+        pairs = _node_pairs(shared, leaf if depth < MAX_DEPTH else 1 << 62)
+        pairs = (pairs if near is None else pairs.union(near)).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = materialize(_unresolved(_candidates(pairs, reps, threshold), labels), "candidates")
         if _some(pairs):
+            seen = pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b"))
             ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-            for old in known:
-                ids = ids.join(old.select("id"), "id", "left_anti")
-            wanted = sc.broadcast(bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h"))
-            known.append(materialize(_sets(src, wanted, shingle), "sets"))
-            sets = known[0]
-            for more in known[1:]:
-                sets = sets.unionByName(more)
-            # first every document against its most similar partner, then what is still apart
-            best = pairs.groupBy("b").agg(F.max(F.struct("agree", "a", "na", "nb")).alias("p")).select("b", "p.a", "p.na", "p.nb")
-            links.append(materialize(_confirm(best, sets, threshold), "links"))
-            labels = _merged(links)
-            rest = pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")
-            rest = materialize(_unresolved(rest, labels), "rest")
-            if _some(rest):
-                links.append(materialize(_confirm(rest, sets, threshold), "links"))
-                labels = _merged(links)
-        big = shared.filter(F.col("size") > leaf)
-        if labels is not None:
-            named = big.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        else:
-            named = big.withColumn("component", F.col("id"))
-        mixed = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("node")
+            if sets is not None:
+                ids = ids.join(sets.select("id"), "id", "left_anti")
+            wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
+            if wanted.any():
+                more = materialize(_sets(src, sc.broadcast(wanted), shingle), "sets")
+                sets = more if sets is None else sets.join(more.select("id"), "id", "left_anti").union(more)
+            if depth:
+                labels = _merged(labels, materialize(_confirm(pairs, sets, threshold), "links"))
+            else:  # most links: first every document against its most similar partner, then what is still apart
+                best = pairs.groupBy("b").agg(F.max(F.struct("agree", "a", "na", "nb")).alias("p")).select("p.a", "b", "p.na", "p.nb")
+                labels = _merged(labels, materialize(_confirm(best, sets, threshold), "links"))
+                rest = _unresolved(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), labels)
+                labels = _merged(labels, materialize(_confirm(rest, sets, threshold), "links"))
         depth += 1
-        entries = materialize(_children(big.join(mixed, "node", "left_semi").select("id", "node"), reps), "entries")
-        if depth > MAX_DEPTH or not _some(entries):
+        if depth > MAX_DEPTH:
+            break
+        opened = materialize(_open_nodes(shared, labels, leaf), "open_nodes")
+        if not _some(opened):
             break
+        dense = (F.col("rest") <= leaf) | (F.col("rest") <= DENSE * F.col("all"))
+        near = materialize(_nearest(opened.filter(dense), reps), "nearest")
+        entries = _children(opened.filter(~dense).select("id", "node"), reps)
     return _assigned(rows, groups, labels)
 
 
