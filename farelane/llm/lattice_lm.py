@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from farelane.llm import textbytes as tb
 from farelane.llm.frames import arrow_map, materialize
 
-FREQUENT = 200_000
+FREQUENT = 100_000
 FOLDS, HELD_OUT = 5, 1
 ROUNDS = 2
 #: weight of the first distribution when piece counts are turned into probabilities
@@ -317,11 +317,11 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     got = scored.agg(F.sum("c"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0))).first()
     tokens, distinct = (got[0] or 0) + n_train, (got[1] or 0) + (n_train > 0)
     log_total = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    top = scored.orderBy(F.desc("c_all"), "hash").limit(frequent).select("hash", "c", "lp").collect()
-    h = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
+    top = scored.orderBy(F.desc("c_all"), "hash").limit(frequent).select("hash", "c", "lp").toArrow()
+    h = top["hash"].to_numpy().view(np.uint64)
     order = np.argsort(h)
-    c = np.array([r["c"] for r in top], np.float64)[order]
-    table = {"hash": h[order], "known": (c > 0).astype(np.float64), "base": np.log10(c + 0.5), "lp": np.array([r["lp"] for r in top], np.float64)[order]}
+    c = top["c"].to_numpy()[order].astype(np.float64)
+    table = {"hash": h[order], "known": (c > 0).astype(np.float64), "base": np.log10(c + 0.5), "lp": top["lp"].to_numpy()[order]}
     rows = materialize(_looked_up(src, sc.broadcast(table)), "looked_up")
 
     each = rows.select("key", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("key", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
