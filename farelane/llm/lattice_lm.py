@@ -161,7 +161,7 @@ def word_lattices(vocab: Vocabulary, logp: np.ndarray, b: np.ndarray, offsets: n
     _sweep(beta, target, source, score, (longest - local_start) * longest + local_end)
     mass = np.exp(alpha[source] + score + beta[target] - total[word]) * weights[word]
     known = piece >= 0
-    counts = np.bincount(piece[known], weights=mass[known], minlength=len(vocab.pieces))
+    counts = np.bincount(piece[known], weights=mass[known], minlength=len(vocab.pieces)).astype(np.float64)
     for s, e, m in zip(start[~known].tolist(), end[~known].tolist(), mass[~known].tolist(), strict=True):
         np.add.at(counts, vocab.byte_piece[b[s:e]], m)
     return total, counts
@@ -273,7 +273,7 @@ def _looked_up(docs: DataFrame, frequent) -> DataFrame:
             row = np.repeat(np.arange(hi - lo), counts)
             at = np.minimum(np.searchsorted(table["hash"], hashes), max(len(table["hash"]) - 1, 0))
             hit = table["hash"][at] == hashes if len(table["hash"]) else np.zeros(len(hashes), bool)
-            sums = [np.bincount(row[hit], weights=table[c][at[hit]], minlength=hi - lo) for c in ("known", "base", "lp")]
+            sums = [np.bincount(row[hit], weights=table[c][at[hit]], minlength=hi - lo).astype(np.float64) for c in ("known", "base", "lp")]
             order = np.lexsort((hashes[~hit], row[~hit]))
             r, h = row[~hit][order], hashes[~hit][order]
             new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1]))) if len(r) else np.zeros(0, np.int64)

@@ -1,0 +1,186 @@
+"""Language-model scores, page extraction, secret scans and the pipeline."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import plain_versions as brute
+import pytest
+from pyspark.sql import functions as F
+from tables import make_docs, sf_table, shared_code  # noqa: F401 - fixtures
+from test_documents import ODD, prose, texts_of
+
+import __spark_entry__ as E
+import corpus_pipeline
+from farelane.llm import html_main, lattice_lm, quality, secrets_rf
+from farelane.llm.paths import unigram_path
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+def base_scores(docs):
+    """id -> (held out, tokens, known, training tokens, base score)."""
+    words = {d: [*brute.SOLID.findall(brute.lower(t)), None] for d, t in docs}
+    held = {d: zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1 for d in words}
+    counts = Counter(w for d, ws in words.items() if not held[d] for w in ws)
+    n = sum(counts.values())
+    total = math.log10(n + 0.5 * (len(counts) + 1))
+    return {d: (held[d], len(ws), sum(counts[w] > 0 for w in ws), n, sum(math.log10(counts[w] + 0.5) - total for w in ws)) for d, ws in words.items()}
+
+
+def same_scores(rows, want):
+    for r in rows:
+        held, n, known, total, base = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total), r["doc_id"]
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+        assert r["score"] < 0
+
+
+def test_scores(spark):
+    same_scores(E.queries()["op5_lattice_lm"](spark, SF_SMALL).collect(), base_scores(texts_of(spark)))
+
+
+def test_scores_odd(make_docs):
+    table = make_docs(ODD).withColumn("hash", F.lit(1)).withColumn("held_out", F.lit("x"))
+    rows = lattice_lm.score(table, unigram_path(), frequent=3).collect()
+    assert len(rows) == len(ODD)
+    same_scores(rows, base_scores(ODD))
+    again = {r["doc_id"]: r["score"] for r in lattice_lm.score(table, unigram_path(), frequent=1000).collect()}
+    assert all(r["score"] == pytest.approx(again[r["doc_id"]]) for r in rows)  # the broadcast only changes where words are looked up
+    assert lattice_lm.score(table.limit(0), unigram_path()).count() == 0
+
+
+def test_lattice_sums_all_segmentations():
+    vocab = lattice_lm.Vocabulary(unigram_path())
+    ids = {p: i for i, p in enumerate(vocab.pieces)}
+
+    def total(word):
+        b = (" " + word).encode()
+        a = [0.0] + [-math.inf] * len(b)
+        for e in range(1, len(b) + 1):
+            for s in range(max(0, e - vocab.max_len), e):
+                part = b[s:e]
+                if part in ids:
+                    a[e] = np.logaddexp(a[e], a[s] + vocab.prior[ids[part]])
+                elif len(part) <= 4 and len(part.decode("utf-8", "replace")) == 1 and "\ufffd" not in part.decode("utf-8", "replace"):
+                    a[e] = np.logaddexp(a[e], a[s] + sum(vocab.prior[vocab.byte_piece[x]] for x in part))
+        return a[-1]
+
+    words = ["the", "thingingst", "éeau", "日本語", "𝕏q\x01z", "", "a" * 700, "über"]
+    for lo, hi, b, off in lattice_lm._word_blocks(words):
+        got, counts = lattice_lm.word_lattices(vocab, vocab.prior, b, off, np.ones(hi - lo))
+        for w, x in zip(words[lo:hi], got, strict=True):
+            assert x == pytest.approx(total(w), abs=1e-8)
+        assert counts.min() >= 0
+
+
+def test_training_helps_on_held_out_documents(make_docs):
+    docs = make_docs([(i, prose(1000 + i, 80)) for i in range(120)])
+    start = lattice_lm.score(docs, unigram_path(), rounds=0).filter("held_out").agg(F.sum("score")).first()[0]
+    fitted = lattice_lm.score(docs, unigram_path(), rounds=2).filter("held_out").agg(F.sum("score")).first()[0]
+    assert fitted > start
+
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body class="has-sidebar"><header><h1>Site</h1></header>
+<nav><ul><li><a href="/a">Menu</a></li></ul></nav><div id="cookie-notice">We use cookies</div><script>var a = "</p><p>no</p>";</script>
+<div class="wrap-{n}"><div class="post-{n} content">{body}<aside>aside</aside><div class="share">tweet</div><form><p>Name</p></form></div>
+<div class="comments"><p>{comment}</p></div></div><footer>&copy; f</footer></body></html>"""
+
+
+def test_page_blocks():
+    body = "<h2>T &amp; x&nbsp;&#39;</h2><p>Hello <a href=x>link</a> wor<b>ld</b> and a long paragraph of text.<p>open one\n  of text<ul><li>one<li>two</ul>"
+    page = PAGE.format(n=3, body=body, comment="nice " * 200)
+    assert html_main.main_text(page, None) == "T & x '\nHello link world and a long paragraph of text.\nopen one of text\none\ntwo"
+    for odd, want in (("", ""), ("<", "<"), ("plain", "plain"), ("<p>a<p>b", "a\nb"), ("<script>x", ""), ("<!-- x", ""), ("<b>" * 3000 + "x", "x")):
+        assert html_main.main_text(odd, None) == want
+    html_main.main_text("<div" * 20_000 + "<p" * 20_000, None)
+
+
+def test_pages_follow_their_host(spark):
+    long = "<p>This is the article text of the page, long enough to win every vote.</p>" * 3
+    rows = [(i, f"https://h.example.org/{i}", PAGE.format(n=i, body=long, comment="short"), "x") for i in range(5)]
+    rows.append((9, "https://h.example.org/9", PAGE.format(n=9, body="<p>Tiny.</p>", comment="x"), "x"))
+    rows[-1] = (9, rows[-1][1], rows[-1][2].replace('<div class="comments">', '<div class="extra"><p>A long text outside of the article that would win on this page alone.</p></div><div class="comments">'), "x")
+    rows += [(20, None, None, "x"), (21, "", "", None), (22, "no url", "<p>lonely page</p>", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("path", F.lit("p")).withColumn("host", F.lit(1))
+    got = {r["page_id"]: r["text"] for r in html_main.extract(pages).collect()}
+    assert got[9] == "Tiny." and got[0].count("\n") == 2 and got[20] == "" and got[21] == "" and got[22] == "lonely page"
+    assert html_main.extract(pages.limit(0)).count() == 0
+
+
+def test_pages_of_the_small_table(spark):
+    rows = E.queries()["op6_html"](spark, SF_SMALL).join(spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html"), "page_id").collect()
+    assert len(rows) == 50
+    for r in rows:
+        assert r["n_chars"] == len(r["text"]) > 0
+        assert "<" not in r["text"] or "&lt;" in r["html"]
+
+
+def test_secrets(make_docs):
+    r = random.Random(4)
+    hexed = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(160)]
+    docs = [(i, f'{prose(i, 20)} token = "{hexed[i]}" {prose(200 + i, 20)}') for i in range(80)]
+    docs += [(100 + i, f"{prose(300 + i, 20)} internationalizationofwords see www.example-site-name.com/path {prose(400 + i, 20)}") for i in range(80)]
+    docs += [(300 + i, f'{prose(500 + i, 20)} note = "{hexed[100 + i]}" {prose(600 + i, 20)}') for i in range(10)]
+    rows = secrets_rf.scan(make_docs(docs)).collect()
+    by = {}
+    for x in rows:
+        by.setdefault(x["doc_id"], []).append(x)
+        text = dict(docs)[x["doc_id"]]
+        assert text[x["start"] : x["end"]] == x["token"]
+    assert all(any(x["is_secret"] and x["token"] == hexed[i] for x in by[i]) for i in range(80))
+    assert not any(x["is_secret"] for i in range(100, 180) for x in by[i])
+    assert all(any(x["is_secret"] for x in by[300 + i]) for i in range(10))  # not labelled by any rule
+
+
+def test_secrets_odd(make_docs):
+    table = make_docs(ODD).withColumn("token", F.lit("x")).withColumn("rid", F.lit(1)).withColumn("label", F.lit(1))
+    assert secrets_rf.scan(table).filter("doc_id in (1, 2, 3)").count() == 0
+    assert secrets_rf.scan(table.limit(0)).count() == 0
+    findings = make_docs([]).sparkSession.createDataFrame([("a" * 300_000, 0)], "token string, label int")
+    assert secrets_rf.scan(table, findings=findings).count() > 0
+
+
+def test_pipeline_small(spark, make_docs, sf_table):
+    passage = prose(77, 30)
+    junk = "BUY!! NOW!! CHEAP!! PILLS!! HERE!! TODAY!! ONLY!! FOR!! YOU!! AND!! ME!! FRIENDS!!"
+    docs = [(i, "\n".join(f"{prose(10 * i + j, 40)}." for j in range(4))) for i in range(20)]
+    docs += [(100 + i, t.replace("alpha", "alpha x", 1)) for i, t in docs[:5]]  # near copies
+    docs += [(200, junk), (201, None), (202, ""), (203, f"{passage}. {prose(78, 10)}.")]
+    d = sf_table(documents=make_docs(docs), benchmark=spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "encoding"]
+    rows = corpus_pipeline.run(spark, d).collect()
+    assert {r["doc_id"] for r in rows} == set(range(20))
+    assert all(r["n_tokens"] == len(r["ids"]) // 4 > 0 for r in rows)
+
+
+def test_pipeline_stages_against_plain_versions(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+        out = stage(spark, docs, SF_SMALL)
+        if name == "encoding":
+            assert out.count() == len(before)
+            break
+        out = corpus_pipeline.materialize(out, name)
+        assert out.columns == docs.columns
+        after = {r["doc_id"]: r["text"] for r in out.collect()}
+        if name == "quality_rules":
+            kept = {r["doc_id"] for r in quality.judge(docs).filter("kept").collect()}
+            assert set(after) == kept
+        if name == "line_dedup":
+            gone = brute.repeated_lines(before)
+            for d, t in before:
+                lines = [x for i, x in enumerate(t.split("\n")) if (d, i) not in gone]
+                if len(lines) == len(t.split("\n")) or "\n".join(lines).strip(" "):
+                    assert after[d] == "\n".join(lines)
+                else:
+                    assert d not in after
+        if name == "near_dedup":
+            assert set(after) == {d for d, (_, c) in brute.near_components(before).items() if c == d}
+        if name == "decontamination":
+            items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+            assert set(after) == {d for d, x in brute.contaminated(before, items).items() if not x[3]}
+        docs = out
