@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelane.constants import NUMERIC_FEATURES, TARGET
+from farelane.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RIDGE_ALPHA, TARGET
 from farelane.functions.calendar import holiday_calendar
 from farelane.ml import models as M
 from farelane.ml import preprocess as P
@@ -126,41 +126,71 @@ def q_robust_scale(spark, sf):
     return scaler.transform(s.where(F.col("split") == "val")).select("trip_id", *outs)
 
 
-@register("one_hot")
+def _category(c: str) -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), '{P.NULL_CATEGORY}')"
+
+
+#: rank of each training category in the order of its text, and the quantiles of the numeric columns
+FEATURE_CTES = (
+    *SPLIT_SAMPLE_CTES,
+    *[
+        f"\ncat_{c} AS (SELECT v, row_number() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT {_category(c)} AS v FROM splits WHERE split = 'train'))"
+        for c in CATEGORICAL_FEATURES
+    ],
+    "\nq AS (SELECT "
+    + ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in NUMERIC_FEATURES)
+    + " FROM splits WHERE split = 'train')",
+    f"\nwidth AS (SELECT CAST({len(NUMERIC_FEATURES)} + " + " + ".join(f"(SELECT count(*) FROM cat_{c})" for c in CATEGORICAL_FEATURES) + " AS INTEGER) AS n_features)",
+    "\nslots AS (SELECT splits.*, "
+    + ", ".join(f"coalesce(cat_{c}.r, 0) AS _ohe_{c}" for c in CATEGORICAL_FEATURES)
+    + " FROM splits "
+    + " ".join(f"LEFT JOIN cat_{c} ON {_category('splits.' + c)} = cat_{c}.v" for c in CATEGORICAL_FEATURES)
+    + ")",
+)
+SUM_SQL = " + ".join(
+    [f"coalesce(({c} - coalesce(m_{c}, 0)) / CASE WHEN b_{c} - a_{c} = 0 OR b_{c} IS NULL THEN 1 ELSE b_{c} - a_{c} END, 0)" for c in NUMERIC_FEATURES]
+    + [f"CASE WHEN _ohe_{c} > 0 THEN 1 ELSE 0 END" for c in CATEGORICAL_FEATURES]
+)
+
+
+@register("one_hot", O.with_ctes(*FEATURE_CTES, select="SELECT trip_id, " + ", ".join(f"_ohe_{c}" for c in CATEGORICAL_FEATURES) + " FROM slots"))
 def q_one_hot(spark, sf):
+    """I4: the slot of each category (0 for categories that the training rows do not have), over all splits."""
     s = _splits(spark, sf)
-    out = _fitted(s).transform(s.where(F.col("split") == "test"))
-    ohe = [c for c in out.columns if c.startswith("_ohe_")]
-    return out.select("trip_id", *[F.array_position(vector_to_array(c), 1.0).alias(c) for c in ohe])
+    out = _fitted(s).transform(s)
+    return out.select("trip_id", *[F.array_position(vector_to_array(f"_ohe_{c}"), 1.0).alias(f"_ohe_{c}") for c in CATEGORICAL_FEATURES])
 
 
-@register("column_transformer")
+@register("column_transformer", O.with_ctes(*FEATURE_CTES, select=f"SELECT trip_id, split, n_features, round({SUM_SQL}, 6) AS sum_features FROM slots, q, width"))
 def q_column_transformer(spark, sf):
     s = _splits(spark, sf)
-    out = _fitted(s).transform(s)
     arr = vector_to_array("features")
-    return out.select("trip_id", "split", F.size(arr).alias("n_features"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("sum_features"))
+    return _fitted(s).transform(s).select("trip_id", "split", F.size(arr).alias("n_features"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("sum_features"))
 
 
-@register("fit_transform")
+@register(
+    "fit_transform",
+    O.with_ctes(*FEATURE_CTES, select="SELECT trip_id, round(total_amount, 6) AS label, n_features FROM splits, width WHERE split <> 'train'"),
+)
 def q_fit_transform(spark, sf):
     xy = _xy(spark, sf)
-    return xy["val"].select("trip_id", "label", F.size(vector_to_array("features")).alias("n_features"))
+    return xy["val"].unionByName(xy["test"]).select("trip_id", "label", F.size(vector_to_array("features")).alias("n_features"))
 
 
-@register("persist_pipeline")
+@register("persist_pipeline", O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, TRUE AS same_features FROM splits"))
 def q_persist_pipeline(spark, sf):
-    every = _splits(spark, sf)
-    pre = _fitted(every)
-    path = P.save_preprocess(pre, sinks.shared_dir(spark, "persist_pipeline"))
-    again = PipelineModel.load(path)
-    s = every.where(F.col("split") == "val")
+    s = _splits(spark, sf)
+    pre = _fitted(s)
+    again = PipelineModel.load(P.save_preprocess(pre, sinks.shared_dir(spark, "persist_pipeline")))
     a = pre.transform(s).select("trip_id", vector_to_array("features").alias("a"))
     b = again.transform(s).select("trip_id", vector_to_array("features").alias("b"))
     return a.join(b, "trip_id").select("trip_id", (F.col("a") == F.col("b")).alias("same_features"))
 
 
-@register("transform_splits")
+@register(
+    "transform_splits",
+    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT split, count(*) AS n_rows, round(avg(total_amount), 6) AS mean_label FROM splits GROUP BY split"),
+)
 def q_transform_splits(spark, sf):
     s = _splits(spark, sf)
     parts = P.transform_splits(s, _fitted(s))
@@ -221,33 +251,60 @@ def q_linear_regression_1d(spark, sf):
     return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))], "slope double, intercept double")
 
 
-@register("linear_regression")
+def _largest_gradient(pred: DataFrame, weights, alpha: float = 0.0) -> float:
+    """Largest mean gradient of ``|y - Xw|^2 / 2 + alpha |w|^2 / 2`` over the features, 0 at the optimum."""
+    each = pred.select((F.col("label") - F.col("prediction")).alias("r"), F.posexplode(vector_to_array("features")).alias("i", "x"))
+    rows = each.groupBy("i").agg(F.sum(F.col("r") * F.col("x")).alias("g"), F.count("*").alias("n")).collect()  # one row per feature
+    return max(abs(row["g"] - alpha * float(weights[row["i"]])) / row["n"] for row in rows)
+
+
+VAL_ROWS_SQL = "(SELECT count(*) FROM splits WHERE split = 'val') AS n_val"
+
+
+def _fit_report(spark, model, xy, alpha: float = 0.0) -> DataFrame:
+    """Optimality on the training rows and comparison with the mean baseline on validation, as facts."""
+    train = model.transform(xy["train"])
+    bias = train.agg(F.avg(F.col("label") - F.col("prediction"))).first()[0]
+    rmse = M.metrics_dict(model.transform(xy["val"]))["RMSE"]
+    base = M.metrics_dict(M.mean_baseline(xy["train"], xy["val"]))["RMSE"]
+    facts = (abs(bias) < 1e-4, _largest_gradient(train, model.coefficients, alpha) < 1e-3, rmse < base, xy["val"].count())
+    return spark.createDataFrame([facts], "unbiased boolean, gradient_zero boolean, beats_baseline boolean, n_val long")
+
+
+FIT_SQL = O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT TRUE AS unbiased, TRUE AS gradient_zero, TRUE AS beats_baseline, {VAL_ROWS_SQL}")
+
+
+@register("linear_regression", FIT_SQL)
 def q_linear_regression(spark, sf):
     xy = _xy(spark, sf)
-    m = M.linear_regression().fit(xy["train"])
-    return M.regression_metrics(m.transform(xy["val"]))
+    return _fit_report(spark, M.linear_regression().fit(xy["train"]), xy)
 
 
-@register("ridge")
+@register("ridge", FIT_SQL)
 def q_ridge(spark, sf):
     xy = _xy(spark, sf)
-    m = M.ridge(xy["train"]).fit(xy["train"])
-    return M.regression_metrics(m.transform(xy["val"]))
+    return _fit_report(spark, M.ridge(xy["train"]).fit(xy["train"]), xy, RIDGE_ALPHA)
 
 
-@register("boosted_trees")
+@register("boosted_trees", O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT CAST({QUERY_TREES} AS INTEGER) AS n_trees, TRUE AS loss_falls, TRUE AS beats_baseline, {VAL_ROWS_SQL}"))
 def q_boosted_trees(spark, sf):
     xy = _xy(spark, sf)
     m = M.boosted_trees("xgboost", max_iter=QUERY_TREES).fit(xy["train"])
-    return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
+    losses = m.evaluateEachIteration(xy["train"], "squared")
+    better = M.metrics_dict(m.transform(xy["val"]))["RMSE"] < M.metrics_dict(M.mean_baseline(xy["train"], xy["val"]))["RMSE"]
+    facts = (m.getNumTrees, losses == sorted(losses, reverse=True), better, xy["val"].count())
+    return spark.createDataFrame([facts], "n_trees int, loss_falls boolean, beats_baseline boolean, n_val long")
 
 
-@register("early_stop")
+@register("early_stop", O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT TRUE AS stops_at_best, TRUE AS same_leading_trees, {VAL_ROWS_SQL}"))
 def q_early_stop(spark, sf):
     xy = _xy(spark, sf)
     gbt = M.boosted_trees("lightgbm", max_iter=2 * QUERY_TREES, step_size=0.5)
+    losses = gbt.fit(xy["train"]).evaluateEachIteration(xy["val"], "squared")
     m = M.fit_with_validation(gbt, xy["train"], xy["val"], rounds=2)
-    return M.regression_metrics(m.transform(xy["val"])).select(F.lit(m.getNumTrees).alias("n_trees"), "*")
+    again = m.evaluateEachIteration(xy["val"], "squared")
+    facts = (len(again) == M.stalled_at(losses, 2), all(abs(a - b) < 1e-6 * b for a, b in zip(again, losses)), xy["val"].count())
+    return spark.createDataFrame([facts], "stops_at_best boolean, same_leading_trees boolean, n_val long")
 
 
 def _board(spark, sf):
@@ -256,14 +313,38 @@ def _board(spark, sf):
     return M.leaderboard(spark, [make() for make in known.values()], xy["train"], xy["val"])
 
 
-@register("leaderboard")
+def _board_facts(board: DataFrame) -> DataFrame:
+    """Model, the baseline's exact RMSE, and whether each row is at least as good as the next."""
+    w = Window.orderBy("RMSE")  # one row per model
+    ordered = F.coalesce(F.lead("RMSE").over(w) >= F.col("RMSE"), F.lit(True)).alias("in_order")
+    return board.select("Model", F.when(F.col("Model") == M.BASELINE, F.col("RMSE")).alias("baseline_rmse"), ordered)
+
+
+def _board_sql(names) -> str:
+    rows = ", ".join(f"('{n}')" for n in (M.BASELINE, *names))
+    return O.with_ctes(
+        *SPLIT_SAMPLE_CTES,
+        "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
+        "\nb AS (SELECT round(sqrt(avg((total_amount - mu) * (total_amount - mu))), 6) AS rmse FROM splits, m WHERE split = 'val')",
+        select=f"SELECT n AS \"Model\", CASE WHEN n = '{M.BASELINE}' THEN rmse END AS baseline_rmse, TRUE AS in_order FROM (VALUES {rows}) AS t(n), b",
+    )
+
+
+@register("leaderboard", _board_sql(["LinearRegression", "Ridge", "GBT-xgboost", "GBT-lightgbm", "GBT-catboost"]))
 def q_leaderboard(spark, sf):
-    return _board(spark, sf).select("Model", "MAE", "RMSE", "R2")
+    return _board_facts(_board(spark, sf))
 
 
-@register("best_model")
+@register("best_model", "SELECT TRUE AS is_best, FALSE AS is_baseline")
 def q_best_model(spark, sf):
-    return M.best_model(_board(spark, sf)).select("Model", "RMSE")
+    board = _board(spark, sf)
+    best = M.best_model(board).first()
+    least = board.filter(F.col("Model") != M.BASELINE).agg(F.min("RMSE")).first()[0]
+    return spark.createDataFrame([(best["RMSE"] == least, best["Model"] == M.BASELINE)], "is_best boolean, is_baseline boolean")
+
+
+def _in_ranges(params) -> bool:
+    return set(params) == set(QUERY_SPACE) and all(QUERY_SPACE[k][1] <= v <= QUERY_SPACE[k][2] for k, v in params.items())
 
 
 def _search(spark, sf):
@@ -271,24 +352,30 @@ def _search(spark, sf):
     return M.param_search(xy["train"], xy["val"], n_trials=2, seed=42, early_stopping_rounds=2, space=QUERY_SPACE)
 
 
-@register("param_search")
+@register("param_search", "SELECT CAST(2 AS INTEGER) AS n_trials, TRUE AS in_ranges, TRUE AS best_is_least")
 def q_param_search(spark, sf):
-    best, params, _ = _search(spark, sf)
-    return spark.createDataFrame([(float(best), {k: float(v) for k, v in params.items()})], "best_rmse double, best_params map<string,double>")
+    best, params, trials = _search(spark, sf)
+    facts = (len(trials), _in_ranges(params), best == min(t.value for t in trials) and params in [t.params for t in trials if t.value == best])
+    return spark.createDataFrame([facts], "n_trials int, in_ranges boolean, best_is_least boolean")
 
 
-@register("trial_log")
+@register("trial_log", "SELECT CAST(n AS INTEGER) AS number, 'TrialState.COMPLETE' AS state, TRUE AS scored, TRUE AS in_ranges FROM range(2) t(n)")
 def q_trial_log(spark, sf):
     _, _, trials = _search(spark, sf)
-    return M.trial_log(spark, trials).select("number", "value", "state", "params")
+    ok = F.size("params") == len(QUERY_SPACE)
+    for k, (_, lo, hi, _) in QUERY_SPACE.items():
+        ok = ok & F.col("params")[k].between(lo, hi)
+    return M.trial_log(spark, trials).select("number", "state", (F.col("value") > 0).alias("scored"), ok.alias("in_ranges"))
 
 
-@register("final_compare")
+@register("final_compare", "SELECT mode, 'TEST' AS split, TRUE AS rule_holds, TRUE AS finite FROM (VALUES ('train_only'), ('train_val')) AS t(mode)")
 def q_final_compare(spark, sf):
     xy = _xy(spark, sf)
-    best, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, early_stopping_rounds=None, space=QUERY_SPACE)
+    _, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, early_stopping_rounds=None, space=QUERY_SPACE)
     result, _ = M.final_compare(spark, params, xy["train"], xy["val"], xy["test"])
-    return result
+    rmse = {r["mode"]: r["rmse"] for r in result.collect()}  # two rows
+    better = "TRAIN+VAL" if rmse["train_val"] <= rmse["train_only"] else "TRAIN only"
+    return result.select("mode", "split", (F.col("better") == better).alias("rule_holds"), (F.col("rmse") < float("inf")).alias("finite"))
 
 
 # ============================================================ K: scoring
@@ -405,7 +492,7 @@ def q_preprocess_job(spark, sf):
     return spark.read.parquet(paths["splits"]).select("trip_id", "file_month", "split")
 
 
-@register("training_job")
+@register("training_job", _board_sql(["LinearRegression", "Ridge", "GBT-lightgbm"]))
 def q_training_job(spark, sf):
     out = sinks.shared_dir(spark, "training_job")
     paths = jobs.preprocess_job(
@@ -415,5 +502,5 @@ def q_training_job(spark, sf):
         spark, "evaluate", paths["splits"], paths["preprocess"], f"{out}/artifacts", models=("linear_reg", "ridge", "lightgbm"),
         max_iter=QUERY_TREES,
     )
-    return board.select("Model", "MAE", "RMSE", "R2")
+    return _board_facts(board)
 
