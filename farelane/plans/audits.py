@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.constants import (
@@ -99,10 +99,9 @@ TVD_COLUMNS = {"PULocationID": "TVD_PULocationID", "DOLocationID": "TVD_DOLocati
 def drop_impact(df: DataFrame, trio: Sequence[str] = TRIO, file_month: str = FILE_MONTH) -> DataFrame:
     """Per month: what dropping rows with a NULL in the trio does to size, means and mix (H3).
 
-    One scan and one shuffle: rows are stacked per audited column, value
-    counts (all / kept) are aggregated per (month, column, value), and the
-    sums behind the monthly means ride along on the first column's rows, so
-    the monthly summary is a second, tiny aggregation of that result.
+    One scan: rows are stacked per audited column, value counts (all / kept)
+    are aggregated per (month, column, value), and the sums behind the monthly
+    means ride along on the first column's rows.
     """
     present = [c for c in trio if c in df.columns]
     df = nan_as_null(df, present)
@@ -134,20 +133,26 @@ def drop_impact(df: DataFrame, trio: Sequence[str] = TRIO, file_month: str = FIL
         s("trip_distance", k).alias("_tdk"),
         n("trip_distance", k).alias("_ntdk"),
     )
-    firsts = counts.where(F.col("column") == first)
-    summary = firsts.groupBy(file_month).agg(
-        F.sum("c_p").alias("rows_total"),
-        F.sum("c_q").alias("rows_after_dropna"),
-        F.try_divide(F.sum("_ta"), F.sum("_nta")).alias("total_amount_mean_all"),
-        F.try_divide(F.sum("_tak"), F.sum("_ntak")).alias("total_amount_mean_clean"),
-        F.try_divide(F.sum("_td"), F.sum("_ntd")).alias("trip_dist_mean_all"),
-        F.try_divide(F.sum("_tdk"), F.sum("_ntdk")).alias("trip_dist_mean_clean"),
+    # one more grouping of the same rows gives the distances and the sums, so the trips are read once
+    totals = Window.partitionBy(file_month, "column")
+    share_all = F.col("c_p") / F.sum("c_p").over(totals)
+    share_kept = F.coalesce(F.try_divide(F.col("c_q"), F.sum("c_q").over(totals)), F.lit(0.0))
+    shares = counts.withColumn("_gap", F.abs(share_all - share_kept))
+    sums = ("c_p", "c_q", "_ta", "_nta", "_tak", "_ntak", "_td", "_ntd", "_tdk", "_ntdk")
+    per_column = shares.groupBy(file_month, "column").agg((0.5 * F.sum("_gap")).alias("tvd"), *[F.sum(c).alias(c) for c in sums])
+
+    def of_first(c):
+        return F.max(F.when(F.col("column") == first, F.col(c)))
+
+    out = per_column.groupBy(file_month).agg(
+        of_first("c_p").alias("rows_total"),
+        of_first("c_q").alias("rows_after_dropna"),
+        F.try_divide(of_first("_ta"), of_first("_nta")).alias("total_amount_mean_all"),
+        F.try_divide(of_first("_tak"), of_first("_ntak")).alias("total_amount_mean_clean"),
+        F.try_divide(of_first("_td"), of_first("_ntd")).alias("trip_dist_mean_all"),
+        F.try_divide(of_first("_tdk"), of_first("_ntdk")).alias("trip_dist_mean_clean"),
+        *[F.max(F.when(F.col("column") == c, F.col("tvd"))).alias(name) for c, name in TVD_COLUMNS.items() if c in cols],
     )
-    t = stats.tvd_from_counts(counts.select(file_month, "column", "value", "c_p", "c_q"), [file_month, "column"])
-    wide = t.groupBy(file_month).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("tvd"))).alias(name) for c, name in TVD_COLUMNS.items() if c in cols]
-    )
-    out = summary.join(wide, file_month, "left")
     return out.select(
         F.col(file_month).alias("month"),
         "rows_total",

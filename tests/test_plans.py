@@ -37,3 +37,11 @@ def test_feature_build_shuffles_no_trip_rows(spark):
     # every exchange in the plan sits under a broadcast (dimension side); the trip scan feeds joins directly
     trip_side = plan.split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in trip_side
+
+
+def test_drop_impact_reads_the_trips_once(spark):
+    from farelane.plans import audits
+
+    out = audits.drop_impact(_raw_trips(spark))
+    out.collect()
+    assert _plan(out).split("== Initial Plan ==")[0].count("FileScan parquet") == 1  # the plan that ran
