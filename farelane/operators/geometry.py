@@ -81,7 +81,12 @@ def lcc_inverse_sql(x_ft: str, y_ft: str) -> tuple[str, str]:
 
 
 def zone_centroids(vertices: DataFrame, project: bool = True) -> DataFrame:
-    """``(LocationID, area, x, y, lon, lat)``: area-weighted planar centroid per zone."""
+    """``(LocationID, area, x, y, lon, lat)``: area-weighted planar centroid per zone.
+
+    All rings of an id are one zone with one centroid, so a join against the
+    result never multiplies trips; give rings ids of their own to keep them
+    apart.
+    """
     w = Window.partitionBy("LocationID", "ring").orderBy("seq")
     wr = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = vertices.select(

@@ -100,3 +100,18 @@ def test_location_fix_summary_counts_fan_out(spark):
     assert r.rows_out == j.count()
     assert r.missing_pickup_coords == j.where("pickup_lon IS NULL").count()
     assert r.missing_dropoff_coords == j.where("dropoff_lon IS NULL").count()
+
+
+def test_rings_of_one_id_are_one_zone(spark):
+    from farelane.operators.geometry import zone_centroids
+
+    corners = [(0, 0.0, 0.0), (1, 2.0, 0.0), (2, 2.0, 2.0), (3, 0.0, 2.0)]
+    rows = [(1, ring, seq, x + shift, y) for ring, shift in ((1, 0.0), (2, 10.0)) for seq, x, y in corners]
+    out = zone_centroids(spark.createDataFrame(rows, "LocationID int, ring int, seq int, x double, y double"), project=False).collect()
+    assert len(out) == 1 and out[0]["x"] == pytest.approx(6.0) and out[0]["y"] == pytest.approx(1.0)
+
+
+def test_lookup_without_file_order_does_not_depend_on_row_order(spark):
+    rows = [(1, "A", "z"), (1, "B", "y"), (2, "C", "x")]
+    one, two = (joins.dedupe_lookup(spark.createDataFrame(r, "LocationID int, Borough string, service_zone string")) for r in (rows, rows[::-1]))
+    assert sorted(one.collect()) == sorted(two.collect())
