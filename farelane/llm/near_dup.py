@@ -6,8 +6,10 @@ sets recursively: a node picks positions of the minwise signature, and its
 members go on to one child per choice and token.  Nodes of at most ``LEAF``
 members are compared exhaustively; in a larger node every member is compared
 with the node's pivot.  If at most ``LEAF`` members then lie outside the node's
-largest component, they are compared with all others; if more, the node is
-branched further.  Pairs that pass the length bound
+largest component, or at most a share of ``DENSE``, they are compared with all
+others by signature: first the nearest are confirmed, and for what is still
+apart then every member that passes the estimate; if more, the node is branched
+further.  Pairs that pass the length bound
 and the signature estimate are confirmed on the full shingle sets, and links
 are merged into components.  Similar sets share a child with a probability of
 at least their similarity at each position, so the trees together reach the
@@ -49,7 +51,7 @@ MIN_AGREE = 0.75 - 3 * (0.75 * 0.25 / TOKENS) ** 0.5
 #: nodes that are still large at this depth are compared exhaustively
 MAX_DEPTH = 5
 #: a large node is dense if at most this share of its members lies outside its largest component; what lies outside is then
-#: compared with all members by signature, and the ``NEAREST`` ones of each block are confirmed
+#: compared with all members by signature; the ``NEAREST`` ones of each block are confirmed first, the others only for members still apart
 DENSE = 0.3
 NEAREST = 4
 BLOCK = 1024
@@ -240,11 +242,11 @@ def _open_nodes(shared: DataFrame, labels: DataFrame | None, leaf: int) -> DataF
     return named.join(nodes.filter("rest > 0"), "node")
 
 
-def _nearest(opened: DataFrame, reps: DataFrame) -> DataFrame:
-    """a < b: for each member outside a node's largest component the ``NEAREST`` members of other components whose signatures agree most.
+def _facing(opened: DataFrame, reps: DataFrame, threshold: int, most: int | None = None) -> DataFrame:
+    """a < b: each member outside a node's largest component with every member of another component that passes the length bound and the signature estimate.
 
-    Both sides are cut into blocks of about ``BLOCK`` members, and only the
-    nearest of each block leave a task.
+    Both sides are cut into blocks of about ``BLOCK`` members; with ``most``
+    only so many of each block, those whose signatures agree most.
     """
 
     def blocks(n):
@@ -256,27 +258,28 @@ def _nearest(opened: DataFrame, reps: DataFrame) -> DataFrame:
     def every(n):
         return F.explode(F.sequence(F.lit(0), blocks(n) - 1))
 
-    full = opened.join(reps.select("id", "sig"), "id")
-    left = full.select("node", salt("all", 1).alias("x"), every("rest").alias("y"), "id", "component", "sig")
-    few = full.filter(F.col("component") != F.col("major")).select("node", every("all").alias("x"), salt("rest", 2).alias("y"), "id", "component", "sig")
+    full = opened.join(reps.select("id", "n", "sig"), "id")
+    left = full.select("node", salt("all", 1).alias("x"), every("rest").alias("y"), "id", "component", "n", "sig")
+    few = full.filter(F.col("component") != F.col("major")).select("node", every("all").alias("x"), salt("rest", 2).alias("y"), "id", "component", "n", "sig")
     right = few.select(*[F.col(c).alias(c) for c in few.columns])  # columns of their own, since both sides come from one table
 
     def compare(members: pa.Table, few: pa.Table) -> pa.Table:
         def read(t):
             sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u4").reshape(len(t), TOKENS)
-            return t["id"].to_numpy(), t["component"].to_numpy(), sig
+            return t["id"].to_numpy(), t["component"].to_numpy(), t["n"].to_numpy(), sig
 
-        out_a, out_b = [], []
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(members) and len(few):
-            ids, comps, sigs = read(members)
-            for i, c, sig in zip(*read(few), strict=True):
+            ids, comps, sizes, sigs = read(members)
+            for i, c, n, sig in zip(*read(few), strict=True):
                 agree = (sigs == sig).sum(1)
-                agree[comps == c] = 0
-                best = np.argsort(-agree, kind="stable")[:NEAREST]
-                best = best[agree[best] >= MIN_AGREE * TOKENS]
-                out_a += np.minimum(ids[best], i).tolist()
-                out_b += np.maximum(ids[best], i).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                fits = (agree >= MIN_AGREE * TOKENS) & (comps != c) & (100 * np.minimum(sizes, n) >= threshold * np.maximum(sizes, n))
+                best = np.flatnonzero(fits)
+                if most is not None:
+                    best = best[np.argsort(-agree[best], kind="stable")[:most]]
+                out_a.append(np.minimum(ids[best], i))
+                out_b.append(np.maximum(ids[best], i))
+        return pa.table({"a": pa.array(np.concatenate(out_a), pa.int64()), "b": pa.array(np.concatenate(out_b), pa.int64())})
 
     keys = ["node", "x", "y"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
@@ -300,30 +303,37 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels: DataFrame | None = None
     sets: DataFrame | None = None
     seen: DataFrame | None = None
-    entries, near, depth = _roots(reps, trees), None, 0
-    while True:
-        shared = _shared(entries, leaf)
-        pairs = _node_pairs(shared, leaf if depth < MAX_DEPTH else 1 << 62)
-        pairs = (pairs if near is None else pairs.union(near)).distinct()
+
+    def follow(pairs: DataFrame, best_first: bool = False) -> None:
+        """Confirm the pairs that are new and still apart, and merge their links."""
+        nonlocal labels, sets, seen
+        pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = materialize(_unresolved(_candidates(pairs, reps, threshold), labels), "candidates")
-        if _some(pairs):
-            seen = pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b"))
-            ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-            if sets is not None:
-                ids = ids.join(sets.select("id"), "id", "left_anti")
-            wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
-            if wanted.any():
-                more = materialize(_sets(src, sc.broadcast(wanted), shingle), "sets")
-                sets = more if sets is None else sets.join(more.select("id"), "id", "left_anti").union(more)
-            if depth:
-                labels = _merged(labels, materialize(_confirm(pairs, sets, threshold), "links"))
-            else:  # most links: first every document against its most similar partner, then what is still apart
-                best = pairs.groupBy("b").agg(F.max(F.struct("agree", "a", "na", "nb")).alias("p")).select("p.a", "b", "p.na", "p.nb")
-                labels = _merged(labels, materialize(_confirm(best, sets, threshold), "links"))
-                rest = _unresolved(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), labels)
-                labels = _merged(labels, materialize(_confirm(rest, sets, threshold), "links"))
+        if not _some(pairs):
+            return
+        seen = pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b"))
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        if sets is not None:
+            ids = ids.join(sets.select("id"), "id", "left_anti")
+        wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
+        if wanted.any():
+            more = materialize(_sets(src, sc.broadcast(wanted), shingle), "sets")
+            sets = more if sets is None else sets.join(more.select("id"), "id", "left_anti").union(more)
+        if not best_first:
+            labels = _merged(labels, materialize(_confirm(pairs, sets, threshold), "links"))
+        else:  # most links: first every document against its most similar partner, then what is still apart
+            best = pairs.groupBy("b").agg(F.max(F.struct("agree", "a", "na", "nb")).alias("p")).select("p.a", "b", "p.na", "p.nb")
+            labels = _merged(labels, materialize(_confirm(best, sets, threshold), "links"))
+            rest = _unresolved(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), labels)
+            labels = _merged(labels, materialize(_confirm(rest, sets, threshold), "links"))
+
+    entries, facing, depth = _roots(reps, trees), None, 0
+    while True:
+        shared = _shared(entries, leaf)
+        pairs = _node_pairs(shared, leaf if depth < MAX_DEPTH else 1 << 62)
+        follow(pairs if facing is None else pairs.union(facing), best_first=not depth)
         depth += 1
         if depth > MAX_DEPTH:
             break
@@ -331,8 +341,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not _some(opened):
             break
         dense = (F.col("rest") <= leaf) | (F.col("rest") <= DENSE * F.col("all"))
-        near = materialize(_nearest(opened.filter(dense), reps), "nearest")
         entries = _children(opened.filter(~dense).select("id", "node"), reps)
+        opened, facing = opened.filter(dense), None
+        if _some(opened):
+            follow(materialize(_facing(opened, reps, threshold, NEAREST), "nearest"))
+            left = _open_nodes(shared.join(opened.select("node").distinct(), "node", "left_semi"), labels, leaf)
+            facing = materialize(_facing(materialize(left, "open_nodes"), reps, threshold).distinct(), "facing")
     return _assigned(rows, groups, labels)
 
 

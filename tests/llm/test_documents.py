@@ -181,6 +181,19 @@ def test_near_duplicates_odd(make_docs):
     assert near_dup.components(table.limit(0)).count() == 0
 
 
+def test_near_duplicates_every_member_of_a_dense_node(spark):
+    """A member outside the largest component meets all members that may be similar, not only those whose signatures agree most."""
+    def sig(agree):
+        return bytearray(b"".join((i if i < agree else 1000 + agree).to_bytes(4, "little") for i in range(near_dup.TOKENS)))
+
+    agree = {0: near_dup.TOKENS, 7: 36, 8: 20, **{10 + i: 40 for i in range(40)}}  # 7 is the true partner, 8 is unlike
+    reps = spark.createDataFrame([(i, 100 if i != 15 else 200, sig(n)) for i, n in agree.items()], "id long, n long, sig binary")
+    component = {i: 0 if i == 0 else 7 for i in agree}
+    opened = spark.createDataFrame([(1, i, c, 7, 1, len(agree)) for i, c in component.items()], "node long, id long, component long, major long, rest long, all long")
+    pairs = {(r["a"], r["b"]) for r in near_dup._facing(opened, reps, near_dup.THRESHOLD).collect()}
+    assert pairs == {(0, i) for i in agree if i not in (0, 8, 15)}
+
+
 def test_lines(spark):
     want = brute.repeated_lines(texts_of(spark))
     got = E.queries()["op9_line_dedup"](spark, SF_SMALL).collect()
