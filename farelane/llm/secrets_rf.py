@@ -1,6 +1,7 @@
 """Operator 3 - secret scanning with a random forest against false positives, with DataFrame and Spark ML functions only.
 
-Every long token of a text is a candidate.  A random forest judges it by its
+Every long token of a text is a candidate, and so is a shorter value, or one
+with other symbols, that is assigned to a secret-like name.  A random forest judges it by its
 length, character transitions and classes, dictionary coverage (letters that
 belong to words the corpus uses often enough), the path it comes from and the
 words next to it.  It is trained from labelled findings: a table given by the
@@ -25,8 +26,14 @@ from pyspark.sql import functions as F
 
 from farelane.llm.frames import materialize
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_.-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
 SECRET_NAME = r"(?:secret|token|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)"
+#: a value that follows a secret-like name, of any characters when it is quoted; looked for only right after : or =
+ASSIGNED = (
+    r"(?<=[:=][ \t]{0,4}[\"']?)(?<=(?i:%s)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?)(?![A-Za-z][A-Za-z0-9+.-]{0,20}+://)"
+    r"(?:(?<=\")[^\s\"]{4,}+(?=\")|(?<=')[^\s']{4,}+(?=')|[^\s\"'&;,<>()]{4,}+)" % SECRET_NAME
+)
+#: a long token anywhere; a name or a padded value ends before a further =
+CANDIDATE = ASSIGNED + r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}(?![A-Za-z0-9+/_-])"
 CERTAIN = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk[-_](?:live_)?[A-Za-z0-9]{24,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}.*)$"
 CONTEXT_CHARS = 40
 MIN_WORD_COUNT = 5
@@ -45,7 +52,12 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | Non
     gaps = F.split("text", CANDIDATE, -1)
     near = F.transform(
         gaps,
-        lambda g: F.struct(F.length(g).alias("n"), F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"), F.substring(g, 1, CONTEXT_CHARS).alias("after")),
+        # a name before the value may be a candidate itself, so what goes before a value includes the candidate in front of it
+        lambda g, i: F.struct(
+            F.length(g).alias("n"),
+            F.right(F.concat(F.coalesce(F.right(F.get(found, i - 1), F.lit(CONTEXT_CHARS)), F.lit("")), g), F.lit(CONTEXT_CHARS)).alias("before"),
+            F.substring(g, 1, CONTEXT_CHARS).alias("after"),
+        ),
     )
     zipped = F.arrays_zip(found.alias("token"), near.alias("gap"), F.slice(near, 2, F.size(found)).alias("next"))
     each = src.select("rid", "id", "path", F.posexplode(zipped).alias("at", "x")).filter(F.col("x.token").isNotNull())
