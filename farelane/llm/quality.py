@@ -26,8 +26,11 @@ from farelane.llm.frames import add_columns
 
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = b"|>"
-#: ends of sentences, and the closing marks that may follow; the last byte of ... and of CJK full stops
-TERMINAL = tb.byte_set(*b".!?:;,\"')]}", 0xA6, 0x82, 0x9D, 0x99, 0xBB, 0x81, 0x9F)
+#: ends of sentences, and the closing marks that may follow, as whole characters
+TERMINAL = ".!?:;\"')]}…”“’‘»«›‹。．！？：；）」』】》、；؟۔।॥։;།።។။"
+#: Thai and Lao end sentences with a space; a line that ends in them has no open end
+UNMARKED = (0x0E00, 0x0EFF)
+_TERMINAL = np.array(sorted({int.from_bytes(c.encode(), "big") for c in [*TERMINAL, *map(chr, range(UNMARKED[0], UNMARKED[1] + 1))]}))
 BOILERPLATE = (
     b"all rights reserved",
     b"privacy policy",
@@ -155,10 +158,7 @@ def _failing_lines(raw, ls, le, w0, w1, starts, hashes, symbol, rules: Rules) ->
     equal = tb.prefix(equal[: len(hashes)])
     twice = equal[w1] - equal[w0]
 
-    last = np.zeros(len(ls), np.int64)
-    trimmed = _last_byte(raw, ls, le)
-    last[full] = trimmed[full]
-    open_end = ~TERMINAL[last]
+    open_end = ~np.isin(_last_character(raw, ls, le), _TERMINAL)
 
     fails = symbols > rules.max_symbols * share
     fails |= seps > rules.max_separators * share
@@ -166,7 +166,7 @@ def _failing_lines(raw, ls, le, w0, w1, starts, hashes, symbol, rules: Rules) ->
     fails |= (n >= rules.upper_from_words) & (upper > rules.max_upper * (upper + lower))
     fails |= (n >= rules.distinct_from_words) & (different < rules.min_distinct * n)
     fails |= (n >= rules.adjacent_from_words) & (twice > rules.max_adjacent * n)
-    fails |= (n >= rules.end_from_words) & open_end & (count(TERMINAL) == 0)
+    fails |= (n >= rules.end_from_words) & open_end
     hits = _phrases(tb.LOWER[raw].tobytes())
     phrase = np.searchsorted(hits, le) > np.searchsorted(hits, ls)
     fails |= phrase & (n <= rules.boilerplate_words)
@@ -193,15 +193,19 @@ def _distinct(line_of: np.ndarray, hashes: np.ndarray, n_lines: int) -> np.ndarr
     return np.bincount(line_of[order][new], minlength=n_lines)
 
 
-def _last_byte(raw: np.ndarray, ls: np.ndarray, le: np.ndarray) -> np.ndarray:
-    """The last byte of each line that is no white space (0 if there is none)."""
+def _last_character(raw: np.ndarray, ls: np.ndarray, le: np.ndarray) -> np.ndarray:
+    """The UTF-8 bytes, as one number, of each line's last character that is no white space (0 if there is none)."""
     solid = np.flatnonzero(tb.NOT_SPACE[raw])
+    if not len(solid):
+        return np.zeros(len(ls), np.int64)
     i = np.searchsorted(solid, le) - 1
-    ok = i >= 0
+    at = solid[np.maximum(i, 0)]
     out = np.zeros(len(ls), np.int64)
-    at = solid[np.maximum(i, 0)] if len(solid) else np.zeros(len(ls), np.int64)
-    ok &= at >= ls
-    out[ok] = raw[at[ok]]
+    more = (i >= 0) & (at >= ls)
+    for k in range(4):  # from the last byte back to the first one of the character
+        byte = raw[np.maximum(at - k, 0)].astype(np.int64)
+        out[more] |= byte[more] << (8 * k)
+        more = more & (byte >= 0x80) & (byte < 0xC0)
     return out
 
 

@@ -77,6 +77,17 @@ def test_quality_lines(make_docs):
     assert rows == {1: clean, 2: clean}
 
 
+def test_quality_open_ends(make_docs):
+    """The end of a long line is judged, by whole characters."""
+    latin = " ".join(f"word{i}" for i in range(45))
+    russian = " ".join(f"слово{i}с" for i in range(45))
+    greek = " ".join(f"λόγος{i}ς" for i in range(45))
+    cut = [latin, latin.replace("word9", "word9,"), latin + ",", russian, greek, " ".join(f"文字{i}中" for i in range(45))]
+    whole = [f"{t}{end}" for t in (latin, russian) for end in (".", "…", "。", "»", "”", "!  ", ".)")] + [" ".join(f"คำ{i}ก" for i in range(45)), "A Heading Without An End", "- a list entry"]
+    rows = {r["doc_id"]: r["n_failed_lines"] for r in quality.judge(make_docs(list(enumerate(cut + whole)))).collect()}
+    assert [rows[i] for i in range(len(cut + whole))] == [1] * len(cut) + [0] * len(whole)
+
+
 @pytest.mark.parametrize("name", ["kept", "n_words", "text2"])
 def test_quality_odd_tables(make_docs, name):
     docs = make_docs(ODD).withColumn(name, F.lit("mine"))
