@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, html_main, lattice_lm, line_dedup, near_dup, pii, quality, secrets_rf, token_counts
+from farelane.llm import bpe, decontaminate, fim, html_main, lattice_lm, line_dedup, near_dup, pii, quality, secrets_rf, token_counts, token_store
 from farelane.llm.frames import read_table
 from farelane.llm.paths import tokenizer_path, unigram_path
 
@@ -73,6 +73,16 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_store.write_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return token_store.read_documents(files, with_ids=False)
+
+
+def q_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
@@ -85,9 +95,12 @@ def queries() -> dict:
         "op8_token_counts": q_token_counts,
         "op9_line_dedup": q_line_dedup,
         "op10_quality_rules": q_quality,
+        "op11_token_store": q_token_store,
+        "op12_fim": q_fim,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    sql = {"op12_fim": fim.ORACLE_SQL}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
