@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, decontaminate, fim, html_main, lattice_lm, line_dedup, near_dup, pii, quality, secrets_rf, token_counts, token_store
+from farelane.llm import bpe, collocations, decontaminate, fim, html_main, lattice_lm, line_dedup, near_dup, pii, quality, secrets_rf, token_counts, token_store
 from farelane.llm.frames import read_table
 from farelane.llm.paths import tokenizer_path, unigram_path
 
@@ -83,6 +83,10 @@ def q_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
 
 
+def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries() -> dict:
     return {
         "op1_decontaminate": q_decontaminate,
@@ -97,10 +101,11 @@ def queries() -> dict:
         "op10_quality_rules": q_quality,
         "op11_token_store": q_token_store,
         "op12_fim": q_fim,
+        "op13_collocations": q_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracles() -> dict[str, str]:
-    sql = {"op12_fim": fim.ORACLE_SQL}
+    sql = {"op12_fim": fim.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
