@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.constants import BOOSTED_PRESETS, DEFAULT_SEED, EARLY_STOPPING_ROUNDS, N_TRIALS, RIDGE_ALPHA
+from farelane.ml.boosting import BLOCK_TREES, BoostingRun, fit_until_stalled, stalled_at  # noqa: F401
+from farelane.sources import sinks
 
 BASELINE = "MeanBaseline"
 LEADERBOARD_SCHEMA = "Model string, MAE double, RMSE double, R2 double, Fit_s double, Pred_s double"
@@ -94,27 +96,14 @@ def boosted_trees(preset: str = "lightgbm", seed: int = DEFAULT_SEED, **override
     )
 
 
-def stalled_at(losses: Sequence[float], rounds: int) -> int:
-    """Number of trees to keep: the best loss before the first ``rounds`` trees in a row that do not improve it."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= rounds:
-            break
-    return best + 1
-
-
-def fit_with_validation(gbt: GBTRegressor, train: DataFrame, val: DataFrame, rounds: int = EARLY_STOPPING_ROUNDS):
+def fit_with_validation(gbt: GBTRegressor, train: DataFrame, val: DataFrame, rounds: int = EARLY_STOPPING_ROUNDS, block: int = BLOCK_TREES, path: str | None = None):
     """Fit with early stopping after ``rounds`` stalled trees.
 
-    The staged predictions are scored on ``val`` tree by tree; the model is
-    then fitted again with the best number of trees, which gives the same
-    leading trees since every tree's seed depends on its place only.
+    Trees are fitted in blocks, and none after the block in which validation
+    has stalled.  With a ``path`` an interrupted fit goes on where it stopped.
     """
-    whole = gbt.fit(train)
-    best = stalled_at(whole.evaluateEachIteration(val, "squared"), rounds)
-    return whole if best == whole.getNumTrees else gbt.copy({gbt.maxIter: best}).fit(train)
+    path = path or sinks.shared_dir(train.sparkSession, "boosting")
+    return fit_until_stalled(BoostingRun(gbt, train, val, path), rounds, block)
 
 
 # ---------------------------------------------------------------- J7 / J8
