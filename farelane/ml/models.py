@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.constants import BOOSTED_PRESETS, DEFAULT_SEED, EARLY_STOPPING_ROUNDS, N_TRIALS, RIDGE_ALPHA
-from farelane.ml.boosting import BLOCK_TREES, BoostingRun, fit_until_stalled, stalled_at  # noqa: F401
+from farelane.ml.boosting import BLOCK_TREES, BoostingRun, fit_until_stalled, has_stalled, stalled_at
 from farelane.sources import sinks
 
 BASELINE = "MeanBaseline"
@@ -56,8 +57,7 @@ def metrics_dict(pred: DataFrame, label: str = "label", prediction: str = "predi
 # ---------------------------------------------------------------- J1
 def mean_baseline(train: DataFrame, val: DataFrame, label: str = "label") -> DataFrame:
     """Predict the training mean for every validation row."""
-    mean = train.agg(F.avg(label)).first()[0]
-    return val.select(label, F.lit(mean).cast("double").alias("prediction"))
+    return MeanPredictor().fit(train, label).transform(val.select(label))
 
 
 # ---------------------------------------------------------------- J2 / J3 / J4 / J5
@@ -107,17 +107,15 @@ def fit_with_validation(gbt: GBTRegressor, train: DataFrame, val: DataFrame, rou
 
 
 # ---------------------------------------------------------------- J7 / J8
-def _timed_eval(name, est, train, val):
-    if name == BASELINE:
-        t0 = time.time()
-        m = metrics_dict(mean_baseline(train, val))
-        return {"Model": name, **m, "Fit_s": 0.0, "Pred_s": time.time() - t0}
-    t0 = time.time()
-    model = est.fit(train)
-    fit_s = time.time() - t0
-    t1 = time.time()
-    m = metrics_dict(model.transform(val))  # the metrics action forces the prediction
-    return {"Model": name, **m, "Fit_s": fit_s, "Pred_s": time.time() - t1}
+class MeanPredictor:
+    """The mean baseline with the interface of an estimator."""
+
+    def fit(self, train: DataFrame, label: str = "label") -> MeanPredictor:
+        self.mean = train.agg(F.avg(label)).first()[0]
+        return self
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("prediction", F.lit(self.mean).cast("double"))
 
 
 @dataclass(frozen=True)
@@ -134,12 +132,18 @@ class Contender:
 
 def leaderboard(spark: SparkSession, models: Sequence[Contender], train: DataFrame, val: DataFrame) -> DataFrame:
     """Fit each model and the mean baseline, score on validation, sort by RMSE."""
-    field = {BASELINE: Contender(BASELINE)} | {m.name: m for m in models}
     if len(models) != len({m.name for m in models}):
         raise ValueError("models need different names")
-    rows = [_timed_eval(m.name, m.estimator, train, val) for m in field.values()]
-    df = spark.createDataFrame([(r["Model"], r["MAE"], r["RMSE"], r["R2"], r["Fit_s"], r["Pred_s"]) for r in rows], LEADERBOARD_SCHEMA)
-    return df.orderBy("RMSE")
+    predictors = {BASELINE: MeanPredictor()} | {m.name: m.estimator or MeanPredictor() for m in models}
+    rows = []
+    for name, predictor in predictors.items():
+        clock = [time.perf_counter()]
+        fitted = predictor.fit(train)
+        clock.append(time.perf_counter())
+        errors = metrics_dict(fitted.transform(val))  # predicts and scores in one job
+        clock.append(time.perf_counter())
+        rows.append((name, errors["MAE"], errors["RMSE"], errors["R2"], clock[1] - clock[0], clock[2] - clock[1]))
+    return spark.createDataFrame(rows, LEADERBOARD_SCHEMA).orderBy("RMSE")
 
 
 def best_model(board: DataFrame) -> DataFrame:
@@ -200,6 +204,54 @@ class Trial:
     duration: float | None = None
     datetime_start: str | None = None
     datetime_complete: str | None = None
+    error: str | None = None
+
+
+RUNNING, COMPLETE, PRUNED, FAIL = (f"TrialState.{x}" for x in ("RUNNING", "COMPLETE", "PRUNED", "FAIL"))
+
+
+class _Attempt:
+    """A trial and its boosting run, which is carried from rung to rung."""
+
+    def __init__(self, number: int, params: dict, gbt: Callable[[], GBTRegressor], train: DataFrame, val: DataFrame, path: str, rounds: int | None):
+        self.trial = Trial(number, None, RUNNING, params)
+        self.make = lambda: BoostingRun(gbt(), train, val, path)
+        self.run: BoostingRun | None = None
+        self.rounds, self.rungs = rounds, 0
+
+    @property
+    def kept(self) -> int:
+        losses = self.run.losses
+        return stalled_at(losses, self.rounds) if self.rounds else len(losses)
+
+    def best(self) -> float:
+        return min(self.run.losses[: self.kept])
+
+    def climb(self, to: int, block: int, deadline: float | None) -> None:
+        """Fit up to ``to`` trees; an error or the time limit ends this trial only."""
+        t = self.trial
+        t.datetime_start = t.datetime_start or datetime.now(timezone.utc).isoformat()
+        begun = time.time()
+        try:
+            self.run = self.run or self.make()
+            wanted = min(to, self.run.gbt.getMaxIter())
+            while self.run.n_trees < wanted and not (self.rounds and has_stalled(self.run.losses, self.rounds)):
+                self.run.advance(min(wanted, self.run.n_trees + block), block, deadline)
+            self.rungs += 1
+            if self.run.n_trees >= self.run.gbt.getMaxIter() or (self.rounds and has_stalled(self.run.losses, self.rounds)):
+                self.end(COMPLETE)
+        except TimeoutError as ex:
+            self.end(PRUNED if self.run and self.run.losses else FAIL, str(ex))
+        except Exception as ex:  # noqa: BLE001 - whatever a trial's settings bring about, the search goes on
+            self.end(FAIL, f"{type(ex).__name__}: {ex}"[:500])
+        t.duration = (t.duration or 0.0) + time.time() - begun
+
+    def end(self, state: str, error: str | None = None) -> None:
+        t = self.trial
+        t.state, t.error, t.datetime_complete = state, error, datetime.now(timezone.utc).isoformat()
+        if state != FAIL:
+            t.value = (self.run.losses[self.kept - 1] if state == COMPLETE else self.best()) ** 0.5
+            t.user_attrs = {"valid_rmse": t.value, "n_trees": self.kept, "rungs": self.rungs}
 
 
 def param_search(
@@ -210,30 +262,47 @@ def param_search(
     seed: int = DEFAULT_SEED,
     early_stopping_rounds: int | None = EARLY_STOPPING_ROUNDS,
     space: Mapping = SEARCH_SPACE,
+    eta: int | None = 3,
+    first_rung: int = BLOCK_TREES,
+    parallel: int = 4,
+    path: str | None = None,
 ) -> tuple[float, dict, list[Trial]]:
-    """Seeded random search over ``space`` minimising validation RMSE (J9); each trial is a distributed fit.
-
-    Trials stop early after ``early_stopping_rounds`` stalled trees (None: never).
+    """Seeded random search over ``space`` minimising validation RMSE by successive halving.
+
+    All trials fit ``first_rung`` trees; the best ``1/eta`` by validation loss
+    go on to ``eta`` times as many, and so on, each from where it stopped; the
+    rest are PRUNED with the loss they reached.  A trial is COMPLETE with all its
+    trees or after ``early_stopping_rounds`` stalled ones (None: never).
+    ``parallel`` trials run side by side; each is a distributed fit.  A trial
+    that fails is logged as FAIL.  ``timeout`` (seconds) ends running trials
+    between two trees.  ``eta=None`` prunes nothing.  States, values and parameters
+    follow from the seed alone.
     """
     rng = random.Random(seed)
-    trials: list[Trial] = []
-    started = time.time()
+    path = path or sinks.shared_dir(train.sparkSession, "search")
+    deadline = None if timeout is None else time.time() + timeout
+    field_ = []
     for i in range(n_trials):
-        if timeout is not None and time.time() - started > timeout:
-            break
         params = draw_params(rng, space)
-        t0 = datetime.now(timezone.utc)
-        gbt = gbt_from_params(params, seed)
-        model = gbt.fit(train) if early_stopping_rounds is None else fit_with_validation(gbt, train, val, early_stopping_rounds)
-        rmse = metrics_dict(model.transform(val))["RMSE"]
-        t1 = datetime.now(timezone.utc)
-        trials.append(
-            Trial(i, rmse, "TrialState.COMPLETE", params, {"valid_rmse": rmse}, (t1 - t0).total_seconds(), t0.isoformat(), t1.isoformat())
-        )
-    done = [t for t in trials if t.value is not None]
+        field_.append(_Attempt(i, params, lambda p=params: gbt_from_params(p, seed), train, val, f"{path}/trial-{i:05d}", early_stopping_rounds))
+    rung = first_rung if eta else max((int(a.trial.params["n_estimators"]) for a in field_), default=1)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        alive = field_
+        while alive:
+            block = max(1, min(BLOCK_TREES, rung))
+            list(pool.map(lambda a, to=rung, size=block: a.climb(to, size, deadline), alive))
+            here = sorted((a for a in alive if a.trial.state in (RUNNING, COMPLETE)), key=lambda a: (a.best(), a.trial.number))
+            if eta:
+                for a in here[-(-len(here) // eta) :]:
+                    if a.trial.state == RUNNING:
+                        a.end(PRUNED)
+            alive = [a for a in alive if a.trial.state == RUNNING]
+            rung *= eta or 1
+    trials = [a.trial for a in field_]
+    done = [t for t in trials if t.state == COMPLETE]
     if not done:
         raise RuntimeError("no trial finished")
-    best = min(done, key=lambda t: t.value)
+    best = min(done, key=lambda t: (t.value, t.number))
     return best.value, best.params, trials
 
 
@@ -241,13 +310,13 @@ def trial_log(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
     """Trial table (J10): params as a map of numbers, attributes as a map."""
     rows = [
         (t.number, t.value, t.state, {k: float(v) for k, v in t.params.items()}, {k: float(v) for k, v in t.user_attrs.items()},
-         t.duration, t.datetime_start, t.datetime_complete)
+         t.duration, t.datetime_start, t.datetime_complete, t.error)
         for t in trials
     ]
     return spark.createDataFrame(
         rows,
         "number int, value double, state string, params map<string,double>, user_attrs map<string,double>, "
-        "duration double, datetime_start string, datetime_complete string",
+        "duration double, datetime_start string, datetime_complete string, error string",
     )
 
 

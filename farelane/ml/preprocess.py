@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.constants import CATEGORICAL_FEATURES, FEATURE_DROP, NUMERIC_FEATURES, TARGET
+from farelane.operators.quantiles import exact_quantiles
 
 NULL_CATEGORY = "__null__"
 
@@ -59,7 +60,7 @@ class _RobustParams(HasInputCols, HasOutputCols):
 
 
 class ExactRobustScaler(Estimator, _RobustParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Robust scaler with exact quantiles; one aggregation pass over all columns."""
+    """Robust scaler with exact quantiles of all columns at once (radix selection, bounded state)."""
 
     @keyword_only
     def __init__(self, inputCols=None, outputCols=None, quantileLow=0.25, quantileHigh=0.75, nullAsMedian=False):
@@ -69,19 +70,12 @@ class ExactRobustScaler(Estimator, _RobustParams, DefaultParamsReadable, Default
     def _fit(self, df: DataFrame) -> ExactRobustScalerModel:
         cols = self.getInputCols()
         lo, hi = self.getOrDefault("quantileLow"), self.getOrDefault("quantileHigh")
-        row = df.agg(
-            *[F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None)), [lo, 0.5, hi]).alias(f"_q{i}") for i, c in enumerate(cols)]
-        ).first()
+        found = {r["column"]: r["quantiles"] for r in exact_quantiles(df, cols, [lo, 0.5, hi]).collect()}  # one row per column
         centers, scales = [], []
-        for i in range(len(cols)):
-            q = row[f"_q{i}"]
-            if q is None or q[1] is None:
-                centers.append(0.0)
-                scales.append(1.0)
-                continue
-            iqr = q[2] - q[0]
-            centers.append(float(q[1]))
-            scales.append(float(iqr) if iqr != 0 else 1.0)
+        for c in cols:
+            low, middle, high = found.get(c, (0.0, 0.0, 1.0))  # a column without values stays as it is
+            centers.append(float(middle))
+            scales.append(float(high - low) or 1.0)
         model = ExactRobustScalerModel(
             inputCols=cols,
             outputCols=self.getOutputCols(),

@@ -29,6 +29,7 @@ from farelane.constants import (
 )
 from farelane.functions.exprs import is_finite, minutes_between, nan_as_null
 from farelane.operators import clean, sampling, stats
+from farelane.operators.quantiles import exact_quantiles, null_safe_join
 from farelane.sources import sinks
 
 
@@ -263,44 +264,29 @@ def quantile_scan(
 ) -> DataFrame:
     """Per-file 1% / 99% quantiles, min, max; then pooled (H7).
 
-    Exact by default (``percentile``, linear interpolation like pandas): its
-    partial aggregate holds one entry per distinct value of a file.  For value
-    domains too wide for that, ``approx_accuracy`` switches to
-    ``percentile_approx`` (a fixed-size sketch, relative rank error
-    ``1 / approx_accuracy``).
+    Exact by default, by radix selection (``quantiles.exact_quantiles``): linear
+    interpolation like pandas, state bounded whatever the number of distinct
+    values.  ``approx_accuracy`` switches to ``percentile_approx``, a sketch of
+    fixed size read in one pass (relative rank error ``1 / approx_accuracy``).
+    A column without values has a row of NULLs.
     """
-
-    def q(c):
-        if approx_accuracy:
-            return F.percentile_approx(F.col(c), [0.01, 0.99], approx_accuracy)
-        return F.percentile(F.col(c), [0.01, 0.99])
-
-    per_file = df.groupBy(file_month).agg(
-        *[q(c).alias(f"_q_{i}") for i, c in enumerate(cols)],
-        *[F.min(c).alias(f"_mn_{i}") for i, c in enumerate(cols)],
-        *[F.max(c).alias(f"_mx_{i}") for i, c in enumerate(cols)],
-    )
-    long = per_file.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"_q_{i}")[0].alias("q01"),
-                        F.col(f"_q_{i}")[1].alias("q99"),
-                        F.col(f"_mn_{i}").alias("mn"),
-                        F.col(f"_mx_{i}").alias("mx"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("_r")
-    ).select("_r.*")
-    return long.groupBy("column").agg(
-        F.round(F.min("q01"), 2).alias("q01_min"),
-        F.round(F.max("q99"), 2).alias("q99_max"),
-        F.round(F.min("mn"), 2).alias("global_min"),
-        F.round(F.max("mx"), 2).alias("global_max"),
+    cols = list(cols)
+    if approx_accuracy:
+        wide = df.groupBy(file_month).agg(
+            *[
+                F.struct(F.percentile_approx(F.col(c), [0.01, 0.99], approx_accuracy).alias("quantiles"), F.min(c).alias("min"), F.max(c).alias("max")).alias(f"_s_{i}")
+                for i, c in enumerate(cols)
+            ]
+        )
+        per_file = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s_{i}").alias("s")) for i, c in enumerate(cols)])).alias("r")).select("r.column", "r.s.*")
+    else:
+        per_file = exact_quantiles(df, cols, [0.01, 0.99], [file_month])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(per_file, "column", "left").groupBy("column").agg(
+        F.round(F.min(F.col("quantiles")[0]), 2).alias("q01_min"),
+        F.round(F.max(F.col("quantiles")[1]), 2).alias("q99_max"),
+        F.round(F.min("min"), 2).alias("global_min"),
+        F.round(F.max("max"), 2).alias("global_max"),
     )
 
 
@@ -381,22 +367,15 @@ def duration_share(df: DataFrame, bounds: tuple[float, float] = DURATION_BOUNDS)
 def describe_duration(df: DataFrame, file_month: str = FILE_MONTH) -> DataFrame:
     """count / mean / std / min / 1% / 50% / 99% / max of the duration per file, 2 dp."""
     d = F.col("trip_duration")
-    q = F.percentile(d, [0.01, 0.5, 0.99])
-    out = _duration(df).groupBy(file_month).agg(
-        F.count(d).alias("count"),
-        F.avg(d).alias("mean"),
-        F.stddev_samp(d).alias("std"),
-        F.min(d).alias("min"),
-        q.alias("_q"),
-        F.max(d).alias("max"),
-    )
+    timed = _duration(df).select(file_month, "trip_duration")
+    moments = timed.groupBy(file_month).agg(F.count(d).alias("count"), F.avg(d).alias("mean"), F.stddev_samp(d).alias("std"), F.min(d).alias("min"), F.max(d).alias("max"))
+    ranks = exact_quantiles(timed, ["trip_duration"], [0.01, 0.5, 0.99], [file_month]).select(file_month, "quantiles")
+    out = null_safe_join(moments, ranks, [file_month], "left")
     return out.select(
         file_month,
         "count",
         *[F.round(c, 2).alias(c) for c in ("mean", "std", "min")],
-        F.round(F.col("_q")[0], 2).alias("p01"),
-        F.round(F.col("_q")[1], 2).alias("p50"),
-        F.round(F.col("_q")[2], 2).alias("p99"),
+        *[F.round(F.col("quantiles")[i], 2).alias(c) for i, c in enumerate(("p01", "p50", "p99"))],
         F.round("max", 2).alias("max"),
     ).orderBy(file_month)
 

@@ -7,15 +7,19 @@ model queries read that table.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelane.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RIDGE_ALPHA, TARGET
+from farelane.constants import CATEGORICAL_FEATURES, IGNORE_SPLIT, NUMERIC_FEATURES, RIDGE_ALPHA, SAMPLE_ROWS_PER_MONTH, TARGET
 from farelane.functions.calendar import holiday_calendar
+from farelane.ml import linear as L
 from farelane.ml import models as M
+from farelane.ml.boosting import BoostingRun, fit_until_stalled
 from farelane.ml import preprocess as P
 from farelane.ml import scoring
 from farelane.operators import sampling
@@ -23,7 +27,6 @@ from farelane.plans import jobs
 from farelane.plans import oracle_sql as O
 from farelane.plans.catalog import (
     FEATURE_DOUBLES,
-    SPLIT_ROWS,
     SPLIT_SQL_EXPR,
     _cleaned,
     _features,
@@ -35,7 +38,7 @@ from farelane.sources import fixtures as fx
 from farelane.sources import sinks
 from farelane.streaming.score_stream import score_stream
 
-SPLIT_SAMPLE_CTES = (
+FEATURE_ROWS_CTES = (
     O.TRIPS,
     O.MONTH_FILTERED,
     O.MISSING_HANDLED,
@@ -44,24 +47,33 @@ SPLIT_SAMPLE_CTES = (
     "\ncleaned AS (SELECT * FROM mh WHERE " + O.RANGE_OK + ")",
     O.features_sql("cleaned"),
     f"\ntagged AS (SELECT *, {SPLIT_SQL_EXPR} AS split FROM feat)",
-    f"""
+)
+#: all feature rows of the three splits
+SPLIT_CTES = (*FEATURE_ROWS_CTES, "\nsplits AS (SELECT * FROM tagged WHERE split <> 'ignore')")
+#: the rows models are trained and judged on: the sample of each month at the sampler's default size
+MODEL_CTES = (
+    *FEATURE_ROWS_CTES,
+    """
 splits AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY file_month ORDER BY md5(CAST(trip_id AS VARCHAR) || ':42'), trip_id) AS rn
     FROM tagged WHERE split <> 'ignore')
-  WHERE split <> 'train' OR rn <= {SPLIT_ROWS["train"]}
-)""",
+  WHERE rn <= CASE split """
+    + " ".join(f"WHEN '{name}' THEN {rows}" for name, rows in SAMPLE_ROWS_PER_MONTH.items())
+    + " END\n)",
 )
 
 
-#: training rows per month are bounded; validation and test are always whole
-MODEL_ROWS = {"train": SPLIT_ROWS["train"], "val": None, "test": None}
+def _splits(spark: SparkSession, sf: str) -> DataFrame:
+    """All feature rows of all splits."""
+    feats = sampling.assign_split(_features(spark, sf, src=_cleaned(spark, sf)))
+    return sinks.materialize(feats.filter(F.col("split") != IGNORE_SPLIT), "split_features")
 
 
-def _splits(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature rows of all splits: a bounded number of training rows per month, all rows of the others."""
+def _model_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The sampled rows of all splits, as the training job gets them."""
     feats = sinks.materialize(_features(spark, sf, src=_cleaned(spark, sf)), "model_features")
-    return sinks.materialize(sampling.build_splits(feats, MODEL_ROWS), "model_splits")
+    return sinks.materialize(sampling.build_splits(feats), "model_splits")
 
 
 def _fitted(splits: DataFrame) -> PipelineModel:
@@ -70,7 +82,7 @@ def _fitted(splits: DataFrame) -> PipelineModel:
 
 def _xy(spark, sf):
     """The transformed splits, written once for all fits of a query."""
-    s = _splits(spark, sf)
+    s = _model_rows(spark, sf)
     pre = _fitted(s)
     return {name: sinks.materialize(P.transform(pre, s.where(F.col("split") == name), keep=["trip_id"]), f"xy_{name}") for name in ("train", "val", "test")}
 
@@ -86,7 +98,7 @@ PREP_OTHER = [c for c in PREP_COLS if c not in FEATURE_DOUBLES]
 
 @register(
     "prepare_features",
-    O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT trip_id, {', '.join(PREP_OTHER)}, {_sel_round(PREP_DOUBLES)} FROM splits"),
+    O.with_ctes(*SPLIT_CTES, select=f"SELECT trip_id, {', '.join(PREP_OTHER)}, {_sel_round(PREP_DOUBLES)} FROM splits"),
 )
 def q_prepare_features(spark, sf):
     s = _splits(spark, sf)
@@ -95,7 +107,7 @@ def q_prepare_features(spark, sf):
 
 @register(
     "split_xy",
-    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, split, round(total_amount, 6) AS label FROM splits"),
+    O.with_ctes(*SPLIT_CTES, select="SELECT trip_id, split, round(total_amount, 6) AS label FROM splits"),
 )
 def q_split_xy(spark, sf):
     xy = P.split_xy(_splits(spark, sf), keep=("trip_id", "split"))
@@ -112,7 +124,7 @@ def _robust_sql() -> str:
         for c in NUMERIC_FEATURES
     )
     return O.with_ctes(
-        *SPLIT_SAMPLE_CTES,
+        *SPLIT_CTES,
         f"\nq AS (SELECT {qs} FROM splits WHERE split = 'train')",
         select=f"SELECT trip_id, {scaled} FROM splits, q WHERE split = 'val'",
     )
@@ -132,7 +144,7 @@ def _category(c: str) -> str:
 
 #: rank of each training category in the order of its text, and the quantiles of the numeric columns
 FEATURE_CTES = (
-    *SPLIT_SAMPLE_CTES,
+    *SPLIT_CTES,
     *[
         f"\ncat_{c} AS (SELECT v, row_number() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT {_category(c)} AS v FROM splits WHERE split = 'train'))"
         for c in CATEGORICAL_FEATURES
@@ -147,10 +159,9 @@ FEATURE_CTES = (
     + " ".join(f"LEFT JOIN cat_{c} ON {_category('splits.' + c)} = cat_{c}.v" for c in CATEGORICAL_FEATURES)
     + ")",
 )
-SUM_SQL = " + ".join(
-    [f"coalesce(({c} - coalesce(m_{c}, 0)) / CASE WHEN b_{c} - a_{c} = 0 OR b_{c} IS NULL THEN 1 ELSE b_{c} - a_{c} END, 0)" for c in NUMERIC_FEATURES]
-    + [f"CASE WHEN _ohe_{c} > 0 THEN 1 ELSE 0 END" for c in CATEGORICAL_FEATURES]
-)
+SCALED_SQL = [
+    f"coalesce(({c} - coalesce(m_{c}, 0)) / CASE WHEN b_{c} - a_{c} = 0 OR b_{c} IS NULL THEN 1 ELSE b_{c} - a_{c} END, 0)" for c in NUMERIC_FEATURES
+]
 
 
 @register("one_hot", O.with_ctes(*FEATURE_CTES, select="SELECT trip_id, " + ", ".join(f"_ohe_{c}" for c in CATEGORICAL_FEATURES) + " FROM slots"))
@@ -161,11 +172,32 @@ def q_one_hot(spark, sf):
     return out.select("trip_id", *[F.array_position(vector_to_array(f"_ohe_{c}"), 1.0).alias(f"_ohe_{c}") for c in CATEGORICAL_FEATURES])
 
 
-@register("column_transformer", O.with_ctes(*FEATURE_CTES, select=f"SELECT trip_id, split, n_features, round({SUM_SQL}, 6) AS sum_features FROM slots, q, width"))
+def _active_slots_sql() -> str:
+    """The places of the ones behind the numeric columns, in order."""
+    before, places = [], []
+    for c in CATEGORICAL_FEATURES:
+        start = " + ".join(before) or "0"
+        places.append(f"CASE WHEN _ohe_{c} > 0 THEN CAST({start} + _ohe_{c} AS VARCHAR) END")
+        before.append(f"(SELECT count(*) FROM cat_{c})")
+    return f"concat_ws(',', {', '.join(places)})"
+
+
+@register(
+    "column_transformer",
+    O.with_ctes(
+        *FEATURE_CTES,
+        select="SELECT trip_id, split, n_features, "
+        + ", ".join(f"round({x}, 6) AS x_{c}" for c, x in zip(NUMERIC_FEATURES, SCALED_SQL, strict=True))
+        + f", {_active_slots_sql()} AS ones FROM slots, q, width",
+    ),
+)
 def q_column_transformer(spark, sf):
+    """Every scaled number and the place of every one in the assembled vector, over all rows."""
     s = _splits(spark, sf)
-    arr = vector_to_array("features")
-    return _fitted(s).transform(s).select("trip_id", "split", F.size(arr).alias("n_features"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("sum_features"))
+    out = _fitted(s).transform(s).withColumn("x", vector_to_array("features"))
+    k = len(NUMERIC_FEATURES)
+    ones = F.filter(F.transform(F.slice("x", k + 1, F.size("x") - k), lambda x, i: F.when(x == 1.0, (i + 1).cast("string"))), lambda x: x.isNotNull())
+    return out.select("trip_id", "split", F.size("x").alias("n_features"), *[F.col("x")[i].alias(f"x_{c}") for i, c in enumerate(NUMERIC_FEATURES)], F.array_join(ones, ",").alias("ones"))
 
 
 @register(
@@ -173,11 +205,12 @@ def q_column_transformer(spark, sf):
     O.with_ctes(*FEATURE_CTES, select="SELECT trip_id, round(total_amount, 6) AS label, n_features FROM splits, width WHERE split <> 'train'"),
 )
 def q_fit_transform(spark, sf):
-    xy = _xy(spark, sf)
-    return xy["val"].unionByName(xy["test"]).select("trip_id", "label", F.size(vector_to_array("features")).alias("n_features"))
+    s = _splits(spark, sf)
+    out = P.transform(_fitted(s), s.where(F.col("split") != "train"), keep=["trip_id"])
+    return out.select("trip_id", "label", F.size(vector_to_array("features")).alias("n_features"))
 
 
-@register("persist_pipeline", O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, TRUE AS same_features FROM splits"))
+@register("persist_pipeline", O.with_ctes(*SPLIT_CTES, select="SELECT trip_id, TRUE AS same_features FROM splits"))
 def q_persist_pipeline(spark, sf):
     s = _splits(spark, sf)
     pre = _fitted(s)
@@ -189,7 +222,7 @@ def q_persist_pipeline(spark, sf):
 
 @register(
     "transform_splits",
-    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT split, count(*) AS n_rows, round(avg(total_amount), 6) AS mean_label FROM splits GROUP BY split"),
+    O.with_ctes(*SPLIT_CTES, select="SELECT split, count(*) AS n_rows, round(avg(total_amount), 6) AS mean_label FROM splits GROUP BY split"),
 )
 def q_transform_splits(spark, sf):
     s = _splits(spark, sf)
@@ -208,7 +241,7 @@ QUERY_TREES = 6
 QUERY_SPACE = M.SEARCH_SPACE | {"n_estimators": ("int", 2, 6, 1), "max_depth": ("int", 2, 5, 1)}
 
 BASELINE_SQL = O.with_ctes(
-    *SPLIT_SAMPLE_CTES,
+    *SPLIT_CTES,
     "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
     select="""SELECT round(avg(abs(total_amount - mu)), 6) AS MAE, round(sqrt(avg((total_amount - mu) * (total_amount - mu))), 6) AS RMSE,
       round(1 - sum((total_amount - mu) * (total_amount - mu)) / (var_pop(total_amount) * count(total_amount)), 6) AS R2
@@ -225,7 +258,7 @@ def q_mean_baseline(spark, sf):
 @register(
     "regression_metrics",
     O.with_ctes(
-        *SPLIT_SAMPLE_CTES,
+        *SPLIT_CTES,
         select="""SELECT split, round(avg(abs(total_amount - p)), 6) AS MAE, round(sqrt(avg((total_amount - p) * (total_amount - p))), 6) AS RMSE,
           round(1 - sum((total_amount - p) * (total_amount - p)) / (var_pop(total_amount) * count(total_amount)), 6) AS R2
         FROM (SELECT split, total_amount, 2.5 * trip_distance + 4.0 AS p FROM splits) GROUP BY split""",
@@ -239,56 +272,103 @@ def q_regression_metrics(spark, sf):
 @register(
     "linear_regression_1d",
     O.with_ctes(
-        *SPLIT_SAMPLE_CTES,
+        *MODEL_CTES,
         select="""SELECT round(regr_slope(total_amount, trip_distance), 4) AS slope,
           round(regr_intercept(total_amount, trip_distance), 4) AS intercept FROM splits WHERE split = 'train'""",
     ),
 )
 def q_linear_regression_1d(spark, sf):
-    s = _splits(spark, sf).where(F.col("split") == "train")
+    s = _model_rows(spark, sf).where(F.col("split") == "train")
     x = VectorAssembler(inputCols=["trip_distance"], outputCol="features").transform(s).withColumn("label", F.col(TARGET))
     m = M.linear_regression().fit(x)
     return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))], "slope double, intercept double")
 
 
-def _gradient_share(pred: DataFrame, weights, alpha: float = 0.0) -> float:
-    """Largest gradient of ``|y - Xw|^2 / 2 + alpha |w|^2 / 2`` over the features, as a part of the largest one for the mean baseline; 0 at the optimum."""
-    mean = pred.agg(F.avg("label")).first()[0]
-    each = pred.select("label", "prediction", F.posexplode(vector_to_array("features")).alias("i", "x"))
-    fitted, start = ((F.col("label") - y) * F.col("x") for y in (F.col("prediction"), F.lit(mean)))
-    rows = each.groupBy("i").agg(F.sum(fitted).alias("g"), F.sum(start).alias("g0")).collect()  # one row per feature
-    return max(abs(row["g"] - alpha * float(weights[row["i"]])) for row in rows) / max(abs(row["g0"]) for row in rows)
+VAL_ROWS_SQL = "(SELECT count(*) FROM splits WHERE split = 'val') AS n_val"
 
+#: columns of the linear queries: few enough to be solved in closed form in SQL
+LINEAR_COLS = ("trip_distance", "trip_duration", "passenger_count")
+
+
+def _linear_ctes(fits: dict[str, tuple[str, float]]) -> tuple[str, ...]:
+    """Closed-form coefficients of each named fit ((row filter, penalty)) from sums over the rows, by Cramer's rule."""
+    x, y = LINEAR_COLS, TARGET
+    present = " AND ".join(f"{c} IS NOT NULL" for c in (*x, y))
+    rows = f"\nlin AS (SELECT split, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in (*x, y))} FROM splits WHERE {present})"
+    sums = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS fit, {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(x))}, avg({y}) AS my, "
+        + ", ".join(f"covar_pop({x[i]}, {x[j]}) * count(*){f' + {alpha}' if i == j else ''} AS a{i}{j}" for i in range(3) for j in range(3))
+        + ", "
+        + ", ".join(f"covar_pop({c}, {y}) * count(*) AS b{i}" for i, c in enumerate(x))
+        + f" FROM lin WHERE {where}"
+        for name, (where, alpha) in fits.items()
+    )
 
-VAL_ROWS_SQL = "(SELECT count(*) FROM splits WHERE split = 'val') AS n_val"
+    def det(columns: list[str]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = [[v.format(r) for v in columns] for r in range(3)]
+        return f"({a}*({e}*{i}-{f}*{h}) - {b}*({d}*{i}-{f}*{g}) + {c}*({d}*{h}-{e}*{g}))"
 
+    plain = ["a{}0", "a{}1", "a{}2"]
+    ws = ", ".join(f"{det([*plain[:k], 'b{}', *plain[k + 1:]])} / {det(plain)} AS w{k}" for k in range(3))
+    solved = "\nlw AS (SELECT fit, " + ws + ", my, m0, m1, m2 FROM ls)"
+    return rows, f"\nls AS ({sums})", solved, "\nlc AS (SELECT fit, w0, w1, w2, my - w0 * m0 - w1 * m1 - w2 * m2 AS w FROM lw)"
 
-def _fit_report(spark, model, xy, alpha: float = 0.0) -> DataFrame:
-    """Optimality on the training rows and comparison with the mean baseline on validation, as facts."""
-    train = model.transform(xy["train"])
-    bias = train.agg(F.avg(F.col("label") - F.col("prediction"))).first()[0]
-    rmse = M.metrics_dict(model.transform(xy["val"]))["RMSE"]
-    base = M.metrics_dict(M.mean_baseline(xy["train"], xy["val"]))["RMSE"]
-    facts = (abs(bias) < 1e-4, _gradient_share(train, model.coefficients, alpha) < 0.01, rmse < base, xy["val"].count())
-    return spark.createDataFrame([facts], "unbiased boolean, gradient_zero boolean, beats_baseline boolean, n_val long")
+
+LINEAR_RMSE_SQL = f"sqrt(avg(power({TARGET} - w - w0 * {LINEAR_COLS[0]} - w1 * {LINEAR_COLS[1]} - w2 * {LINEAR_COLS[2]}, 2)))"
+
+
+def _linear_rows(spark, sf) -> DataFrame:
+    s = _model_rows(spark, sf).select("split", *[F.col(c).cast("double").alias(c) for c in LINEAR_COLS], F.col(TARGET).cast("double").alias("label")).dropna()
+    return sinks.materialize(VectorAssembler(inputCols=list(LINEAR_COLS), outputCol="features").transform(s), "linear_rows")
+
+
+def _linear_report(spark, rows: DataFrame, fits: list[tuple]) -> DataFrame:
+    """One row per (how, penalty, estimator or None): coefficients and validation error, fitted or from moments."""
+    moments = L.linear_moments(rows, by="split")
+    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    out = []
+    for how, alpha, estimator in fits:
+        if estimator is None:
+            fit = moments["train"].fit(alpha)
+            w, b, rmse = fit.coefficients, fit.intercept, moments["val"].rmse(fit)
+        else:
+            model = estimator.fit(train)
+            w, b, rmse = model.coefficients.toArray(), model.intercept, M.metrics_dict(model.transform(val))["RMSE"]
+        out.append((how, float(alpha), *(round(float(v), 4) for v in (*w, b, rmse)), moments["val"].n))
+    return spark.createDataFrame(out, "how string, alpha double, w_distance double, w_duration double, w_passengers double, intercept double, val_rmse double, n_val long")
 
 
-FIT_SQL = O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT TRUE AS unbiased, TRUE AS gradient_zero, TRUE AS beats_baseline, {VAL_ROWS_SQL}")
+def _linear_sql(alphas: list[float]) -> str:
+    fits = {f"a{i}": ("split = 'train'", alpha) for i, alpha in enumerate(alphas)}
+    how = ", ".join(f"('a{i}', CAST({alpha} AS DOUBLE))" for i, alpha in enumerate(alphas))
+    return O.with_ctes(
+        *MODEL_CTES,
+        *_linear_ctes(fits),
+        select=f"""SELECT how, alpha, round(w0, 4) AS w_distance, round(w1, 4) AS w_duration, round(w2, 4) AS w_passengers, round(w, 4) AS intercept,
+          (SELECT round({LINEAR_RMSE_SQL}, 4) FROM lin WHERE split = 'val') AS val_rmse, (SELECT count(*) FROM lin WHERE split = 'val') AS n_val
+        FROM lc JOIN (VALUES {how}) AS p(fit, alpha) USING (fit), (VALUES ('fitted'), ('moments')) AS h(how)""",
+    )
 
 
-@register("linear_regression", FIT_SQL)
+@register("linear_regression", _linear_sql([0.0]))
 def q_linear_regression(spark, sf):
-    xy = _xy(spark, sf)
-    return _fit_report(spark, M.linear_regression().fit(xy["train"]), xy)
+    """Least squares as an estimator and from added-up moments."""
+    rows = _linear_rows(spark, sf)
+    return _linear_report(spark, rows, [("fitted", 0.0, M.linear_regression()), ("moments", 0.0, None)])
 
 
-@register("ridge", FIT_SQL)
+RIDGE_ALPHAS = [0.0, RIDGE_ALPHA, 1000.0 * RIDGE_ALPHA]
+
+
+@register("ridge", _linear_sql(RIDGE_ALPHAS))
 def q_ridge(spark, sf):
-    xy = _xy(spark, sf)
-    return _fit_report(spark, M.ridge(xy["train"]).fit(xy["train"]), xy, RIDGE_ALPHA)
+    """Ridge with several penalties, as estimators and from one set of moments."""
+    rows = _linear_rows(spark, sf)
+    train = rows.filter("split = 'train'")
+    return _linear_report(spark, rows, [(how, a, M.ridge(train, a) if how == "fitted" else None) for a in RIDGE_ALPHAS for how in ("fitted", "moments")])
 
 
-@register("boosted_trees", O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT CAST({QUERY_TREES} AS INTEGER) AS n_trees, TRUE AS loss_falls, TRUE AS beats_baseline, {VAL_ROWS_SQL}"))
+@register("boosted_trees", O.with_ctes(*MODEL_CTES, select=f"SELECT CAST({QUERY_TREES} AS INTEGER) AS n_trees, TRUE AS loss_falls, TRUE AS beats_baseline, {VAL_ROWS_SQL}"))
 def q_boosted_trees(spark, sf):
     xy = _xy(spark, sf)
     m = M.boosted_trees("xgboost", max_iter=QUERY_TREES).fit(xy["train"])
@@ -298,15 +378,21 @@ def q_boosted_trees(spark, sf):
     return spark.createDataFrame([facts], "n_trees int, loss_falls boolean, beats_baseline boolean, n_val long")
 
 
-@register("early_stop", O.with_ctes(*SPLIT_SAMPLE_CTES, select=f"SELECT TRUE AS stops_at_best, TRUE AS same_leading_trees, {VAL_ROWS_SQL}"))
+EARLY_ROUNDS = 4
+
+
+@register("early_stop", O.with_ctes(*MODEL_CTES, select=f"SELECT TRUE AS stops_at_best, TRUE AS fits_no_more, TRUE AS same_trees, {VAL_ROWS_SQL}"))
 def q_early_stop(spark, sf):
+    """Trees are fitted in blocks until validation stalls; the kept ones are those of one fit of that many."""
     xy = _xy(spark, sf)
-    gbt = M.boosted_trees("lightgbm", max_iter=2 * QUERY_TREES, step_size=0.5)
-    losses = gbt.fit(xy["train"]).evaluateEachIteration(xy["val"], "squared")
-    m = M.fit_with_validation(gbt, xy["train"], xy["val"], rounds=2)
-    again = m.evaluateEachIteration(xy["val"], "squared")
-    facts = (len(again) == M.stalled_at(losses, 2), all(abs(a - b) < 1e-6 * b for a, b in zip(again, losses)), xy["val"].count())
-    return spark.createDataFrame([facts], "stops_at_best boolean, same_leading_trees boolean, n_val long")
+    gbt, block = M.boosted_trees("lightgbm", step_size=0.5), 8
+    run = BoostingRun(gbt, xy["train"], xy["val"], sinks.shared_dir(spark, "early_stop"))
+    model = fit_until_stalled(run, EARLY_ROUNDS, block)
+    losses = model.evaluateEachIteration(xy["val"], "squared")
+    whole = gbt.copy({gbt.maxIter: model.getNumTrees}).fit(xy["train"]).evaluateEachIteration(xy["val"], "squared")
+    best = min(losses) == losses[-1] and min(run.losses) >= losses[-1] * (1 - 1e-9)
+    facts = (best, run.fitted <= len(losses) + EARLY_ROUNDS + block, all(abs(a - b) < 0.02 * b for a, b in zip(losses, whole)), xy["val"].count())
+    return spark.createDataFrame([facts], "stops_at_best boolean, fits_no_more boolean, same_trees boolean, n_val long")
 
 
 def _board(spark, sf):
@@ -325,7 +411,7 @@ def _board_facts(board: DataFrame) -> DataFrame:
 def _board_sql(names) -> str:
     rows = ", ".join(f"('{n}')" for n in (M.BASELINE, *names))
     return O.with_ctes(
-        *SPLIT_SAMPLE_CTES,
+        *MODEL_CTES,
         "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
         "\nb AS (SELECT round(sqrt(avg((total_amount - mu) * (total_amount - mu))), 6) AS rmse FROM splits, m WHERE split = 'val')",
         select=f"SELECT n AS \"Model\", CASE WHEN n = '{M.BASELINE}' THEN rmse END AS baseline_rmse, TRUE AS in_order FROM (VALUES {rows}) AS t(n), b",
@@ -337,47 +423,86 @@ def q_leaderboard(spark, sf):
     return _board_facts(_board(spark, sf))
 
 
-@register("best_model", "SELECT TRUE AS is_best, FALSE AS is_baseline")
+#: the mean baseline's validation error, which any model worth its name stays below
+BASE_CTES = (
+    *MODEL_CTES,
+    "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
+    "\nb AS (SELECT round(sqrt(avg((total_amount - mu) * (total_amount - mu))), 6) AS baseline_rmse, count(*) AS n_val FROM splits, m WHERE split = 'val')",
+)
+
+
+@register("best_model", O.with_ctes(*BASE_CTES, select="SELECT TRUE AS is_best, FALSE AS is_baseline, baseline_rmse FROM b"))
 def q_best_model(spark, sf):
     board = _board(spark, sf)
     best = M.best_model(board).first()
-    least = board.filter(F.col("Model") != M.BASELINE).agg(F.min("RMSE")).first()[0]
-    return spark.createDataFrame([(best["RMSE"] == least, best["Model"] == M.BASELINE)], "is_best boolean, is_baseline boolean")
+    rmse = {r["Model"]: r["RMSE"] for r in board.collect()}  # one row per model
+    base = rmse.pop(M.BASELINE)
+    return spark.createDataFrame([(best["RMSE"] == min(rmse.values()) < base, best["Model"] == M.BASELINE, base)], "is_best boolean, is_baseline boolean, baseline_rmse double")
 
 
 def _in_ranges(params) -> bool:
     return set(params) == set(QUERY_SPACE) and all(QUERY_SPACE[k][1] <= v <= QUERY_SPACE[k][2] for k, v in params.items())
 
 
+QUERY_TRIALS = 5
+
+
 def _search(spark, sf):
+    """The search with its pruning; also the baseline's validation error."""
     xy = _xy(spark, sf)
-    return M.param_search(xy["train"], xy["val"], n_trials=2, seed=42, early_stopping_rounds=2, space=QUERY_SPACE)
+    found = M.param_search(xy["train"], xy["val"], n_trials=QUERY_TRIALS, seed=42, early_stopping_rounds=2, space=QUERY_SPACE, eta=2, first_rung=2)
+    base = M.metrics_dict(M.mean_baseline(xy["train"], xy["val"]))["RMSE"]
+    return xy, found, base
 
 
-@register("param_search", "SELECT CAST(2 AS INTEGER) AS n_trials, TRUE AS in_ranges, TRUE AS best_is_least")
+@register(
+    "param_search",
+    O.with_ctes(*BASE_CTES, select=f"SELECT CAST({QUERY_TRIALS} AS INTEGER) AS n_trials, TRUE AS in_ranges, TRUE AS best_is_least, TRUE AS beats_baseline, baseline_rmse, n_val FROM b"),
+)
 def q_param_search(spark, sf):
-    best, params, trials = _search(spark, sf)
-    facts = (len(trials), _in_ranges(params), best == min(t.value for t in trials) and params in [t.params for t in trials if t.value == best])
-    return spark.createDataFrame([facts], "n_trials int, in_ranges boolean, best_is_least boolean")
+    xy, (best, params, trials), base = _search(spark, sf)
+    done = [t for t in trials if t.state == M.COMPLETE]
+    facts = (len(trials), _in_ranges(params), best == min(t.value for t in done) and params in [t.params for t in done if t.value == best], best < base, base, xy["val"].count())
+    return spark.createDataFrame([facts], "n_trials int, in_ranges boolean, best_is_least boolean, beats_baseline boolean, baseline_rmse double, n_val long")
 
 
-@register("trial_log", "SELECT CAST(n AS INTEGER) AS number, 'TrialState.COMPLETE' AS state, TRUE AS scored, TRUE AS in_ranges FROM range(2) t(n)")
+@register(
+    "trial_log",
+    O.with_ctes(*BASE_CTES, select=f"SELECT CAST(n AS INTEGER) AS number, TRUE AS known_state, TRUE AS scored, TRUE AS in_ranges, baseline_rmse FROM range({QUERY_TRIALS}) t(n), b"),
+)
 def q_trial_log(spark, sf):
-    _, _, trials = _search(spark, sf)
+    _, (_, _, trials), base = _search(spark, sf)
     ok = F.size("params") == len(QUERY_SPACE)
     for k, (_, lo, hi, _) in QUERY_SPACE.items():
         ok = ok & F.col("params")[k].between(lo, hi)
-    return M.trial_log(spark, trials).select("number", "state", (F.col("value") > 0).alias("scored"), ok.alias("in_ranges"))
+    known = F.col("state").isin(M.COMPLETE, M.PRUNED).alias("known_state")
+    return M.trial_log(spark, trials).select("number", known, (F.col("value") > 0).alias("scored"), ok.alias("in_ranges"), F.lit(base).alias("baseline_rmse"))
+
+
+def _final_sql() -> str:
+    fits = {"train_only": ("split = 'train'", RIDGE_ALPHA), "train_val": ("split IN ('train', 'val')", RIDGE_ALPHA)}
+    return O.with_ctes(
+        *MODEL_CTES,
+        *_linear_ctes(fits),
+        select=f"""SELECT fit AS mode, 'TEST' AS split, TRUE AS rule_holds, TRUE AS finite,
+          (SELECT round({LINEAR_RMSE_SQL}, 4) FROM lin WHERE split = 'test') AS ridge_rmse,
+          (SELECT count(*) FROM splits WHERE split = 'train' OR (split = 'val' AND fit = 'train_val')) AS n_fitted FROM lc""",
+    )
 
 
-@register("final_compare", "SELECT mode, 'TEST' AS split, TRUE AS rule_holds, TRUE AS finite FROM (VALUES ('train_only'), ('train_val')) AS t(mode)")
+@register("final_compare", _final_sql())
 def q_final_compare(spark, sf):
+    """The searched trees and a ridge, fitted on train and on train + val, scored on test."""
     xy = _xy(spark, sf)
-    _, params, _ = M.param_search(xy["train"], xy["val"], n_trials=1, seed=42, early_stopping_rounds=None, space=QUERY_SPACE)
+    params = M.draw_params(random.Random(42), QUERY_SPACE)
     result, _ = M.final_compare(spark, params, xy["train"], xy["val"], xy["test"])
     rmse = {r["mode"]: r["rmse"] for r in result.collect()}  # two rows
     better = "TRAIN+VAL" if rmse["train_val"] <= rmse["train_only"] else "TRAIN only"
-    return result.select("mode", "split", (F.col("better") == better).alias("rule_holds"), (F.col("rmse") < float("inf")).alias("finite"))
+    ridge = {mode: round(e, 4) for mode, e, _, _ in L.linear_compare(L.linear_moments(_linear_rows(spark, sf), by="split"), RIDGE_ALPHA)}
+    n_train, n_val = xy["train"].count(), xy["val"].count()
+    more = spark.createDataFrame([("train_only", ridge["train_only"], n_train), ("train_val", ridge["train_val"], n_train + n_val)], "mode string, ridge_rmse double, n_fitted long")
+    facts = result.select("mode", "split", (F.col("better") == better).alias("rule_holds"), (F.col("rmse") < float("inf")).alias("finite"))
+    return facts.join(more, "mode")
 
 
 # ============================================================ K: scoring
@@ -442,13 +567,13 @@ def q_reject_reasons(spark, sf):
 
 def _distance_model(spark, sf):
     """(assembler, regression) of the fare on the distance alone, fitted on the training rows."""
-    s = _splits(spark, sf).where(F.col("split") == "train").withColumn("label", F.col(TARGET))
+    s = _model_rows(spark, sf).where(F.col("split") == "train").withColumn("label", F.col(TARGET))
     pre = Pipeline(stages=[VectorAssembler(inputCols=["trip_distance"], outputCol="features")]).fit(s)
     return pre, M.linear_regression().fit(pre.transform(s))
 
 
 SCORED_SQL = O.with_ctes(
-    *SPLIT_SAMPLE_CTES,
+    *MODEL_CTES,
     JUDGED_SQL,
     "\nfit AS (SELECT regr_slope(total_amount, trip_distance) AS a, regr_intercept(total_amount, trip_distance) AS b FROM splits WHERE split = 'train')",
     select="""SELECT request_id, CASE WHEN reject_reason IS NULL THEN 'ok' ELSE 'rejected' END AS status, reject_reason,
@@ -484,12 +609,12 @@ def q_score_stream(spark, sf):
 # ============================================================ L: jobs
 @register(
     "preprocess_job",
-    O.with_ctes(*SPLIT_SAMPLE_CTES, select="SELECT trip_id, file_month, split FROM splits"),
+    O.with_ctes(*MODEL_CTES, select="SELECT trip_id, file_month, split FROM splits"),
 )
 def q_preprocess_job(spark, sf):
     out = sinks.shared_dir(spark, "preprocess_job")
     paths = jobs.preprocess_job(
-        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=MODEL_ROWS
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SAMPLE_ROWS_PER_MONTH
     )
     return spark.read.parquet(paths["splits"]).select("trip_id", "file_month", "split")
 
@@ -498,7 +623,7 @@ def q_preprocess_job(spark, sf):
 def q_training_job(spark, sf):
     out = sinks.shared_dir(spark, "training_job")
     paths = jobs.preprocess_job(
-        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=MODEL_ROWS
+        spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SAMPLE_ROWS_PER_MONTH
     )
     board = jobs.training_job(
         spark, "evaluate", paths["splits"], paths["preprocess"], f"{out}/artifacts", models=("linear_reg", "ridge", "lightgbm"),
