@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelane.constants import CATEGORICAL_FEATURES, IGNORE_SPLIT, NUMERIC_FEATURES, RIDGE_ALPHA, SAMPLE_ROWS_PER_MONTH, TARGET
+from farelane.constants import CATEGORICAL_FEATURES, FILE_MONTH, IGNORE_SPLIT, NUMERIC_FEATURES, RIDGE_ALPHA, SAMPLE_ROWS_PER_MONTH, TARGET
 from farelane.functions.calendar import holiday_calendar
 from farelane.ml import linear as L
 from farelane.ml import models as M
@@ -34,6 +34,7 @@ from farelane.plans.catalog import (
     _trips,
     register,
 )
+from farelane.plans.incremental import incremental_preprocess_job, read_published
 from farelane.sources import fixtures as fx
 from farelane.sources import sinks
 from farelane.streaming.score_stream import score_stream
@@ -619,6 +620,29 @@ def q_preprocess_job(spark, sf):
     return spark.read.parquet(paths["splits"]).select("trip_id", "file_month", "split")
 
 
+@register(
+    "incremental_preprocess",
+    O.with_ctes(
+        *SPLIT_CTES,
+        select="""SELECT file_month, split, count(*) AS n_rows, CAST(CASE WHEN file_month = (SELECT max(file_month) FROM splits) THEN 2 ELSE 1 END AS INTEGER) AS built_in
+        FROM splits GROUP BY file_month, split""",
+    ),
+)
+def q_incremental_preprocess(spark, sf):
+    """L1 run twice: without the newest month of a split, then with it; the second run builds that month alone."""
+    trips = sinks.materialize(_trips(spark, sf), "raw_trips")
+    newest = sampling.assign_split(trips).filter(F.col("split") != IGNORE_SPLIT).agg(F.max(FILE_MONTH)).first()[0]
+    root, raw = sinks.shared_dir(spark, "incremental"), sinks.shared_dir(spark, "raw_months")
+    built = []
+    for part in (F.col(FILE_MONTH) != newest, F.col(FILE_MONTH) == newest):
+        trips.filter(part).write.mode("append").partitionBy(FILE_MONTH).parquet(raw)
+        report = incremental_preprocess_job(spark, root, raw, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), sample_rows={"train": None, "val": None, "test": None}, fit=False)
+        built.append(report.built["splits"])
+    runs = spark.createDataFrame([(m, i) for i, months in enumerate(built, 1) for m in months], f"{FILE_MONTH} string, built_in int")
+    counts = read_published(spark, root, "splits").groupBy(FILE_MONTH, "split").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(runs, FILE_MONTH)
+
+
 @register("training_job", _board_sql(["LinearRegression", "Ridge", "GBT-lightgbm"]))
 def q_training_job(spark, sf):
     out = sinks.shared_dir(spark, "training_job")
