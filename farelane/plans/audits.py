@@ -389,9 +389,18 @@ def unmapped_boroughs(features: DataFrame, file_month: str = FILE_MONTH) -> Data
 
 
 def nunique_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Distinct non-NULL values per column (H13); ``approx`` uses HyperLogLog++ in one pass."""
+    """Distinct non-NULL values per column (H13); ``approx`` uses HyperLogLog++ in one pass.
+
+    Exactly: one distinct count per column, each of which reads its own column
+    alone, so a row is never copied once per column.
+    """
     cols = list(cols or df.columns)
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[fn(F.col(c)).alias(f"_u_{i}") for i, c in enumerate(cols)])
+    if not approx:
+        counts = [df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n_unique")).select(F.lit(c).alias("column"), "n_unique") for c in cols]
+        out = counts[0]
+        for more in counts[1:]:
+            out = out.unionByName(more)
+        return out
+    wide = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_u_{i}") for i, c in enumerate(cols)])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_u_{i}").cast("long").alias("n_unique")) for i, c in enumerate(cols)])
     return wide.select(F.explode(pairs).alias("_p")).select("_p.column", "_p.n_unique")

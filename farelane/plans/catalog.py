@@ -19,10 +19,10 @@ from farelane.functions.calendar import calendar_flags, holiday_calendar
 from farelane.functions.exprs import nan_as_null
 from farelane.operators import clean, features, joins, sampling, schema, stats
 from farelane.operators.geometry import zone_centroids
-from farelane.plans import audits
+from farelane.plans import audits, profiles
 from farelane.plans import oracle_sql as O
 from farelane.sources import fixtures as fx
-from farelane.sources import monthly, sinks
+from farelane.sources import footers, monthly, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RAW_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}  # same plans without output rounding
@@ -193,6 +193,30 @@ def q_schema_drift(spark, sf):
     return schema.schema_drift(schema.column_table(spark, files))
 
 
+@register(
+    "schema_type_drift",
+    O.with_ctes(
+        O.TRIPS,
+        select="""SELECT DISTINCT 'trips_' || file_month || '.parquet' AS file, c AS column, t AS type, r AS reference_type, TRUE AS nullable, TRUE AS reference_nullable
+        FROM trips, (VALUES ('passenger_count', 'bigint', 'double'), ('payment_type', 'string', 'int')) AS v(c, t, r) WHERE file_month >= '2025-01'""",
+    ),
+)
+def q_schema_type_drift(spark, sf):
+    """B1: monthly files of which the later ones have two columns in other types."""
+    t = _trips(spark, sf).select(*TRIP_COLS)
+    out = sinks.shared_dir(spark, "typed_months")
+    late = F.col(FILE_MONTH) >= "2025-01"
+    other = t.filter(late).withColumns({"passenger_count": F.col("passenger_count").cast("long"), "payment_type": F.col("payment_type").cast("string")})
+    files = []
+    for df in (t.filter(~late).withColumn("payment_type", F.col("payment_type").cast("int")), other):
+        written = f"{out}/{len(files)}"
+        df.withColumn("m", F.col(FILE_MONTH)).repartition("m").write.partitionBy("m").parquet(written)
+        files += [(f"{written}/m={r[0]}", f"trips_{r[0]}.parquet") for r in df.select(FILE_MONTH).distinct().orderBy(FILE_MONTH).collect()]
+    names = spark.createDataFrame([(f"m={n[6:-8]}", n) for _, n in files], "file string, name string")
+    columns = schema.column_table(spark, [f for f, _ in files]).join(names, "file").drop("file").withColumnRenamed("name", "file")
+    return footers.type_drift(columns)
+
+
 def _drift_frames(spark, sf):
     t = _trips(spark, sf)
     early = t.where(F.col(FILE_MONTH) < "2025-01").select(
@@ -929,6 +953,31 @@ def q_nunique_profile(spark, sf):
     return audits.nunique_profile(_trips(spark, sf).select(*TRIP_COLS))
 
 
+@register(
+    "profile_merge",
+    O.with_ctes(
+        O.TRIPS,
+        select="\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column, count(DISTINCT file_month) AS n_files, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_unique, TRUE AS near, TRUE AS near_whole FROM trips"
+            for c in TRIP_COLS[:-1]
+        ),
+    ),
+)
+def q_profile_merge(spark, sf):
+    """Profiles of two sets of months, stored one after the other and merged; beside them the exact counts."""
+    t = _trips(spark, sf).select(*TRIP_COLS)
+    path = sinks.shared_dir(spark, "profiles")
+    late = F.col(FILE_MONTH) >= "2025-01"
+    for part in (~late, late):
+        profiles.store_profiles(profiles.profile_files(t.filter(part)), path)
+    merged = profiles.merged_profile(profiles.stored_profiles(spark, path))
+    whole = profiles.merged_profile(profiles.profile_files(t.withColumn(FILE_MONTH, F.lit("all")))).select("column", F.col("n_unique").alias("n_whole"))
+    exact = audits.nunique_profile(t, TRIP_COLS[:-1]).select("column", F.col("n_unique").alias("n_exact"))
+    both = merged.join(whole, "column").join(exact, "column")
+    near = F.abs(F.col("n_unique") - F.col("n_exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("n_exact"))
+    return both.select("column", "n_files", "n_rows", "n_null", F.col("n_exact").alias("n_unique"), near.alias("near"), (F.abs(F.col("n_unique") - F.col("n_whole")) <= F.greatest(F.lit(1.0), 0.03 * F.col("n_whole"))).alias("near_whole"))
+
+
 def _bias_sql() -> str:
     """H6 over the split sample (build_splits) and its population, seeds 0, 1, 2, 3, 42."""
     pop = f"(SELECT *, {SPLIT_SQL_EXPR} AS split FROM feat) p0"
