@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.constants import CATEGORICAL_FEATURES, FEATURE_DROP, NUMERIC_FEATURES, TARGET
+from farelane.ml.categories import TableIndexer
 from farelane.operators.quantiles import exact_quantiles
 
 NULL_CATEGORY = "__null__"
@@ -128,12 +129,16 @@ def build_preprocess(
     categorical: Sequence[str] | None = None,
     output_col: str = "features",
     null_numeric_as_median: bool = True,
+    category_path: str | None = None,
 ) -> Pipeline:
     """Robust scaling of numerics + one-hot of categoricals -> ``features``.
 
     ``null_numeric_as_median``: Spark's linear and tree learners cannot take
     NaN, so a missing numeric value is placed at the training median (0 after
     scaling) instead of being passed through.
+
+    ``category_path``: keep the categories in a table under this folder and join
+    them (any number of categories, none on the driver) instead of in the model.
     """
     numeric = list(NUMERIC_FEATURES if numeric is None else numeric)
     categorical = list(CATEGORICAL_FEATURES if categorical is None else categorical)
@@ -147,9 +152,14 @@ def build_preprocess(
         text = [f"_cat_{c}" for c in categorical]
         idx = [f"_idx_{c}" for c in categorical]
         ohe = [f"_ohe_{c}" for c in categorical]
+        indexer = (
+            TableIndexer(inputCols=text, outputCols=idx, path=category_path)
+            if category_path
+            else StringIndexer(inputCols=text, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep")
+        )
         stages += [
             CategoryText(inputCols=categorical, outputCols=text),
-            StringIndexer(inputCols=text, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            indexer,
             OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"),
         ]
         assembled += ohe

@@ -27,16 +27,14 @@ from farelane.sources.monthly import parse_year_month
 
 
 def list_month_files(spark: SparkSession, src_dir: str, pattern: str = MONTH_FILE_GLOB) -> list[str]:
-    """Monthly files under ``src_dir`` sorted by name; FileNotFoundError when none (A1)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(src_dir.rstrip("/") + "/" + pattern)
-    fs = path.getFileSystem(conf)
-    found = fs.globStatus(path) or []
-    files = sorted(str(st.getPath().toString()) for st in found)
-    if not files:
-        raise FileNotFoundError(f"No files found under {src_dir}")
-    return files
+    """Paths of the monthly files in ``src_dir``, ordered by name (A1); FileNotFoundError where there are none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(f"{src_dir.rstrip('/')}/{pattern}")
+    matches = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    paths = sorted(m.getPath().toString() for m in matches or ())
+    if paths:
+        return paths
+    raise FileNotFoundError(f"nothing in {src_dir} matches {pattern}")
 
 
 def read_raw_months(spark: SparkSession, files: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -133,8 +131,8 @@ def evaluate(spark, train, val, artifact_dir: str, models: Sequence[str], seed:
     return spark.read.schema(M.LEADERBOARD_SCHEMA).json(sinks.write_metrics(board, f"{artifact_dir}/model_experiments") + "/json").orderBy("RMSE")
 
 
-def optimize(spark, train, val, artifact_dir: str, n_trials: int, timeout, seed: int, early_stopping_rounds, space: Mapping) -> DataFrame:
-    _, params, trials = M.param_search(train, val, n_trials, timeout, seed, early_stopping_rounds, space)
+def optimize(spark, train, val, artifact_dir: str, n_trials: int, timeout, seed: int, early_stopping_rounds, space: Mapping, search: Mapping) -> DataFrame:
+    _, params, trials = M.param_search(train, val, n_trials, timeout, seed, early_stopping_rounds, space, **search)
     log = M.trial_log(spark, trials)
     flat = log.withColumns({c: F.to_json(c) for c in ("params", "user_attrs")})
     sinks.write_metrics(flat, f"{artifact_dir}/optimize/trials")
@@ -156,12 +154,14 @@ def training_job(
     seed: int = DEFAULT_SEED,
     max_iter: int | None = None,
     space: Mapping = M.SEARCH_SPACE,
+    search: Mapping | None = None,
 ) -> DataFrame:
     """evaluate / optimize / test on the written splits (L2).
 
     Other modes, models to optimise other than lightgbm and unknown model
     names are errors, the first two before anything is read.  The transformed
-    splits are written once and read by every fit.
+    splits are written once and read by every fit.  ``search`` holds further
+    settings of the parameter search (pruning, trials side by side).
     """
     if mode not in TRAINING_MODES:
         raise ValueError(f"mode must be one of {TRAINING_MODES}, not {mode!r}")
@@ -172,7 +172,7 @@ def training_job(
     if mode == "evaluate":
         return evaluate(spark, train, val, artifact_dir, models, seed, max_iter)
     if mode == "optimize":
-        return optimize(spark, train, val, artifact_dir, n_trials, timeout, seed, early_stopping_rounds, space)
+        return optimize(spark, train, val, artifact_dir, n_trials, timeout, seed, early_stopping_rounds, space, search or {})
     params = sinks.read_json_text(spark, f"{artifact_dir}/optimize/best_params")
     result, model = M.final_compare(spark, params, train, val, test, seed)
     model.write().overwrite().save(f"{artifact_dir}/final/model")

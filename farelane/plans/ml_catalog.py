@@ -37,6 +37,7 @@ from farelane.plans.catalog import (
 from farelane.plans.incremental import incremental_preprocess_job, read_published
 from farelane.sources import fixtures as fx
 from farelane.sources import sinks
+from farelane.streaming.exactly_once import publish_model, read_committed, score_stream_exactly_once
 from farelane.streaming.score_stream import score_stream
 
 FEATURE_ROWS_CTES = (
@@ -173,6 +174,15 @@ def q_one_hot(spark, sf):
     return out.select("trip_id", *[F.array_position(vector_to_array(f"_ohe_{c}"), 1.0).alias(f"_ohe_{c}") for c in CATEGORICAL_FEATURES])
 
 
+@register("one_hot_table", O.with_ctes(*FEATURE_CTES, select="SELECT trip_id, " + ", ".join(f"_ohe_{c}" for c in CATEGORICAL_FEATURES) + " FROM slots"))
+def q_one_hot_table(spark, sf):
+    """I4 with the categories in a joined table: the same slots."""
+    s = _splits(spark, sf)
+    pre = P.build_preprocess(category_path=sinks.shared_dir(spark, "category_table"))
+    out = P.fit_preprocess(pre, s.where(F.col("split") == "train")).transform(s)
+    return out.select("trip_id", *[F.array_position(vector_to_array(f"_ohe_{c}"), 1.0).alias(f"_ohe_{c}") for c in CATEGORICAL_FEATURES])
+
+
 def _active_slots_sql() -> str:
     """The places of the ones behind the numeric columns, in order."""
     before, places = [], []
@@ -607,6 +617,33 @@ def q_score_stream(spark, sf):
     return spark.read.parquet(sink)
 
 
+@register(
+    "score_stream_exactly_once",
+    f"""SELECT request_id, CASE WHEN request_id % 50 = 7 THEN 'quarantined' ELSE status END AS status,
+      CASE WHEN request_id % 50 = 7 THEN 'malformed record' ELSE reject_reason END AS reject_reason,
+      {', '.join(f"CASE WHEN request_id % 50 <> 7 THEN {c} END AS {c}" for c in ('total_amount', 'currency', 'model'))}
+    FROM ({SCORED_SQL}) AS scored""",
+)
+def q_score_stream_exactly_once(spark, sf):
+    """K4 as transactions: JSON records, some of them cut short, in several batches; answers and quarantine together."""
+    src, sink, ckpt, registry = (sinks.shared_dir(spark, "stream_once", x) for x in ("requests", "sink", "checkpoint", "models"))
+    r = _requests(spark, sf)
+    text = F.to_json(F.struct(*r.columns))
+    cut = F.when(F.col("request_id") % 50 == 7, F.expr("substring(t, 1, length(t) - 1)")).otherwise(F.col("t"))
+    r.select("request_id", text.alias("t")).repartition(4, "request_id").select(cut.alias("value")).write.text(src)
+    publish_model(spark, registry, *_distance_model(spark, sf), "LinearRegressionModel")
+    score_stream_exactly_once(
+        spark, src, sink, ckpt, registry, _zones_repeated(spark), fx.fixture_zone_lookup(spark), holiday_calendar(spark), max_files_per_trigger=2
+    ).awaitTermination()
+    bad = read_committed(spark, sink, "quarantine").select(
+        F.regexp_extract("record", '"request_id":([0-9]+)', 1).cast("long").alias("request_id"),
+        F.lit("quarantined").alias("status"),
+        F.col("reason").alias("reject_reason"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("total_amount", "double"), ("currency", "string"), ("model", "string"))],
+    )
+    return read_committed(spark, sink).select(*bad.columns).unionByName(bad)
+
+
 # ============================================================ L: jobs
 @register(
     "preprocess_job",
@@ -655,3 +692,32 @@ def q_training_job(spark, sf):
     )
     return _board_facts(board)
 
+
+def _job_sql() -> str:
+    return O.with_ctes(
+        *MODEL_CTES,
+        "\nm AS (SELECT avg(total_amount) AS mu FROM splits WHERE split = 'train')",
+        "\nt AS (SELECT sqrt(avg((total_amount - mu) * (total_amount - mu))) AS baseline_rmse, count(*) AS n_test FROM splits, m WHERE split = 'test')",
+        select=f"""SELECT 'optimize' AS mode, CAST({QUERY_TRIALS} AS BIGINT) AS n_rows, TRUE AS holds, CAST(NULL AS DOUBLE) AS baseline_rmse, CAST(NULL AS BIGINT) AS n_test
+        UNION ALL SELECT 'test', 2, TRUE, round(baseline_rmse, 6), n_test FROM t""",
+    )
+
+
+@register("training_job_modes", _job_sql())
+def q_training_job_modes(spark, sf):
+    """L2 in the modes optimize and test: the search writes its best parameters, the last mode reads, fits and scores them."""
+    out = sinks.shared_dir(spark, "training_modes")
+    paths = jobs.preprocess_job(spark, out, fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), trips=_trips(spark, sf), sample_rows=SAMPLE_ROWS_PER_MONTH)
+    run = lambda mode, **kw: jobs.training_job(spark, mode, paths["splits"], paths["preprocess"], f"{out}/artifacts", **kw)
+    log = run("optimize", n_trials=QUERY_TRIALS, early_stopping_rounds=2, space=QUERY_SPACE, search={"eta": 2, "first_rung": 2}).collect()  # one row per trial
+    done = [t for t in log if t["state"] == M.COMPLETE]
+    params = sinks.read_json_text(spark, f"{out}/artifacts/optimize/best_params")
+    best = min(done, key=lambda t: t["value"])
+    found = params == {k: type(params[k])(v) for k, v in best["params"].items()}
+    result = {r["mode"]: r for r in run("test").collect()}  # two rows
+    rows = spark.read.parquet(paths["splits"])
+    test = rows.filter("split = 'test'").select(F.col(TARGET).cast("double").alias("label"))
+    base = M.metrics_dict(M.mean_baseline(rows.filter("split = 'train'").select(F.col(TARGET).cast("double").alias("label")), test))["RMSE"]
+    better = all(r["rmse"] < base for r in result.values())
+    facts = [("optimize", len(log), found, None, None), ("test", len(result), better, base, test.count())]
+    return spark.createDataFrame(facts, "mode string, n_rows long, holds boolean, baseline_rmse double, n_test long")
