@@ -3,21 +3,24 @@
 Each step is a grouping and a join on node ids, so links, components and
 labels stay distributed.  Every round is written to the shared folder, which
 cuts the lineage; the number of rounds grows with the logarithm of the longest
-chain.
+chain.  Whether a round changed anything is observed while it is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelane.llm.frames import materialize
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    """Tells two different sets of edges apart."""
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and a checksum that tells two different sets of edges apart."""
     h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.shiftright(h, 24))).first())
+    seen = Observation()
+    table = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(h, 24)).alias("s"), F.sum(h.bitwiseAND(0xFFFFFF)).alias("t")), "edges")
+    got = seen.get
+    return table, (got["n"], got["s"], got["t"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,9 +30,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     links the result is empty.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    edges = materialize(edges.distinct(), "edges")
-    seen = _checksum(edges)
-    while True:
+    edges, seen = _written(edges.distinct())
+    while seen[0]:
         # large star: every neighbour that is larger than a node goes to the smallest of the node and its neighbours
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -37,8 +39,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # small star: a node and its smaller neighbours all go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        after = materialize(small.filter(F.col("u") != F.col("v")).distinct(), "edges")
-        edges, before, seen = after, seen, _checksum(after)
+        before = seen
+        edges, seen = _written(small.filter(F.col("u") != F.col("v")).distinct())
         if seen == before:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
