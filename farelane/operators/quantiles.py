@@ -95,8 +95,12 @@ def exact_quantiles(
     found = []
     inner = list(keys)
     while True:
-        placed = sinks.materialize(_placed(hist, wanted, inner).select(*keys, "_bin", "_asked", "_rank", "_n", "_lo", "_hi"), "quantile_ranks")
+        placed = _placed(hist, wanted, inner).select(*keys, "_bin", "_asked", "_rank", "_n", "_lo", "_hi")
+        if shift:
+            placed = sinks.materialize(placed, "quantile_ranks")
         found.append(placed.filter("_lo = _hi").select(*keys, "_asked", F.col("_lo").alias("_value")))
+        if not shift:  # every bin is one value
+            break
         left = placed.filter("_lo < _hi")
         open_bins = left.select(*keys, "_bin", "_n").distinct()
         n_left = open_bins.agg(F.sum("_n")).first()[0]  # one number
@@ -105,7 +109,9 @@ def exact_quantiles(
         narrower = 0 if n_left <= last_pass else max(0, shift - bits)
         inner = [*keys, "_outer"]
         at = values.withColumn("_outer", F.shiftright("_key", shift))
-        hist = sinks.materialize(_histogram(null_safe_join(at, open_bins.select(*keys, F.col("_bin").alias("_outer")), inner), inner, narrower), "quantile_bins")
+        hist = _histogram(null_safe_join(at, open_bins.select(*keys, F.col("_bin").alias("_outer")), inner), inner, narrower)
+        if narrower:
+            hist = sinks.materialize(hist, "quantile_bins")
         wanted = left.select(*keys, F.col("_bin").alias("_outer"), "_asked", "_rank")
         shift = narrower
     values_at = found[0]
