@@ -110,6 +110,44 @@ def test_pages_follow_their_host(spark):
     assert html_main.extract(pages.limit(0)).count() == 0
 
 
+LONG = "A paragraph of the article that is long enough to be counted as text, with some more words at its end. "
+
+
+@pytest.mark.parametrize(
+    ("inner", "want"),
+    [
+        (f"<h1>T</h1><p>lead one</p><p>lead two</p><table><tr><td>{LONG * 9}</td></tr></table>", ["T", "lead one", "lead two", (LONG * 9).strip()]),
+        (f"<p>beside</p><section class=a><p>{LONG * 5}</p></section><section class=b><p>{LONG * 4}</p></section>", ["beside", (LONG * 5).strip(), (LONG * 4).strip()]),
+        (f"<header><h1>Title</h1></header><p>{LONG}</p>", ["Title", LONG.strip()]),
+        (f"<div class=entry-header>Title</div><p>{LONG}</p>", ["Title", LONG.strip()]),
+        (f"<p>{LONG} so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p>", [LONG + "so x=2 holds"]),
+        (f"<p>{LONG}</p><div class='share-price'>12.5</div><div class='notice-of-motion'>Moved.</div>", [LONG.strip(), "12.5", "Moved."]),
+        (f"<p>{LONG}</p><div class='share-buttons'>tweet</div><div class='ad-slot-3'>buy</div><div id='comment-list'><p>{LONG}</p></div>", [LONG.strip()]),
+        (f"<p>{LONG}</p><article class=comment><header>reader</header><p>{LONG * 9}</p></article>", [LONG.strip()]),
+    ],
+)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class=post>{}</div>", "<main><article>{}</article></main>"])
+def test_whole_articles(spark, inner, want, around):
+    """Nothing of the article is lost, alone and by the vote of its host."""
+    page = "<html><body class=has-sidebar><header><p>Site name</p></header><nav><a href=/>Home</a></nav>" + around.format(inner) + "<footer>f</footer></body></html>"
+    assert html_main.main_text(page, None).split("\n") == want
+    rows = [(1, "http://h/1", page), (2, "http://h/2", page.replace("lead", "start")), (1, "http://h/1", page)]
+    got = html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).filter("page_id = 1").collect()
+    assert [r["text"].split("\n") for r in got] == [want, want]
+
+
+def test_votes_that_tie_and_long_pages(spark):
+    one, two = f"<div class=x><p>{LONG}</p></div>", f"<div class=y><p>{LONG}</p></div>"
+    deep = "<div>" * 20_000 + "deep" + "</div>" * 20_000
+    many = "".join(f"<p>{i} {LONG}</p>" for i in range(20_000))
+    pages = [("http://t/1", one), ("http://t/2", two), ("http://t/3", one + two), ("http://d/1", deep), ("http://m/1", f"<div class=z>{many}</div>")]
+    table = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_main.extract(table).collect()}
+    assert got[0] == got[1] == LONG.strip() and got[3] == "deep"
+    assert got[2] == "\n".join([LONG.strip()] * 2)  # a third of the votes: its own path wins, too
+    assert got[4].count("\n") == 19_999 and got[4].startswith("0 A")
+
+
 def test_pages_of_the_small_table(spark):
     rows = E.queries()["op6_html"](spark, SF_SMALL).join(spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html"), "page_id").collect()
     assert len(rows) == 50
