@@ -29,7 +29,7 @@ from farelane.llm.frames import materialize
 SECRET_NAME = r"(?:secret|token|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)"
 #: a value that follows a secret-like name, of any characters when it is quoted; looked for only right after : or =
 ASSIGNED = (
-    r"(?<=[:=][ \t]{0,4}[\"']?)(?<=(?i:%s)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?)(?![A-Za-z][A-Za-z0-9+.-]{0,20}+://)"
+    r"(?<=[:= \t\"'])(?<=[:=][ \t]{0,4}[\"']?)(?<=(?i:%s)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?)(?![A-Za-z][A-Za-z0-9+.-]{0,20}+://)"
     r"(?:(?<=\")[^\s\"]{4,}+(?=\")|(?<=')[^\s']{4,}+(?=')|[^\s\"'&;,<>()]{4,}+)" % SECRET_NAME
 )
 #: a long token anywhere; a name or a padded value ends before a further =
@@ -48,14 +48,16 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | Non
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), path.alias("path"), text.alias("text"))
-    found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    gaps = F.split("text", CANDIDATE, -1)
+    # columns of their own: inside the generator or its functions of elements the patterns would be matched again and again
+    src = src.select("rid", "id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("gaps"))
+    src = src.filter(F.size("found") > 0)
+    found = F.col("found")
     near = F.transform(
-        gaps,
+        "gaps",
         # a name before the value may be a candidate itself, so what goes before a value includes the candidate in front of it
         lambda g, i: F.struct(
             F.length(g).alias("n"),
-            F.right(F.concat(F.coalesce(F.right(F.get(found, i - 1), F.lit(CONTEXT_CHARS)), F.lit("")), g), F.lit(CONTEXT_CHARS)).alias("before"),
+            F.right(F.concat(F.coalesce(F.right(F.get(found, i - 1), F.lit(CONTEXT_CHARS)), F.lit("")), F.right(g, F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS)).alias("before"),
             F.substring(g, 1, CONTEXT_CHARS).alias("after"),
         ),
     )
