@@ -3,11 +3,14 @@
 Four exact patterns give the base spans (email, ip, card, phone).  They are
 the seeds of a bootstrap: loosely shaped candidates are read with the words
 next to them, the lexical contexts are patterns, and Spark scores the
-pattern-instance graph in rounds.  A pattern's confidence in a kind is the
-share of its different instances that are of that kind; an instance's score is
-the noisy-or of its patterns.  Instances that reach ``MIN_SCORE`` through
-patterns with enough seeds, and have a shape the kind can have, are added as
-spans.  Base spans always stay, and added ones never overlap them.
+pattern-instance graph in rounds.  A pattern's confidence in a kind weighs its
+different instances: seeds and, by their score, found ones speak for it,
+instances of other kinds or of a shape that the kind cannot have speak against
+it, and instances that are not known yet count ``DOUBT`` against it.  An
+instance's score is the noisy-or of its patterns.  Instances that reach
+``MIN_SCORE`` support patterns as seeds do in the next round, so contexts that
+hold no seed are reached through found instances.  Those with a shape the kind
+can have are added as spans.  Base spans always stay, and added ones never overlap them.
 
 Spans count code points, ends are exclusive.  The scan writes only matches and
 gap lengths; positions are running sums per row and kind.
@@ -44,6 +47,8 @@ ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.8
+#: weight of an instance that could be of a kind and is not known yet, against a pattern's confidence in the kind
+DOUBT = 0.15
 
 
 def _digits(c) -> F.Column:
@@ -88,7 +93,8 @@ def possible(kind: str, value: F.Column) -> F.Column:
         return plain & value.rlike(r"^[0-9]{1,3}(?:[.:][0-9]{1,3}){3}$")
     if kind == "card":
         return plain & (n >= 12) & (n <= 19) & value.rlike(r"^[0-9][0-9 -]*[0-9]$")
-    return plain & (n >= 7) & (n <= 15) & value.rlike(r"^[+(]?[0-9][0-9 ()./-]*[0-9]$")
+    date = value.rlike(r"^(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$")
+    return plain & ~date & (n >= 7) & (n <= 15) & value.rlike(r"^[+(]?[0-9][0-9 ()./-]*[0-9]$")
 
 
 def _found(text: F.Column, pattern: str, needs: F.Column) -> tuple[F.Column, F.Column]:
@@ -167,23 +173,35 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return each.select("rid", "i", "m", (end - F.length("m")).alias("start"), end.alias("end"), value.alias("value"), seed.alias("seed"), patterns.alias("patterns"))
 
 
-def _scores(found: DataFrame, rounds: int, min_seeds: int, min_confidence: float) -> DataFrame:
+def _scores(found: DataFrame, rounds: int, min_seeds: int, min_confidence: float, min_score: float = MIN_SCORE) -> DataFrame:
     """value, kind, score of the instances that are no seeds."""
-    seeds = found.filter(F.col("seed").isNotNull()).select("value", F.col("seed").alias("kind")).distinct().withColumn("score", F.lit(1.0))
-    edges = materialize(found.select("value", F.explode("patterns").alias("pattern")).distinct(), "pii_edges")
-    known = seeds.select("value").distinct()
-    open_edges = edges.join(known, "value", "left_anti")
-    degree = edges.groupBy("pattern").agg(F.count("*").alias("degree"))
-    support = edges.join(seeds, "value").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds)
-    usable = materialize(support.join(degree, "pattern").select("pattern", "kind", "degree"), "pii_patterns")
+    about = [F.max(F.coalesce(F.col("seed") == k, F.lit(False))).alias(f"seed_{k}") for k in KINDS]
+    about += [F.max(possible(k, F.col("m"))).alias(f"can_{k}") for k in KINDS]
+    facts = found.groupBy("value").agg(*about, F.max(F.col("seed").isNotNull()).alias("known"))
+    links = found.select("value", F.explode("patterns").alias("pattern")).distinct()
+    edges = materialize(links.join(facts, "value"), "pii_edges")
+    unknown = edges.filter(~F.col("known")).select("value", "pattern", *[f"can_{k}" for k in KINDS])
     scores = None
     for _ in range(rounds):
-        every = seeds if scores is None else seeds.union(scores)
-        mass = edges.join(every, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-        trusted = mass.join(usable, ["pattern", "kind"]).withColumn("confidence", F.col("mass") / (F.col("degree") + 1))
-        trusted = trusted.filter(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence")
+        every = edges
+        if scores is not None:
+            wide = scores.groupBy("value").agg(*[F.max(F.when(F.col("kind") == k, F.col("score"))).alias(f"score_{k}") for k in KINDS])
+            every = edges.join(wide, "value", "left")
+        sums = []
+        for k in KINDS:
+            seed, can = F.col(f"seed_{k}"), F.col(f"can_{k}")
+            score = F.coalesce(F.col(f"score_{k}"), F.lit(0.0)) if scores is not None else F.lit(0.0)
+            score = F.when(seed, 1.0).when(F.col("known") | ~can, 0.0).otherwise(score)
+            against = F.when(seed, 0.0).when(F.col("known") | ~can, 1.0).otherwise(DOUBT * (1 - score))
+            sums.append(F.struct(F.lit(k).alias("kind"), F.sum(score).alias("mass"), F.sum(against).alias("against"), F.sum((score >= min_score).cast("int")).alias("support")))
+        judged = every.groupBy("pattern").agg(F.array(*sums).alias("kinds")).select("pattern", F.inline("kinds"))
+        judged = judged.withColumn("confidence", F.col("mass") / (F.col("mass") + F.col("against") + 1))
+        trusted = judged.filter((F.col("support") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "kind", "confidence")
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-        scores = open_edges.join(trusted, "pattern").groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score"))
+        fits = F.lit(False)
+        for k in KINDS:
+            fits = fits | ((F.col("kind") == k) & F.col(f"can_{k}"))
+        scores = unknown.join(trusted, "pattern").filter(fits).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score"))
         scores = materialize(scores, "pii_scores")
     return scores
 
@@ -201,7 +219,7 @@ def spans(
     rows = materialize(_scan(docs, id_col, text_col), "pii_rows")
     base = materialize(_base(rows), "pii_base")
     found = materialize(_candidates(rows), "pii_candidates")
-    scores = _scores(found, rounds, min_seeds, min_confidence).filter(F.col("score") >= min_score)
+    scores = _scores(found, rounds, min_seeds, min_confidence, min_score).filter(F.col("score") >= min_score)
     new = found.filter(F.col("seed").isNull()).join(scores, "value")
     fits = F.lit(False)
     place = F.lit(0)

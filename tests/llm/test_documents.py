@@ -260,3 +260,39 @@ def test_personal_data_bootstrap(make_docs):
     got = {x["doc_id"]: x for x in pii.report(make_docs(rows)).collect()}
     assert all(got[i]["n_added"] == 0 for i in [*range(40), *range(200, 220)])
     assert all(got[100 + i]["n_added"] == 1 and got[100 + i]["spans"].startswith("phone:") for i in range(5))
+
+
+def added_spans(table, texts, **options):
+    """id -> the added spans' (kind, text)."""
+    got = {}
+    for r in pii.report(table, **options).collect():
+        base = set(r["base"].split(",")) if r["base"] else set()
+        for x in r["spans"].split(",") if r["spans"] else []:
+            if x not in base:
+                kind, start, end = x.split(":")
+                got.setdefault(r["doc_id"], set()).add((kind, texts[r["doc_id"]][int(start) : int(end)]))
+    return got
+
+
+def test_personal_data_half_unseen(make_docs):
+    """A context is trusted when half of its identifiers are unseen, and not when most are of an impossible shape or another kind."""
+    texts = {i: f"please phone +49 30 55{i:06d} today" for i in range(60)}
+    texts |= {100 + i: f"please phone 030 66{i:06d} today" for i in range(60)}
+    texts |= {200 + i: f"on the date +49 40 77{i:06d} we met" for i in range(20)}
+    texts |= {300 + i: f"on the date 2024-{1 + i % 12:02d}-{10 + i % 18} we met" for i in range(60)}
+    texts |= {400 + i: f"order number 88{i:07d} was sent" for i in range(60)}
+    got = added_spans(make_docs(list(texts.items())), texts)
+    assert {i: got.get(i) for i in range(100, 160)} == {i: {("phone", texts[i][13:-6])} for i in range(100, 160)}
+    assert set(got) == set(range(100, 160))
+
+
+def test_personal_data_second_round(make_docs):
+    """A context without any seed is reached through the instances found in the first round."""
+    texts = {i: f"please phone +49 30 55{i:06d} today" for i in range(60)}
+    texts |= {100 + i: f"please phone 030 66{i:06d} today" for i in range(30)}
+    texts |= {200 + i: f"her extension 030 66{i:06d} rings" for i in range(30)}  # the same numbers
+    texts |= {300 + i: f"her extension 040 99{i:06d} rings" for i in range(20)}  # new ones
+    table = make_docs(list(texts.items()))
+    one, three = added_spans(table, texts, rounds=1), added_spans(table, texts, rounds=3)
+    assert set(range(100, 130)) <= set(one) and not set(range(300, 320)) & set(one)
+    assert set(range(300, 320)) <= set(three)
