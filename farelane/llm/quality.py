@@ -1,7 +1,7 @@
 """Operator 10 - quality rules, line first.
 
 Every line is judged on its own (punctuation, symbols, shouting, navigation,
-repetition, boilerplate phrases); failing lines are removed; a document that
+repetition, boilerplate phrases), menus of one entry a line by the run of such lines; failing lines are removed; a document that
 loses too large a share of its text is rejected.  Everything is computed over
 whole texts, one pass, no shuffle.
 
@@ -30,6 +30,8 @@ SEPARATORS = b"|>"
 TERMINAL = ".!?:;\"')]}…”“’‘»«›‹。．！？：；）」』】》、；؟۔।॥։;།።។။"
 #: Thai and Lao end sentences with a space; a line that ends in them has no open end
 UNMARKED = (0x0E00, 0x0EFF)
+#: marks that stand alone between the entries of a menu or a path
+_DIVIDERS = np.array(sorted(int.from_bytes(c.encode(), "big") for c in "|>/»›·•→–—-"))
 _TERMINAL = np.array(sorted({int.from_bytes(c.encode(), "big") for c in [*TERMINAL, *map(chr, range(UNMARKED[0], UNMARKED[1] + 1))]}))
 BOILERPLATE = (
     b"all rights reserved",
@@ -49,6 +51,12 @@ BOILERPLATE = (
 )
 
 
+#: ASCII punctuation between and after words, and the first bytes of characters of three and four bytes
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[list(b".,;:!?()\"")] = True
+_PUNCTUATION[0xE0:] = True
+
+
 @dataclass(frozen=True)
 class Rules:
     """Thresholds of the line rules and of the document rule; shares are per word of the line."""
@@ -65,6 +73,13 @@ class Rules:
     max_adjacent: float = 0.3
     adjacent_from_words: int = 8
     end_from_words: int = 40
+    #: a line of at least so many words without any punctuation has no sentence structure
+    plain_from_words: int = 25
+    #: entries of a menu line between marks such as dots and arrows, and of a menu with one entry a line
+    menu_separators: int = 3
+    menu_entry_words: int = 4
+    menu_run_lines: int = 6
+    menu_line_words: int = 3
     boilerplate_words: int = 30
     max_lost: float = 0.45
 
@@ -114,7 +129,7 @@ def _group(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.n
     same[order[1:]] = key[order][1:] == key[order][:-1]
     dup = np.bincount(line_row[filled][same], minlength=n_rows)
 
-    fails = _failing_lines(raw, ls, le, w0, w1, starts, hashes, symbol, rules)
+    fails = _failing_lines(raw, ls, le, w0, w1, starts, ends, hashes, symbol, line_row, rules)
     line_chars = char_sum[w1] - char_sum[w0]
     lost = np.bincount(line_row, weights=np.where(fails, line_chars, 0), minlength=n_rows)
     word_chars = char_sum[first[1:]] - char_sum[first[:-1]]
@@ -135,7 +150,7 @@ def _group(raw: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, np.n
     }
 
 
-def _failing_lines(raw, ls, le, w0, w1, starts, hashes, symbol, rules: Rules) -> np.ndarray:
+def _failing_lines(raw, ls, le, w0, w1, starts, ends, hashes, symbol, line_row, rules: Rules) -> np.ndarray:
     """True for each line that fails a rule; lines without words never fail (they hold no text)."""
     n = w1 - w0
     share = np.maximum(n, 1)
@@ -167,12 +182,44 @@ def _failing_lines(raw, ls, le, w0, w1, starts, hashes, symbol, rules: Rules) ->
     fails |= (n >= rules.distinct_from_words) & (different < rules.min_distinct * n)
     fails |= (n >= rules.adjacent_from_words) & (twice > rules.max_adjacent * n)
     fails |= (n >= rules.end_from_words) & open_end
+    # no punctuation at all; letters of three and four bytes may hide marks of other scripts, so lines with them are left to the rule above
+    marks = count(_PUNCTUATION)
+    fails |= (n >= rules.plain_from_words) & open_end & (marks == 0)
+    dividers = tb.prefix(np.isin(_short_words(raw, starts, ends), _DIVIDERS))
+    dividers = dividers[w1] - dividers[w0]
+    fails |= (dividers >= rules.menu_separators) & (n - dividers <= rules.menu_entry_words * (dividers + 1))
+    fails |= _menu_runs(raw, starts, w0, n, open_end, line_row, rules)
     hits = _phrases(tb.LOWER[raw].tobytes())
     phrase = np.searchsorted(hits, le) > np.searchsorted(hits, ls)
     fails |= phrase & (n <= rules.boilerplate_words)
     return fails & full
 
 
+def _short_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes of each word of at most three, as one number; 0 for longer ones."""
+    out = np.zeros(len(starts), np.int64)
+    size = ends - starts
+    for k in range(3):
+        more = (size <= 3) & (size > k)
+        out[more] = (out[more] << 8) | raw[starts[more] + k]
+    return out
+
+
+def _menu_runs(raw, starts, w0, n, open_end, line_row, rules: Rules) -> np.ndarray:
+    """True for lines in runs of short title-like ones; lines without words do not end a run."""
+    out = np.zeros(len(n), bool)
+    full = np.flatnonzero(n)
+    if not len(full):
+        return out
+    head = raw[starts[w0[full]]]
+    entry = (n[full] <= rules.menu_line_words) & open_end[full] & ((head >= 65) & (head <= 90) | (head >= 0xC3))
+    change = np.ones(len(full), bool)
+    change[1:] = (entry[1:] != entry[:-1]) | (line_row[full][1:] != line_row[full][:-1])
+    run = np.cumsum(change) - 1
+    out[full] = entry & (np.bincount(run)[run] >= rules.menu_run_lines)
+    return out
+
+
 def _phrases(text: bytes) -> np.ndarray:
     """Sorted places of the boilerplate phrases."""
     found = []

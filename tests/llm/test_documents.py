@@ -296,3 +296,25 @@ def test_personal_data_second_round(make_docs):
     one, three = added_spans(table, texts, rounds=1), added_spans(table, texts, rounds=3)
     assert set(range(100, 130)) <= set(one) and not set(range(300, 320)) & set(one)
     assert set(range(300, 320)) <= set(three)
+
+
+def test_quality_menus(make_docs):
+    """Menus and word lists fail, headings, short lists and clean prose stay."""
+    r = random.Random(5)
+    words = prose(3, 400).replace(".", "").replace(",", "").lower().split()
+    clean = "\n".join(f"{prose(i, 18).rstrip('.')}." for i in range(8))
+    bad = {
+        1: "\n".join(w.title() for w in words[:12]),
+        2: " · ".join(w.title() for w in words[:12]),
+        3: " › ".join(" ".join(words[3 * i : 3 * i + 3]).title() for i in range(16)),
+        4: "\n".join(" ".join(r.choice(words) for _ in range(30)) for _ in range(20)),
+    }
+    good = {
+        11: clean,
+        12: "The Heading\n" + clean + "\nOne\nTwo\nThree",
+        13: clean + "\n" + "Это длинная строка без точки " * 2,
+        14: clean.replace(" ", " - ", 1),
+    }
+    got = {x["doc_id"]: x for x in quality.judge(make_docs([*bad.items(), *good.items()])).collect()}
+    assert [i for i in bad if got[i]["kept"]] == []
+    assert [i for i in good if not got[i]["kept"] or got[i]["n_failed_lines"]] == []
