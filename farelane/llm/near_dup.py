@@ -285,6 +285,14 @@ def _facing(opened: DataFrame, reps: DataFrame, threshold: int, most: int | None
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
 
 
+def _together(tables: list[DataFrame]) -> DataFrame:
+    """One scan of tables that were written with the same columns."""
+    if len(tables) == 1:
+        return tables[0]
+    folders = sorted({f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()})
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*folders)
+
+
 def _some(df: DataFrame) -> bool:
     return df.limit(1).count() > 0
 
@@ -301,33 +309,35 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps = materialize(reps.select("id", full["n"], "sig").distinct(), "representatives")
 
     labels: DataFrame | None = None
-    sets: DataFrame | None = None
-    seen: DataFrame | None = None
+    sets: list[DataFrame] = []  # written tables of disjoint documents
+    seen: list[DataFrame] = []
 
     def follow(pairs: DataFrame, best_first: bool = False) -> None:
         """Confirm the pairs that are new and still apart, and merge their links."""
-        nonlocal labels, sets, seen
+        nonlocal labels
         pairs = pairs.distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        if seen:
+            pairs = pairs.join(_together(seen).select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(_unresolved(_candidates(pairs, reps, threshold), labels), "candidates")
         if not _some(pairs):
             return
-        seen = pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b"))
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            ids = ids.join(sets.select("id"), "id", "left_anti")
+        seen.append(pairs)
+        # the ends are written before they are looked up, or the look-up would run over the pairs
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+        if sets:
+            ids = materialize(ids.join(_together(sets).select("id"), "id", "left_anti"), "new_ends")
         wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
         if wanted.any():
-            more = materialize(_sets(src, sc.broadcast(wanted), shingle), "sets")
-            sets = more if sets is None else sets.join(more.select("id"), "id", "left_anti").union(more)
+            listed = sc.broadcast(wanted)
+            sets.append(materialize(_sets(src, listed, shingle).join(ids, "id", "left_semi"), "sets"))
+            listed.unpersist()
         if not best_first:
-            labels = _merged(labels, materialize(_confirm(pairs, sets, threshold), "links"))
+            labels = _merged(labels, materialize(_confirm(pairs, _together(sets), threshold), "links"))
         else:  # most links: first every document against its most similar partner, then what is still apart
             best = pairs.groupBy("b").agg(F.max(F.struct("agree", "a", "na", "nb")).alias("p")).select("p.a", "b", "p.na", "p.nb")
-            labels = _merged(labels, materialize(_confirm(best, sets, threshold), "links"))
+            labels = _merged(labels, materialize(_confirm(best, _together(sets), threshold), "links"))
             rest = _unresolved(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), labels)
-            labels = _merged(labels, materialize(_confirm(rest, sets, threshold), "links"))
+            labels = _merged(labels, materialize(_confirm(rest, _together(sets), threshold), "links"))
 
     entries, facing, depth = _roots(reps, trees), None, 0
     while True:
