@@ -2,7 +2,7 @@
 
 Each step is a grouping and a join on node ids, so links, components and
 labels stay distributed.  Every round is written to the shared folder, which
-cuts the lineage; the number of rounds grows with the logarithm of the longest
+cuts the lineage, and takes the place of the one before; the number of rounds grows with the logarithm of the longest
 chain.  Whether a round changed anything is observed while it is written.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from farelane.llm.frames import materialize
+from farelane.llm.frames import discard, materialize
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -39,8 +39,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # small star: a node and its smaller neighbours all go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        before = seen
+        before, old = seen, edges
         edges, seen = _written(small.filter(F.col("u") != F.col("v")).distinct())
+        discard(old)
         if seen == before:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from farelane.sources.sinks import materialize, shared_dir
 
-__all__ = ["add_columns", "arrow_map", "materialize", "read_table", "shared_dir", "with_key"]
+__all__ = ["add_columns", "arrow_map", "discard", "materialize", "read_table", "shared_dir", "with_key"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,19 @@ def with_key(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.monotonically_increasing_id())
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote.
+
+    Only for tables whose readers have all been written themselves, so that a
+    lost executor never needs them again.
+    """
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` over single batches."""
 
