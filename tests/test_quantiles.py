@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from farelane.operators.quantiles import exact_quantiles, ordered_key
+from farelane.operators.quantiles import exact_quantiles, ordered_key, with_ordered_key
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
 
@@ -83,3 +83,13 @@ def test_a_pass_holds_bins_not_values(spark, monkeypatch):
     assert row["quantiles"] == pytest.approx([0.37 * 0.01 * 199_999 + 5, 0.37 * 0.99 * 199_999 + 5], rel=1e-12)
     assert max(n for name, n in sizes if name == "quantile_bins") <= 4 * 256
     assert max(n for name, n in sizes if name == "quantile_ranks") <= 4
+
+
+def test_key_forms_its_logarithm_once(spark):
+    """Before, the plan spelt the logarithm out some twenty times for every value."""
+    xs = [0.0, -0.0, 1.0, -1.0, 0.1, 3.0, 2.0**-1074, -(2.0**-1022), 1.7e308, float("inf"), float("-inf"), 1 / 3, 8.0, -7.999999999999999]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(2)
+    keyed = with_ordered_key(df, "x", "k")
+    assert all(a == b for a, b in keyed.select("k", ordered_key(F.col("x"))).collect())
+    plan = keyed.groupBy(F.shiftright("k", 20)).count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LOG2(") == 1 and plan.count("POWER(") == 1
