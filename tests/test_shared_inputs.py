@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from farelane.plans import catalog, ml_catalog
+from farelane.functions.calendar import holiday_calendar
+from farelane.plans import catalog, jobs, ml_catalog
+from farelane.sources import fixtures as fx
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +34,12 @@ def test_persist_pipeline_joins_features_of_repeated_trips_alone(spark, sf):
     assert n.filter("count = 2").count() > 0
     got = {r[0]: r[1] for r in out.groupBy("trip_id").count().collect()}
     assert got == {r[0]: r[1] ** 2 for r in n.collect()}
+
+
+def test_features_are_built_from_written_rows(spark, sf):
+    """Before, cleaning and features were one stage, whose generated method the JVM leaves uncompiled (over 8,000 bytes)."""
+    built = jobs.clean_and_build(fx.load_trips(spark, sf), fx.fixture_zone_lookup(spark), fx.fixture_zones(spark), holiday_calendar(spark))
+    query = catalog._features(spark, sf, src=catalog._cleaned(spark, sf))
+    for df in (built, query):
+        assert df.inputFiles() and all("/cleaned/" in f for f in df.inputFiles())
+    assert sorted(map(str, built.collect())) == sorted(map(str, query.collect()))
