@@ -7,9 +7,8 @@ members go on to one child per choice and token.  Nodes of at most ``LEAF``
 members are compared exhaustively; in a larger node every member is compared
 with the node's pivot.  If at most ``LEAF`` members then lie outside the node's
 largest component, or at most a share of ``DENSE``, they are compared with all
-others by signature: first the nearest are confirmed, and for what is still
-apart then every member that passes the estimate; if more, the node is branched
-further.  Pairs that pass the length bound
+others on the full sets, block by block inside tasks; if more, the node is
+branched further.  Other pairs that pass the length bound
 and the signature estimate are confirmed on the full shingle sets, and links
 are merged into components.  Similar sets share a child with a probability of
 at least their similarity at each position, so the trees together reach the
@@ -51,9 +50,8 @@ MIN_AGREE = 0.75 - 3 * (0.75 * 0.25 / TOKENS) ** 0.5
 #: nodes that are still large at this depth are compared exhaustively
 MAX_DEPTH = 5
 #: a large node is dense if at most this share of its members lies outside its largest component; what lies outside is then
-#: compared with all members by signature; the ``NEAREST`` ones of each block are confirmed first, the others only for members still apart
+#: compared with all members on the full sets
 DENSE = 0.3
-NEAREST = 4
 BLOCK = 1024
 
 _rng = np.random.default_rng(4)
@@ -242,11 +240,71 @@ def _open_nodes(shared: DataFrame, labels: DataFrame | None, leaf: int) -> DataF
     return named.join(nodes.filter("rest > 0"), "node")
 
 
+def _facing_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """a < b: links on full sets between members of different components of a node.
+
+    Each member outside a node's largest component is compared with every
+    member of another component.  Both sides are cut into blocks of about
+    ``BLOCK`` members; the pairs of two blocks stay inside a task, which returns
+    only links that join components not yet joined there, so fewer than it has
+    components, however many pairs are alike.
+    """
+
+    def blocks(n):
+        return F.ceil(F.col(n) / BLOCK).cast("int")
+
+    def salt(n, seed):
+        return F.pmod(F.xxhash64("id", F.lit(seed)), blocks(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+
+    full = opened.join(sets.filter(F.size("items") > 0).select("id", "items"), "id")
+    left = full.select("node", salt("all", 1).alias("x"), every("rest").alias("y"), "id", "component", "items")
+    few = full.filter(F.col("component") != F.col("major")).select("node", every("all").alias("x"), salt("rest", 2).alias("y"), "id", "component", "items")
+    right = few.select(*[F.col(c).alias(c) for c in few.columns])  # columns of their own, since both sides come from one table
+
+    def compare(members: pa.Table, few: pa.Table) -> pa.Table:
+        def read(t):
+            sizes = t["items"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            return t["id"].to_numpy(), t["component"].to_numpy(), sizes, tb.prefix(sizes), t["items"].combine_chunks().flatten().to_numpy()
+
+        out = []
+        if len(members) and len(few):
+            ids, comps, sizes, first, items = read(members)
+            codes, items = np.unique(items, return_inverse=True)
+            joined: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while joined.get(c, c) != c:
+                    joined[c] = c = joined.get(joined[c], joined[c])
+                return c
+
+            its_ids, its_comps, its_sizes, its_first, its_items = read(few)
+            for i, c, n, lo in zip(its_ids.tolist(), its_comps.tolist(), its_sizes.tolist(), its_first[:-1].tolist(), strict=True):
+                mine = its_items[lo : lo + n]
+                at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
+                mark = np.zeros(len(codes), np.int64)
+                mark[at[codes[at] == mine]] = 1
+                both = np.add.reduceat(mark[items], first[:-1])
+                alike = np.flatnonzero((comps != c) & (100 * both >= threshold * (sizes + n - both)))
+                for j in alike[np.unique(comps[alike], return_index=True)[1]].tolist():
+                    one, other = root(c), root(int(comps[j]))
+                    if one != other:
+                        joined[max(one, other)] = min(one, other)
+                        out.append((min(i, int(ids[j])), max(i, int(ids[j]))))
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    keys = ["node", "x", "y"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
+
+
 def _facing(opened: DataFrame, reps: DataFrame, threshold: int, most: int | None = None) -> DataFrame:
     """a < b: each member outside a node's largest component with every member of another component that passes the length bound and the signature estimate.
 
     Both sides are cut into blocks of about ``BLOCK`` members; with ``most``
-    only so many of each block, those whose signatures agree most.
+    only so many of each block, those whose signatures agree most.  ``components`` no
+    longer asks for these pairs: their number grows with the square of a group.
     """
 
     def blocks(n):
@@ -312,6 +370,18 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets: list[DataFrame] = []  # written tables of disjoint documents
     seen: list[DataFrame] = []
 
+    def fetch(ids: DataFrame) -> None:
+        """Write the sets of the documents that have none written yet."""
+        # the ids are written before they are looked up, or the look-up would run over the pairs
+        ids = materialize(ids.distinct(), "ends")
+        if sets:
+            ids = materialize(ids.join(_together(sets).select("id"), "id", "left_anti"), "new_ends")
+        wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
+        if wanted.any():
+            listed = sc.broadcast(wanted)
+            sets.append(materialize(_sets(src, listed, shingle).join(ids, "id", "left_semi"), "sets"))
+            listed.unpersist()
+
     def follow(pairs: DataFrame, best_first: bool = False) -> None:
         """Confirm the pairs that are new and still apart, and merge their links."""
         nonlocal labels
@@ -322,15 +392,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not _some(pairs):
             return
         seen.append(pairs)
-        # the ends are written before they are looked up, or the look-up would run over the pairs
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-        if sets:
-            ids = materialize(ids.join(_together(sets).select("id"), "id", "left_anti"), "new_ends")
-        wanted = bitmap.collect(ids.select(F.xxhash64("id").alias("h")), "h")
-        if wanted.any():
-            listed = sc.broadcast(wanted)
-            sets.append(materialize(_sets(src, listed, shingle).join(ids, "id", "left_semi"), "sets"))
-            listed.unpersist()
+        fetch(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         if not best_first:
             labels = _merged(labels, materialize(_confirm(pairs, _together(sets), threshold), "links"))
         else:  # most links: first every document against its most similar partner, then what is still apart
@@ -339,11 +401,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rest = _unresolved(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), labels)
             labels = _merged(labels, materialize(_confirm(rest, _together(sets), threshold), "links"))
 
-    entries, facing, depth = _roots(reps, trees), None, 0
+    entries, depth = _roots(reps, trees), 0
     while True:
         shared = _shared(entries, leaf)
-        pairs = _node_pairs(shared, leaf if depth < MAX_DEPTH else 1 << 62)
-        follow(pairs if facing is None else pairs.union(facing), best_first=not depth)
+        follow(_node_pairs(shared, leaf if depth < MAX_DEPTH else 1 << 62), best_first=not depth)
         depth += 1
         if depth > MAX_DEPTH:
             break
@@ -352,11 +413,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         dense = (F.col("rest") <= leaf) | (F.col("rest") <= DENSE * F.col("all"))
         entries = _children(opened.filter(~dense).select("id", "node"), reps)
-        opened, facing = opened.filter(dense), None
+        opened = opened.filter(dense)
         if _some(opened):
-            follow(materialize(_facing(opened, reps, threshold, NEAREST), "nearest"))
-            left = _open_nodes(shared.join(opened.select("node").distinct(), "node", "left_semi"), labels, leaf)
-            facing = materialize(_facing(materialize(left, "open_nodes"), reps, threshold).distinct(), "facing")
+            fetch(opened.select("id"))
+            labels = _merged(labels, materialize(_facing_links(opened, _together(sets), threshold), "links"))
     return _assigned(rows, groups, labels)
 
 
