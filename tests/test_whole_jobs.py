@@ -44,3 +44,20 @@ def test_final_compare_fits_parameters_of_the_full_ranges(spark, rows, monkeypat
     with pytest.raises(Reached):
         C.q_final_compare(spark, SF)
     assert seen["best_params"] == M.draw_params(random.Random(42)) and seen["best_params"]["n_estimators"] >= 500
+
+
+@pytest.mark.parametrize("query", [C.q_leaderboard, C.q_best_model])
+def test_leaderboard_fits_full_presets(spark, rows, monkeypatch, query):
+    seen = given(monkeypatch, M, "leaderboard")
+    with pytest.raises(Reached):
+        query(spark, SF)
+    boosted = {m.name: m.estimator for m in seen["models"] if m.name.startswith("GBT-")}
+    assert {n: (e.getMaxIter(), e.getMaxDepth()) for n, e in boosted.items()} == {f"GBT-{n}": (p["max_iter"], p["max_depth"]) for n, p in BOOSTED_PRESETS.items()}
+
+
+def test_models_of_a_leaderboard_keep_their_own_scores_side_by_side(spark):
+    df = spark.createDataFrame([(float(i), float(3 * i)) for i in range(40)], "a double, label double")
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    models = [M.Contender("LinearRegression", M.linear_regression()), M.Contender("Ridge", M.ridge(df, 1000.0))]
+    one, many = ({r["Model"]: r["RMSE"] for r in M.leaderboard(spark, models, df, df, parallel=p).collect()} for p in (1, 3))
+    assert one == many and one["LinearRegression"] < one["Ridge"] < one[M.BASELINE]
