@@ -55,6 +55,19 @@ def test_leaderboard_fits_full_presets(spark, rows, monkeypatch, query):
     assert {n: (e.getMaxIter(), e.getMaxDepth()) for n, e in boosted.items()} == {f"GBT-{n}": (p["max_iter"], p["max_depth"]) for n, p in BOOSTED_PRESETS.items()}
 
 
+def whole_search(seen):
+    return seen["n_trials"] == N_TRIALS and seen["space"] == M.SEARCH_SPACE and seen["early_stopping_rounds"] == EARLY_STOPPING_ROUNDS
+
+
+def test_training_job_modes_searches_the_full_ranges(spark, monkeypatch):
+    monkeypatch.setattr(C, "_raw_trips", lambda *_: None)
+    monkeypatch.setattr(jobs, "preprocess_job", lambda *_, **__: {"splits": SF, "preprocess": SF})
+    seen = given(monkeypatch, jobs, "training_job")
+    with pytest.raises(Reached):
+        C.q_training_job_modes(spark, SF)
+    assert seen["mode"] == "optimize" and whole_search(seen) and not seen["search"]
+
+
 def test_models_of_a_leaderboard_keep_their_own_scores_side_by_side(spark):
     df = spark.createDataFrame([(float(i), float(3 * i)) for i in range(40)], "a double, label double")
     df = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
