@@ -59,6 +59,14 @@ def whole_search(seen):
     return seen["n_trials"] == N_TRIALS and seen["space"] == M.SEARCH_SPACE and seen["early_stopping_rounds"] == EARLY_STOPPING_ROUNDS
 
 
+def test_trial_log_searches_the_full_ranges(spark, rows, monkeypatch):
+    seen = given(monkeypatch, M, "param_search")
+    with pytest.raises(Reached):
+        C.q_trial_log(spark, SF)
+    usual = {"eta": 3, "first_rung": M.BLOCK_TREES}
+    assert whole_search(seen) and {k: seen[k] for k in usual} == usual
+
+
 def test_training_job_modes_searches_the_full_ranges(spark, monkeypatch):
     monkeypatch.setattr(C, "_raw_trips", lambda *_: None)
     monkeypatch.setattr(jobs, "preprocess_job", lambda *_, **__: {"splits": SF, "preprocess": SF})
