@@ -145,7 +145,11 @@ def train(labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, trees: int = TREE
     if rows.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=3, featuresCol="features", labelCol="label")
-    return Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), forest]).fit(rows)
+    model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), forest]).fit(rows)
+    # the summary of the fit holds the session, which cannot go to tasks once any query of it has been observed
+    jvm = rows.sparkSession.sparkContext._jvm
+    model.stages[-1]._java_obj.setSummary(getattr(getattr(jvm.scala, "None$"), "MODULE$"))
+    return model
 
 
 def scan(
